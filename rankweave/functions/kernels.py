@@ -2,16 +2,21 @@
 
 Spark partitions the items and feeds Arrow batches. Each task keeps only the best ``k`` rows per query, so
 what leaves a task is bounded by (queries in the block) x k, whatever the size of the partition.
-This module needs only numpy and pyarrow and is pickled by value.
+This module needs only numpy, pandas and pyarrow and is pickled by value, so workers need not have the package.
 """
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CELLS_PER_STEP = 1 << 21
 FACET_NAMES = ("country", "variety", "color")
@@ -48,8 +53,10 @@ class QueryBlock:
         block = cls(table["query_id"].to_numpy(), matrix_of(table["qv"]))
         if filtered:
             for name in FACET_NAMES:
-                values = pc.unique(table[f"f_{name}"].combine_chunks()).drop_null()
-                codes = pc.fill_null(pc.index_in(table[f"f_{name}"], value_set=values), -1)
+                wanted = table[f"f_{name}"].combine_chunks()
+                values = pc.unique(wanted).drop_null()
+                values = values.filter(pc.not_equal(values, ""))  # an empty string is unset too
+                codes = pc.fill_null(pc.index_in(wanted, value_set=values), -1)
                 block.facets[name] = (values, codes.to_numpy())
             for name, _, _ in RANGE_BOUNDS:
                 column = table[f"f_{name}"].cast(pa.float64())
@@ -202,3 +209,8 @@ def nearest_lists_task(shared, vector: str, n: int, out: str):
             )
 
     return run
+
+
+def general_format(values: pd.Series) -> pd.Series:
+    """Six significant digits without trailing zeros, as ``%g`` gives them; None stays None."""
+    return values.map("{:g}".format, na_action="ignore").astype(object).where(values.notna(), None)

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +16,6 @@ from rankweave.operators.filters import FILTER_COLUMNS, ITEM_COLUMNS
 from rankweave.plans.bounds import by_query_block, top_k
 from rankweave.session import scratch_path
 
-# workers need not have this package installed
-cloudpickle.register_pickle_by_value(kernels)
-
 HITS = "query_id long, doc_id long, score double"
 # Centroids are held by every task: lists x dimensions stays below this many numbers.
 CENTROID_NUMBERS = 16_000_000

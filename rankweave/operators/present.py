@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rankweave.functions.kernels import general_format
 
 # Rating bands, highest first.
 RATING_BANDS = [
@@ -30,18 +33,12 @@ def rating_band(points: Column) -> Column:
 
 
 def general_number(value: Column) -> Column:
-    """Six significant digits without trailing zeros, exponent form outside 1e-4 .. 1e6."""
-    scientific = F.format_string("%.5e", value)
-    rounded = scientific.cast("double")
-    size = F.abs(rounded)
-    plain = F.regexp_replace(
-        F.when(size < 0.001, F.format_string("%.10f", rounded)).otherwise(rounded.cast("string")),
-        r"(\.\d*?)0+$",
-        "$1",
-    )
-    plain = F.regexp_replace(plain, r"\.$", "")
-    exponent = F.regexp_replace(scientific, r"\.?0+e", "e")
-    return F.when(size == 0, F.lit("0")).when((size >= 1e6) | (size < 1e-4), exponent).otherwise(plain)
+    """Six significant digits as ``%g`` writes them.
+
+    The JVM formatter rounds the shortest decimal form half up; ``%g`` rounds the exact binary value. Only
+    result rows are formatted, so the detour through Arrow is small.
+    """
+    return F.pandas_udf(general_format, T.StringType())(value.cast("double"))
 
 
 def price_text(price: Column) -> Column:

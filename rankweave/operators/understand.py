@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rankweave.functions.text import normalized_key, tokens, whole_word
 from rankweave.operators.filters import FILTER_COLUMNS
 from rankweave.plans.bounds import lookup_join
+from rankweave.session import cut_lineage
 
 # Extraction patterns, applied to lower-cased text. A later price_max pattern overrides.
 PRICE_MAX_PATTERNS = (
@@ -140,7 +141,10 @@ def phrase_matches(queries: DataFrame, phrases: DataFrame) -> DataFrame:
     every phrase.
     """
     words = tokens(F.col("phrase"))
-    phrases = phrases.select("*", F.array_join(words, " ").alias("_gram"), F.size(words).alias("_words"))
+    # read three times below, so it is written once
+    phrases = cut_lineage(
+        phrases.select("*", F.array_join(words, " ").alias("_gram"), F.size(words).alias("_words")), "phrases"
+    )
     longest = phrases.agg(F.max("_words")).first()[0] or 1
     parts = F.col("_parts")
 

@@ -205,9 +205,8 @@ def _swept(spark, folder):
     for n_lists, group in BUILDS.items():
         found = nearest.ann_top_k(b.inverted_file(spark, folder, group), settings, 100, "nprobe")
         # the exact list of a query, once per setting
-        expected = exact.select(
-            (F.col("query_id") * width + F.explode(F.sequence(F.lit(0), F.lit(width - 1)))).alias("query_id"), "doc_id"
-        )
+        repeated = exact.select("query_id", "doc_id", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("_ix"))
+        expected = repeated.select((F.col("query_id") * width + F.col("_ix")).alias("query_id"), "doc_id")
         recalls = evaluate.overlap(expected, found, settings).select(
             F.lit(n_lists).alias("n_lists"),
             F.element_at(F.array(*[F.lit(p) for p in PROBES]), (F.col("query_id") % width + 1).cast("int")).alias("nprobe"),

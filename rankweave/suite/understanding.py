@@ -151,14 +151,17 @@ def queryset_freeze(spark, folder):
     + "SELECT query_id, query, f_country AS country, f_points_min AS points_min FROM queries",
 )
 def queryset_load(spark, folder):
-    """The same records as JSON arrays, one per file."""
+    """The same records as JSON arrays, one of about a thousand records per file."""
     frozen = read_query_set(spark, _frozen(spark, folder))
     path = scratch_path(spark, "query_arrays")
-    # a query set is a small file of its own; one array per bucket of queries
-    arrays = frozen.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(4)).alias("part")).agg(
-        F.to_json(F.collect_list(F.struct("query_id", "query", "filters", "eligible_count")), {"ignoreNullFields": "false"}).alias("value")
+    n_files = frozen.count() // 1000 + 1
+    arrays = frozen.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(n_files)).alias("part")).agg(
+        F.to_json(
+            F.collect_list(F.struct("query_id", "query", "filters", "eligible_count")),
+            {"ignoreNullFields": "false"},
+        ).alias("value")
     )
-    arrays.select("value").write.text(path)
+    arrays.write.partitionBy("part").text(path)
     loaded = read_query_set(spark, path, array=True)
     return loaded.select("query_id", "query", "filters.country", "filters.points_min")
 
