@@ -71,10 +71,10 @@ def match_counts(items: DataFrame, queries: DataFrame) -> DataFrame:
     ranges are checked on those matches alone. The records of a block are broadcast, the items stay in
     place, and counts are combined inside each task: what is shuffled is one row per record and task.
     """
-    return by_query_block(queries, lambda block, _: _match_counts(items, block), text=None)
+    return by_query_block(queries, lambda block, n: _match_counts(items, block, n), text=None)
 
 
-def _match_counts(items: DataFrame, queries: DataFrame) -> DataFrame:
+def _match_counts(items: DataFrame, queries: DataFrame, n: int) -> DataFrame:
     f_cols = [f"f_{c}" for c in FILTER_COLUMNS]
     queries = queries.withColumn("_record", F.to_json(F.struct(*f_cols)))
     bits = [
@@ -93,7 +93,7 @@ def _match_counts(items: DataFrame, queries: DataFrame) -> DataFrame:
     keys = F.array_compact(F.array(*[_shape_key(s, F.col) for s in range(8)]))
     spread = items.select("doc_id", "price", "points", F.explode(keys).alias("_key"))
     found = (
-        lookup_join(spread, records, ["_key"])
+        lookup_join(spread, records, ["_key"], small_rows=n)
         .where(ranges_match())
         .groupBy("_record")
         .agg(F.count("*").alias("eligible"), F.min("doc_id").alias("min_id"), F.max("doc_id").alias("max_id"))

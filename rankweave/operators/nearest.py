@@ -14,7 +14,7 @@ from rankweave.functions import kernels
 from rankweave.functions.vectors import l2_norm, l2_normalize
 from rankweave.operators.filters import FILTER_COLUMNS, ITEM_COLUMNS
 from rankweave.plans.bounds import by_query_block, top_k
-from rankweave.session import scratch_path
+from rankweave.session import cut_lineage, scratch_path
 
 HITS = "query_id long, doc_id long, score double"
 # Centroids are held by every task: lists x dimensions stays below this many numbers.
@@ -147,18 +147,26 @@ def assign_lists(items: DataFrame, centroids: DataFrame) -> DataFrame:
     return items.mapInArrow(kernels.nearest_lists_task(shared, "embedding", 1, "list_id"), schema)
 
 
-def build_inverted_file(items: DataFrame, centroids: DataFrame, files_per_list: int = 8) -> InvertedFile:
+def build_inverted_file(
+    items: DataFrame, centroids: DataFrame, rows_per_file: int = 500_000
+) -> InvertedFile:
     """Write the items partitioned by list.
 
-    Rows are spread over ``files_per_list`` writers inside each list, so a list that holds a third of all
-    items is not written by one task; searching scans files, never whole lists in one task.
+    Lists are cut into files of about ``rows_per_file`` by a salt whose range follows each list's own size,
+    so a list that holds a third of all items is written by many tasks. Searching scans files, never whole
+    lists in one task.
     """
     spark = items.sparkSession
     path = scratch_path(spark, "lists")
-    placed = assign_lists(_vectors(items, True), centroids)
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(files_per_list))
-    placed.repartition("list_id", salt).write.partitionBy("list_id").parquet(path)
-    return InvertedFile(spark.read.schema(placed.schema).parquet(path), centroids, centroids.count())
+    assigned = cut_lineage(assign_lists(_vectors(items, True), centroids), "assigned")
+    # one row per list
+    sizes = assigned.groupBy("list_id").agg(F.ceil(F.count("*") / rows_per_file).alias("_files"))
+    salted = assigned.join(F.broadcast(sizes), "list_id").withColumn(
+        "_salt", F.pmod(F.xxhash64("doc_id"), F.col("_files"))
+    )
+    placed = salted.repartition("list_id", "_salt").select(assigned.columns)
+    placed.write.partitionBy("list_id").parquet(path)
+    return InvertedFile(spark.read.schema(assigned.schema).parquet(path), centroids, centroids.count())
 
 
 def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int | str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rankweave.functions.scoring import term_coverage
 from rankweave.functions.text import tokens
-from rankweave.plans.bounds import BROADCAST_ROWS
+from rankweave.plans.bounds import rows_of_ids
 
 Scorer = Callable[[Column, Column], Column]
 
@@ -19,17 +19,6 @@ def lexical_scorer(query: Column, text: Column) -> Column:
     return F.round(term_coverage(tokens(query), tokens(text)), 6)
 
 
-def _beside_items(items: DataFrame, ranked: DataFrame, max_rows: int | None) -> DataFrame:
-    """Join ranked ids to item rows without moving the items.
-
-    A ranked side with a known bound is broadcast. Otherwise it alone is shuffled to the buckets of the
-    catalogue.
-    """
-    if max_rows is not None and max_rows <= BROADCAST_ROWS:
-        ranked = F.broadcast(ranked)
-    return items.join(ranked, "doc_id")
-
-
 def rerank(
     fused: DataFrame,
     items: DataFrame,
@@ -49,7 +38,8 @@ def rerank(
         .select("query_id", "doc_id", F.col("rank").alias("fused_rank"))
         .join(queries.select("query_id", "query"), "query_id")
     )
-    scored = _beside_items(items.select("doc_id", "description"), wanted, bound).select(
+    pairs = rows_of_ids(items.select("doc_id", "description"), wanted, "doc_id", bound)
+    scored = pairs.select(
         "query_id", "doc_id", "fused_rank", scorer(F.col("query"), F.col("description")).alias("score")
     )
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("fused_rank"))
@@ -63,7 +53,8 @@ def hydrate(
 ) -> DataFrame:
     """Item columns for the first ``limit`` ranks. The cut comes first, so a missing id shortens the list."""
     bound = None if n_queries is None else n_queries * limit
-    return _beside_items(items.select("doc_id", *columns), ranked.where(F.col("rank") <= limit), bound)
+    first = ranked.where(F.col("rank") <= limit)
+    return rows_of_ids(items.select("doc_id", *columns), first, "doc_id", bound)
 
 
 def rank_shift(fused: DataFrame, reranked: DataFrame, k: int = 10) -> DataFrame:

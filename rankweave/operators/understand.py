@@ -141,11 +141,11 @@ def phrase_matches(queries: DataFrame, phrases: DataFrame) -> DataFrame:
     every phrase.
     """
     words = tokens(F.col("phrase"))
-    # read three times below, so it is written once
+    # read twice below, so it is written once
     phrases = cut_lineage(
         phrases.select("*", F.array_join(words, " ").alias("_gram"), F.size(words).alias("_words")), "phrases"
     )
-    longest = phrases.agg(F.max("_words")).first()[0] or 1
+    longest, n_phrases = phrases.agg(F.coalesce(F.max("_words"), F.lit(1)), F.count("*")).first()
     parts = F.col("_parts")
 
     def sequences(n: Column) -> Column:
@@ -159,7 +159,7 @@ def phrase_matches(queries: DataFrame, phrases: DataFrame) -> DataFrame:
         # phrases without any letter or digit meet every query under the empty sequence
         .select("query_id", "_text", F.explode(F.array_distinct(F.concat(grams, F.array(F.lit(""))))).alias("_gram"))
     )
-    found = lookup_join(spread, phrases.drop("_words"), ["_gram"])
+    found = lookup_join(spread, phrases.drop("_words"), ["_gram"], small_rows=n_phrases)
     return found.where(whole_word(F.col("_text"), F.col("phrase"))).drop("_gram", "_text")
 
 

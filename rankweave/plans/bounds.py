@@ -8,22 +8,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankweave.functions.text import tokens
-from rankweave.session import scratch_path
+from rankweave.session import cut_lineage, scratch_path
 
 # A side is broadcast only when it is known to hold at most this many rows.
 BROADCAST_ROWS = 200_000
 # Queries (and their distinct terms) handled in one pass over the corpus.
 BLOCK_QUERIES = 4_096
 BLOCK_TERMS = 400_000
+# Ranked rows whose ids are looked up one by one instead of scanning for them.
+POINT_LOOKUPS = 10_000
 # How many ways the large side of a shuffled lookup is split per key.
 SALTS = 32
 
 
-def within_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``limit`` rows, reading no more than needed to tell."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def lookup_join(
     large: DataFrame,
     small: DataFrame,
@@ -33,15 +30,17 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large side to a lookup whose keys may be badly skewed on the large side.
 
-    With the lookup's size inside the bound (``small_rows`` states an upper bound already known;
-    otherwise it is measured) the large side is not shuffled at all. Beyond it both sides shuffle on
-    (key, salt): the large side draws a salt per row, the lookup is repeated once per salt, so a key
-    holding a third of all rows spreads over ``SALTS`` tasks.
+    ``small_rows`` is an upper bound already known; without one the lookup is written and its rows are
+    counted. Inside the bound the lookup is broadcast and the large side is not shuffled at all. Beyond it
+    both sides shuffle on (key, salt): the large side draws a salt per row, the lookup is repeated once per
+    salt, so a key holding a third of all rows spreads over ``SALTS`` tasks.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} would repeat lookup rows once per salt")
-    bounded = small_rows <= BROADCAST_ROWS if small_rows is not None else within_rows(small)
-    if bounded:
+    if small_rows is None:
+        small = cut_lineage(small, "lookup")
+        small_rows = small.count()
+    if small_rows <= BROADCAST_ROWS:
         return large.join(F.broadcast(small), on, how)
     salted = large.withColumn(
         "_salt", F.pmod(F.xxhash64(*large.columns), F.lit(SALTS)).cast("int")
@@ -50,6 +49,23 @@ def lookup_join(
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def rows_of_ids(table: DataFrame, wanted: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:
+    """Join a large table to ranked rows that name few of its keys, without moving the table.
+
+    ``table`` is expected to be bucketed and sorted by ``key`` (the catalogue). A handful of keys becomes
+    an IN predicate, so that parquet skips buckets, row groups and pages without any of them; more are
+    broadcast; beyond the bound only ``wanted`` is shuffled, to the buckets of the table.
+    """
+    wanted = cut_lineage(wanted, "wanted")
+    rows = wanted.count() if max_rows is None or max_rows > POINT_LOOKUPS else max_rows
+    if rows <= POINT_LOOKUPS:
+        keys = [row[0] for row in wanted.select(key).distinct().collect()]
+        table = table.where(F.col(key).isin(keys))
+    if rows <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    return table.join(wanted, key)
+
+
 def by_query_block(
     queries: DataFrame, run: Callable[[DataFrame, int], DataFrame], text: str | None = "query"
 ) -> DataFrame:

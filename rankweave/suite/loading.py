@@ -141,7 +141,7 @@ ITEM_FIELDS = ["doc_id", "country", "variety", "color", "price", "points"]
     + f"SELECT {', '.join(ITEM_FIELDS)} FROM items WHERE country = 'en' AND price >= 0 AND points <= 5000",
 )
 def filter_dynamic(spark, folder):
-    return filters.apply(b.items(spark, folder), RECORD).select(*ITEM_FIELDS)
+    return filters.apply(b.catalogue(spark, folder).items, RECORD).select(*ITEM_FIELDS)
 
 
 @query(
@@ -149,7 +149,7 @@ def filter_dynamic(spark, folder):
     b.ctes(b.ITEMS_CTE) + "SELECT doc_id FROM items WHERE color = 'red' AND points >= 500",
 )
 def filter_eligible_ids(spark, folder):
-    return filters.apply(b.items(spark, folder), {"color": "red", "points_min": 500}).select("doc_id")
+    return filters.apply(b.catalogue(spark, folder).items, {"color": "red", "points_min": 500}).select("doc_id")
 
 
 COUNTS_SQL = b.ctes(*b.ITEMS_AND_QUERIES, b.ELIGIBLE_CTE)
@@ -191,7 +191,7 @@ def filter_facet_eq(spark, folder):
 )
 def filter_range_nullable(spark, folder):
     record = {"price_min": 0, "price_max": 1, "points_min": 100, "points_max": 20000}
-    return filters.apply(b.items(spark, folder), record).select("doc_id", "price", "points")
+    return filters.apply(b.catalogue(spark, folder).items, record).select("doc_id", "price", "points")
 
 
 @query(
@@ -202,7 +202,7 @@ def filter_range_nullable(spark, folder):
 )
 def filter_topk_structured(spark, folder):
     """Structured top-k report with a strict upper bound."""
-    found = b.items(spark, folder).where(
+    found = b.catalogue(spark, folder).items.where(
         (F.col("country") == "en") & (F.col("points") >= 90) & (F.col("price") < 1)
     )
     return found.orderBy(F.desc("points"), "doc_id").limit(5).select("doc_id", "points", "price")
@@ -236,7 +236,7 @@ def filter_in_list(spark, folder):
     b.ctes(b.ITEMS_CTE) + "SELECT color, count(*) AS n FROM items GROUP BY color ORDER BY n DESC",
 )
 def color_distribution(spark, folder):
-    return b.items(spark, folder).groupBy("color").agg(F.count("*").alias("n")).orderBy(F.desc("n"))
+    return b.catalogue(spark, folder).items.groupBy("color").agg(F.count("*").alias("n")).orderBy(F.desc("n"))
 
 
 @query("domain_values", "SELECT DISTINCT source FROM documents WHERE source IS NOT NULL ORDER BY source")
