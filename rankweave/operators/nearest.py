@@ -165,7 +165,7 @@ def build_inverted_file(
         "_salt", F.pmod(F.xxhash64("doc_id"), F.col("_files"))
     )
     placed = salted.repartition("list_id", "_salt").select(assigned.columns)
-    placed.write.partitionBy("list_id").parquet(path)
+    placed.write.option("maxRecordsPerFile", rows_per_file).partitionBy("list_id").parquet(path)
     return InvertedFile(spark.read.schema(assigned.schema).parquet(path), centroids, centroids.count())
 
 

@@ -16,7 +16,7 @@ BROADCAST_ROWS = 200_000
 BLOCK_QUERIES = 4_096
 BLOCK_TERMS = 400_000
 # Ranked rows whose ids are looked up one by one instead of scanning for them.
-POINT_LOOKUPS = 10_000
+POINT_LOOKUPS = 1_000
 # How many ways the large side of a shuffled lookup is split per key.
 SALTS = 32
 
@@ -52,15 +52,15 @@ def lookup_join(
 def rows_of_ids(table: DataFrame, wanted: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:
     """Join a large table to ranked rows that name few of its keys, without moving the table.
 
-    ``table`` is expected to be bucketed and sorted by ``key`` (the catalogue). A handful of keys becomes
-    an IN predicate, so that parquet skips buckets, row groups and pages without any of them; more are
-    broadcast; beyond the bound only ``wanted`` is shuffled, to the buckets of the table.
+    ``table`` is expected to be bucketed and sorted by the integer ``key`` (the catalogue). A handful of
+    keys becomes an IN predicate that reaches buckets and parquet statistics; more are broadcast; beyond
+    the bound only ``wanted`` is shuffled, to the buckets of the table.
     """
     wanted = cut_lineage(wanted, "wanted")
     rows = wanted.count() if max_rows is None or max_rows > POINT_LOOKUPS else max_rows
     if rows <= POINT_LOOKUPS:
-        keys = [row[0] for row in wanted.select(key).distinct().collect()]
-        table = table.where(F.col(key).isin(keys))
+        keys = ", ".join(str(int(row[0])) for row in wanted.select(key).distinct().collect())
+        table = table.where(F.expr(f"{key} IN ({keys})") if keys else F.lit(False))
     if rows <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     return table.join(wanted, key)
