@@ -186,27 +186,22 @@ def score_summary_task(shared, filtered: bool):
     return run
 
 
-def nearest_lists_task(shared, vector: str, n: int, out: str):
-    """Partition function: append the ``n`` best centroids of ``vector``, best first."""
+def nearest_lists_task(shared, vector: str, n: int | None, out: str):
+    """Partition function: append the best centroid of ``vector``, or with ``n`` a list of the best ``n``."""
 
     def run(batches):
         list_ids, centroids = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            score = np.round(matrix_of(batch.column(vector)) @ centroids.T, 6)
-            order = np.lexsort((np.broadcast_to(list_ids, score.shape), -score), axis=1)[:, :n]
-            best = list_ids[order].astype(np.int32)
-            column = (
-                pa.array(best[:, 0])
-                if n == 1
-                else pa.ListArray.from_arrays(
-                    np.arange(0, best.size + 1, best.shape[1], dtype=np.int32), pa.array(best.ravel())
-                )
-            )
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, column], names=[*batch.schema.names, out]
-            )
+        for piece in steps(batches, len(list_ids)):
+            score = np.round(matrix_of(piece[vector]) @ centroids.T, 6)
+            if n is None:
+                # ids ascend, so the first maximum is the lowest id
+                column = pa.array(list_ids[score.argmax(axis=1)].astype(np.int32))
+            else:
+                order = np.lexsort((np.broadcast_to(list_ids, score.shape), -score), axis=1)[:, :n]
+                best = list_ids[order].astype(np.int32)
+                offsets = np.arange(0, best.size + 1, best.shape[1], dtype=np.int32)
+                column = pa.ListArray.from_arrays(offsets, pa.array(best.ravel()))
+            yield from piece.append_column(out, column).combine_chunks().to_batches()
 
     return run
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rankweave.operators.filters import value_domain
 from rankweave.plans.bounds import lookup_join
 from rankweave.plans.ordered import running_total
+from rankweave.session import cut_lineage
 
 BATCH = 100
 
@@ -23,7 +24,7 @@ def classify_values(
     df: DataFrame, key: str, classifier: Callable[[DataFrame], DataFrame], default: str = "other"
 ) -> DataFrame:
     """Lookup table (key, color): every distinct non-null value classified once, gaps set to ``default``."""
-    keys = value_domain(df, key)
+    keys = cut_lineage(value_domain(df, key), "keys")  # read twice below, scanned once
     classes = classifier(keys)
     return keys.join(classes, key, "left").select(key, F.coalesce("color", F.lit(default)).alias("color"))
 

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankweave.functions.scoring import RRF_K, reciprocal_rank
+from rankweave.plans.ordered import rank_in_groups
 
 
 def assign_ranks(scored: DataFrame, key: str = "query_id") -> DataFrame:
-    """1-based rank per query by score, ties by document."""
-    window = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("doc_id"))
-    return scored.withColumn("rank", F.row_number().over(window))
+    """1-based rank of every row per query by score, ties by document; lists may be of any length."""
+    return rank_in_groups(scored, key, [F.desc("score"), F.asc("doc_id")])
 
 
 def tag_lists(*lists: DataFrame) -> DataFrame:

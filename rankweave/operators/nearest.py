@@ -36,6 +36,17 @@ def _vectors(items: DataFrame, filtered: bool, *extra: str) -> DataFrame:
     return items.where(F.col("embedding").isNotNull()).select("doc_id", "embedding", *facets, *extra)
 
 
+def _in_waves(vectors: DataFrame) -> DataFrame:
+    """Join scan splits into a few waves of tasks, without a shuffle.
+
+    Every task hands on up to k rows per query, and splits are cut by the size of the whole files though
+    only vectors and facets are read. A task streams its batches, so more of them cost it no memory.
+    """
+    spark = vectors.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return vectors.coalesce(tasks)
+
+
 def _best(hits: DataFrame, k: int) -> DataFrame:
     ranked = top_k(hits, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
     return ranked.select("query_id", "doc_id", "rank", "score")
@@ -43,7 +54,7 @@ def _best(hits: DataFrame, k: int) -> DataFrame:
 
 def vector_block(items: DataFrame, block: DataFrame, k: int, filtered: bool) -> DataFrame:
     shared, _ = _payload(block, filtered)
-    local = _vectors(items, filtered).mapInArrow(kernels.top_k_task(shared, k, filtered), HITS)
+    local = _in_waves(_vectors(items, filtered)).mapInArrow(kernels.top_k_task(shared, k, filtered), HITS)
     return _best(local, k)
 
 
@@ -61,7 +72,7 @@ def score_summary(items: DataFrame, queries: DataFrame, filtered: bool = False)
 
     def run(block: DataFrame, _: int) -> DataFrame:
         shared, _ = _payload(block, filtered)
-        partial = _vectors(items, filtered).mapInArrow(
+        partial = _in_waves(_vectors(items, filtered)).mapInArrow(
             kernels.score_summary_task(shared, filtered),
             "query_id long, n long, total double, low double, high double",
         )
@@ -132,10 +143,11 @@ def group_centroids(vectors: DataFrame, group: str | Column) -> DataFrame:
 
 
 def _shared_centroids(centroids: DataFrame):
+    n, width = centroids.agg(F.count("*"), F.max(F.size("centroid"))).first()
+    if not n or n * width > CENTROID_NUMBERS:
+        raise ValueError(f"{n} centroids of {width} numbers: none, or too many to hold in every task")
     table = centroids.select("list_id", "centroid").orderBy("list_id").toArrow()
     matrix = kernels.matrix_of(table["centroid"])
-    if matrix.size > CENTROID_NUMBERS:
-        raise ValueError(f"{matrix.shape} centroids are too many to hold in every task")
     return centroids.sparkSession.sparkContext.broadcast((table["list_id"].to_numpy(), matrix)), len(matrix)
 
 
@@ -144,7 +156,7 @@ def assign_lists(items: DataFrame, centroids: DataFrame) -> DataFrame:
     shared, _ = _shared_centroids(centroids)
     items = items.where(F.col("embedding").isNotNull())
     schema = T.StructType([*items.schema.fields, T.StructField("list_id", T.IntegerType())])
-    return items.mapInArrow(kernels.nearest_lists_task(shared, "embedding", 1, "list_id"), schema)
+    return items.mapInArrow(kernels.nearest_lists_task(shared, "embedding", None, "list_id"), schema)
 
 
 def build_inverted_file(
@@ -175,8 +187,6 @@ def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int | str) ->
     queries = queries.where(F.col("qv").isNotNull())
     schema = T.StructType([*queries.schema.fields, T.StructField("probes", T.ArrayType(T.IntegerType()))])
     widest = n_lists if isinstance(nprobe, str) else min(nprobe, n_lists)
-    if widest == 1:
-        widest = min(2, n_lists)  # the kernel returns a list column from two on
     ranked = queries.mapInArrow(kernels.nearest_lists_task(shared, "qv", widest, "probes"), schema)
     length = F.col(nprobe) if isinstance(nprobe, str) else F.lit(nprobe)
     return ranked.withColumn("probes", F.slice("probes", F.lit(1), length))
@@ -189,7 +199,7 @@ def ann_block(
     shared, table = _payload(probed, filtered, "probes")
     wanted = np.unique(table["probes"].combine_chunks().flatten().to_numpy(zero_copy_only=False))
     lists = index.lists.where(F.col("list_id").isin([int(i) for i in wanted]))
-    local = _vectors(lists, filtered, "list_id").mapInArrow(
+    local = _in_waves(_vectors(lists, filtered, "list_id")).mapInArrow(
         kernels.top_k_task(shared, k, filtered, index.n_lists), HITS
     )
     return _best(local, k)

@@ -4,13 +4,14 @@ import re
 
 import pytest
 from conftest import ITEMS, QUERIES, ranked
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from rankweave.operators import enrich, filters, nearest
 from rankweave.operators.keyword import keyword_scores, keyword_top_k
 from rankweave.plans import bounds
-from rankweave.plans.ordered import running_total
+from rankweave.plans.ordered import rank_in_groups, running_total
 
 
 def plan_of(frame):
@@ -119,6 +120,18 @@ def test_running_total(spark):
     assert got == {k: 2 * (k + 1) for k in range(100)}
 
 
+def test_ranks_of_a_group_that_spans_tasks(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 40).alias("k"),
+        (F.col("id") * 7 % 11).alias("s"),
+        "id",
+    )
+    order = [F.desc("s"), F.asc("id")]
+    got = rank_in_groups(rows.repartition(5), "k", order)
+    plain = rows.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+    assert sorted(map(repr, got.select("k", "s", "id", "rank").collect())) == sorted(map(repr, plain.collect()))
+
+
 def test_key_batches(spark):
     keys = spark.range(250).select(F.format_string("k%04d", "id").alias("k"))
     got = enrich.key_batches(keys.union(keys), "k")
