@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.operators.encode import with_query_prefix
+from rankweave.operators.filters import prefixed
 from rankweave.operators.fusion import fuse, tag_lists
 from rankweave.operators.keyword import keyword_block
 from rankweave.operators.nearest import InvertedFile, ann_block, vector_block
+from rankweave.operators.normalize import guard_queries
 from rankweave.operators.rerank import Scorer, hydrate, lexical_scorer, rerank
 from rankweave.plans.bounds import by_query_block
 from rankweave.session import cut_lineage
@@ -43,9 +47,13 @@ class SearchPlan:
     def ranked(
         self, block: DataFrame, n: int, keyword: DataFrame, vector: DataFrame
     ) -> tuple[DataFrame, DataFrame]:
-        """Fused and reranked lists of one block of ``n`` queries."""
+        """Fused and reranked lists of one block of ``n`` queries.
+
+        Reranking reads the text as asked (``raw_query``) where the block has it beside the residual text.
+        """
         fused = fuse(keyword, vector)
-        return fused, rerank(fused, self.catalogue.items, block, self.rerank_top, self.scorer, n)
+        asked = block.withColumn("query", F.col("raw_query")) if "raw_query" in block.columns else block
+        return fused, rerank(fused, self.catalogue.items, asked, self.rerank_top, self.scorer, n)
 
 
 def hybrid_candidates(plan: SearchPlan, queries: DataFrame) -> DataFrame:
@@ -63,6 +71,28 @@ def search(plan: SearchPlan, queries: DataFrame, columns: list[str], limit: int
     return by_query_block(queries, run)
 
 
+def understood_queries(
+    asked: DataFrame,
+    understand: Callable[[DataFrame], DataFrame],
+    encode: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Raw texts made ready for :func:`search`.
+
+    ``asked`` has (query_id, query). Empty texts drop out; ``understand`` gives one filter record per text
+    with its residual ``query``; ``encode`` turns (query_id, query), the residual behind the instruction
+    prefix, into (query_id, qv).
+    """
+    asked = guard_queries(asked.select("query_id", "query"))
+    records = cut_lineage(understand(asked), "records")
+    vectors = encode(with_query_prefix(records.select("query_id", "query")))
+    ready = (
+        prefixed(records)
+        .join(vectors, "query_id", "left")
+        .join(asked.withColumnRenamed("query", "raw_query"), "query_id")
+    )
+    return cut_lineage(ready, "understood")
+
+
 def search_summary(plan: SearchPlan, queries: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Per query: candidates on each path, distinct fused ids and results; zeros included."""
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ class Catalogue:
     term_df: DataFrame
     n_docs: int
     avgdl: float
+    buckets: int
 
 
 def term_statistics(items: DataFrame) -> DataFrame:
@@ -37,21 +38,34 @@ def corpus_statistics(items: DataFrame) -> DataFrame:
     )
 
 
+def _write_bucketed(rows: DataFrame, n: int) -> DataFrame:
+    """Write ``rows``, already placed by ``doc_id`` over ``n`` tasks, as a bucketed table."""
+    spark = rows.sparkSession
+    name = f"rankweave_{uuid.uuid4().hex}"
+    writer = rows.write.bucketBy(n, "doc_id").sortBy("doc_id")
+    writer.option("path", scratch_path(spark, "catalogue")).saveAsTable(name)
+    return spark.table(name)
+
+
 def build_catalogue(items: DataFrame, buckets: int | None = None) -> Catalogue:
     """Index the item text and write everything as a table bucketed by ``doc_id``.
 
     Postings stay with their document, so all terms of a document are in one bucket: scoring groups by
     document without a shuffle, joins on ``doc_id`` move only the other side, and a frequent term is
     spread over all buckets instead of forming one huge posting list. Sorted buckets let a lookup of few
-    ids skip most pages.
+    ids use parquet statistics.
     """
     spark = items.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"rankweave_{uuid.uuid4().hex}"
-    placed = with_term_counts(items.repartition(n, "doc_id"), "description")
-    placed.write.bucketBy(n, "doc_id").sortBy("doc_id").option("path", scratch_path(spark, "catalogue")).saveAsTable(name)
-    table = spark.table(name)
+    table = _write_bucketed(with_term_counts(items.repartition(n, "doc_id"), "description"), n)
     df_path = scratch_path(spark, "term_df")
     term_statistics(table).write.parquet(df_path)
     stats = corpus_statistics(table).first()
-    return Catalogue(table, spark.read.parquet(df_path), stats["n_docs"], stats["avgdl"] or 0.0)
+    return Catalogue(table, spark.read.parquet(df_path), stats["n_docs"], stats["avgdl"] or 0.0, n)
+
+
+def with_vectors(catalogue: Catalogue, vectors: DataFrame) -> Catalogue:
+    """The same catalogue with other vectors, given as (doc_id, embedding)."""
+    n = catalogue.buckets
+    rows = catalogue.items.drop("embedding").join(vectors, "doc_id", "left").repartition(n, "doc_id")
+    return replace(catalogue, items=_write_bucketed(rows, n))

@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankweave.functions.text import with_term_counts
+from rankweave.operators.encode import hashed_vectors
 from rankweave.operators.enrich import enrich
 from rankweave.operators.filters import FILTER_COLUMNS, top_values, value_domain
 from rankweave.operators.nearest import InvertedFile, build_inverted_file, group_centroids
-from rankweave.operators.understand import COLOR_KEYWORDS, Vocabulary, pairs_table
+from rankweave.operators.understand import (
+    COLOR_KEYWORDS,
+    Vocabulary,
+    extract_by_rules,
+    extract_once,
+    pairs_table,
+)
 from rankweave.plans.bounds import lookup_join
-from rankweave.plans.search import SearchPlan
-from rankweave.sources.catalogue import Catalogue, build_catalogue
+from rankweave.plans.search import SearchPlan, understood_queries
+from rankweave.sources.catalogue import Catalogue, build_catalogue, with_vectors
 from rankweave.sources.tables import read_table
 
 # --- items and queries over documents ------------------------------------------------------------
@@ -168,6 +176,11 @@ def sql_rerank(fused: str, name: str) -> str:
 )"""
 
 
+def sql_labelled(name: str, label: str) -> str:
+    shown = f"'$' || printf('%g', {name})" if name.startswith("price") else f"CAST({name} AS VARCHAR)"
+    return f"'**{label}:** ' || {shown}"
+
+
 def ctes(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
@@ -352,35 +365,47 @@ def _first(candidates: str, out: str, order: str) -> str:
 )"""
 
 
-EXTRACT_CTES = (
-    PART_QUERIES_CTE,
-    "lq AS (SELECT query_id, lower(query) AS t FROM pq)",
-    _first(
-        f"""SELECT q.query_id, c.p_brand AS value, 0 AS tier, c.p_brand AS name, 0 AS pos
-        FROM lq q JOIN (SELECT DISTINCT p_brand FROM part) c ON {sql_word('q.t', 'lower(c.p_brand)')}
+def sql_extract(base: str, countries: str, aliases: list[tuple[str, str]], varieties: str, inferred: str) -> tuple[str, ...]:
+    """CTEs that extract records from CTE ``base(query_id, query)`` into ``ext``.
+
+    ``countries`` and ``varieties`` select a column ``v``; ``inferred`` is the class of a ``variety``.
+    """
+    return (
+        f"lq AS (SELECT query_id, lower(query) AS t FROM {base})",
+        _first(
+            f"""SELECT q.query_id, c.v AS value, 0 AS tier, c.v AS name, 0 AS pos
+        FROM lq q JOIN (SELECT DISTINCT v FROM ({countries}) WHERE v IS NOT NULL) c ON {sql_word('q.t', 'lower(c.v)')}
         UNION ALL
         SELECT q.query_id, t.value, 1, '', t.priority
-        FROM lq q JOIN {sql_values(PART_ALIASES, 'alias')} ON {sql_word('q.t', 'alias')}""",
-        "x_country",
-        "tier, name, pos",
-    ),
-    """top_names AS (
-  SELECT p_name, row_number() OVER (ORDER BY n DESC, p_name) AS freq FROM (
-    SELECT p_name, count(*) AS n FROM part GROUP BY p_name
+        FROM lq q JOIN {sql_values(aliases, 'alias')} ON {sql_word('q.t', 'alias')}""",
+            "x_country",
+            "tier, name, pos",
+        ),
+        f"""top_names AS (
+  SELECT v, row_number() OVER (ORDER BY n DESC, v) AS freq FROM (
+    SELECT v, count(*) AS n FROM ({varieties}) WHERE v IS NOT NULL GROUP BY v
   ) QUALIFY freq <= 200
 )""",
-    _first(
-        f"SELECT q.query_id, v.p_name AS value, v.freq FROM lq q JOIN top_names v ON {sql_word('q.t', 'lower(v.p_name)')}",
-        "x_variety",
-        "length(value) DESC, freq",
-    ),
-    _first(
-        f"SELECT q.query_id, t.value, t.priority FROM lq q JOIN {sql_values(COLOR_KEYWORDS, 'keyword')} ON {sql_word('q.t', 'keyword')}",
-        "x_color",
-        "priority",
-    ),
-    f"x_inferred AS (SELECT query_id, {NAME_CLASS.replace('variety', 'value')} AS value FROM x_variety)",
-)
+        _first(
+            f"SELECT q.query_id, n.v AS value, n.freq FROM lq q JOIN top_names n ON {sql_word('q.t', 'lower(n.v)')}",
+            "x_variety",
+            "length(value) DESC, freq",
+        ),
+        _first(
+            f"SELECT q.query_id, t.value, t.priority FROM lq q JOIN {sql_values(COLOR_KEYWORDS, 'keyword')} ON {sql_word('q.t', 'keyword')}",
+            "x_color",
+            "priority",
+        ),
+        f"x_inferred AS (SELECT query_id, nullif({inferred.replace('variety', 'value')}, 'other') AS value FROM x_variety)",
+        sql_price_points(),
+        f"""ext AS (
+  SELECT b.query_id, c.value AS country, v.value AS variety, coalesce(k.value, f.value) AS color,
+         n.price_min, n.price_max, n.points_min, CAST(NULL AS DOUBLE) AS points_max, b.query
+  FROM {base} b LEFT JOIN x_country c USING (query_id) LEFT JOIN x_variety v USING (query_id)
+  LEFT JOIN x_color k USING (query_id) LEFT JOIN x_inferred f USING (query_id)
+  JOIN x_numbers n USING (query_id)
+)""",
+    )
 
 
 def _sql_number(pattern: str) -> str:
@@ -409,13 +434,83 @@ def sql_price_points() -> str:
 
 
 EXTRACTED_CTES = (
-    *EXTRACT_CTES,
-    sql_price_points(),
-    """ext AS (
-  SELECT pq.query_id, c.value AS country, v.value AS variety, coalesce(k.value, f.value) AS color,
-         n.price_min, n.price_max, n.points_min, CAST(NULL AS DOUBLE) AS points_max, pq.query
-  FROM pq LEFT JOIN x_country c USING (query_id) LEFT JOIN x_variety v USING (query_id)
-  LEFT JOIN x_color k USING (query_id) LEFT JOIN x_inferred f USING (query_id)
-  JOIN x_numbers n USING (query_id)
-)""",
+    PART_QUERIES_CTE,
+    *sql_extract("pq", "SELECT p_brand AS v FROM part", PART_ALIASES, "SELECT p_name AS v FROM part", NAME_CLASS),
 )
+
+
+# --- whole search from raw text ------------------------------------------------------------------
+
+# A benchmark text with a request at its end; language codes and source names are the facet values.
+ASKED = """concat(text, CASE item_id % 5 WHEN 0 THEN concat(' SRC', CAST(item_id % 20 AS STRING))
+    WHEN 1 THEN ' over 90 points' WHEN 2 THEN ' red, under $1' WHEN 3 THEN ' english text rated 85' ELSE '  ' END)"""
+ASKED_ALIASES = [("english", "en"), ("und", "de"), ("les", "fr")]
+
+_HASHED = """{name}_h AS (
+  SELECT {key}, dim, CAST(round(tf / sqrt(CAST(sum(tf * tf) OVER (PARTITION BY {key}) AS DOUBLE)), 6) AS FLOAT) AS w FROM (
+    SELECT {key}, CAST('0x' || substr(md5(term), 1, 6) AS INTEGER) % 64 AS dim, count(*) AS tf
+    FROM (SELECT {key}, unnest({tokens}) AS term FROM {source}) GROUP BY ALL
+  )
+),
+{name} AS (
+  SELECT {key}, list(CAST(coalesce(h.w, 0) AS FLOAT) ORDER BY d.dim) AS v
+  FROM (SELECT DISTINCT {key} FROM {name}_h) k CROSS JOIN range(64) AS d(dim) LEFT JOIN {name}_h h USING ({key}, dim)
+  GROUP BY {key}
+)"""
+
+
+def sql_hashed(name: str, key: str, source: str, text: str) -> str:
+    """Dense hashed term vectors as CTE ``name(key, v)``."""
+    return _HASHED.format(name=name, key=key, source=source, tokens=sql_tokens(text))
+
+
+def asked_ctes() -> tuple[str, ...]:
+    """Everything of a search from raw text, down to ``reranked``."""
+    records = ", ".join(f"e.{c} AS f_{c}" for c in FILTER_COLUMNS)
+    items_cte = ITEMS_CTE.replace("items AS (", "plain_items AS (")
+    return (
+        f"aq AS (SELECT item_id AS query_id, trim({ASKED}) AS query FROM benchmark)",
+        *sql_extract("aq", "SELECT lang AS v FROM documents", ASKED_ALIASES, "SELECT source AS v FROM documents", SOURCE_CLASS),
+        items_cte,
+        sql_hashed("dv", "doc_id", "documents", "text"),
+        sql_hashed("av", "query_id", "aq", "'Represent this sentence for searching relevant passages: ' || query"),
+        "items AS (SELECT p.* EXCLUDE (embedding), dv.v AS embedding FROM plain_items p LEFT JOIN dv USING (doc_id))",
+        f"queries AS (SELECT e.query_id, e.query, {records}, av.v AS qv FROM ext e LEFT JOIN av USING (query_id))",
+        ELIGIBLE_CTE, POSTINGS_CTE, KEYWORD_CTE, VECTOR_CTE, KW_CTE, VEC_CTE,
+        sql_fuse({"kw": "0", "vec": "1"}, "fused"), sql_rerank("fused", "reranked"),
+    )
+
+
+def asked_queries(spark: SparkSession, folder: str) -> DataFrame:
+    bench = read_table(spark, folder, "benchmark")
+    return bench.select(F.col("item_id").alias("query_id"), F.expr(ASKED).alias("query"))
+
+
+def document_vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
+    docs = read_table(spark, folder, "documents").select(
+        F.col("lang").alias("country"), F.col("source").alias("variety")
+    )
+    return Vocabulary(
+        countries=value_domain(docs, "country").withColumnRenamed("country", "value"),
+        aliases=pairs_table(spark, ASKED_ALIASES, "alias"),
+        varieties=top_values(docs, "variety", 200).select(F.col("variety").alias("value"), "freq_rank"),
+        colors=pairs_table(spark, COLOR_KEYWORDS, "keyword"),
+        variety_color=source_classes(value_domain(docs, "variety")),
+    )
+
+
+def hashed_catalogue(spark: SparkSession, folder: str) -> Catalogue:
+    """The catalogue with vectors of the built-in encoder."""
+    plain = catalogue(spark, folder)
+    return _once(spark, folder, "hashed", lambda: with_vectors(plain, hashed_vectors(plain.items)))
+
+
+def understood(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = document_vocabulary(spark, folder)
+    return understood_queries(
+        asked_queries(spark, folder),
+        understand=lambda asked: extract_once(asked, lambda once: extract_by_rules(once, vocabulary)),
+        encode=lambda texts: hashed_vectors(with_term_counts(texts, "query"), "query_id").withColumnRenamed(
+            "embedding", "qv"
+        ),
+    )

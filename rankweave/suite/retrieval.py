@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from rankweave.functions.text import with_term_counts
 from rankweave.functions.vectors import l2_norm
 from rankweave.operators import encode, fusion, nearest, rerank
+from rankweave.operators.filters import FILTER_COLUMNS
 from rankweave.operators.keyword import keyword_top_k
+from rankweave.operators.present import FILTER_LABELS, filter_summary
 from rankweave.plans import search
 from rankweave.session import cut_lineage
 from rankweave.sources.tables import read_table
@@ -232,3 +234,39 @@ def search_hydrate(spark, folder):
 )
 def search_summary(spark, folder):
     return search.search_summary(b.exact_plan(spark, folder), b.queries(spark, folder))
+
+
+ASKED = b.ctes(*b.asked_ctes())
+
+
+@query(
+    "search_from_text",
+    ASKED
+    + f"""SELECT r.query_id, r.doc_id, r.rank, CAST(r.fused_rank AS INTEGER) AS fused_rank, r.score, {', '.join('i.' + c for c in FIELDS[1:])}
+    FROM reranked r JOIN items i USING (doc_id) WHERE r.rank <= 10""",
+)
+def search_from_text(spark, folder):
+    """Raw text in, ranked items out: guard, rules, encoder, filtered retrieval, fusion, reranking."""
+    plan = search.SearchPlan(b.hashed_catalogue(spark, folder))
+    return search.search(plan, b.understood(spark, folder), FIELDS[1:])
+
+
+@query(
+    "search_interpretation",
+    ASKED
+    + f"""SELECT e.query_id, concat_ws(chr(10),
+       coalesce(nullif(concat_ws(' · ', {', '.join(b.sql_labelled(n, lab) for n, lab in FILTER_LABELS)}), ''), 'No hard filters'),
+       CASE WHEN e.query <> '' THEN 'Meaning: ' || e.query END,
+       (SELECT count(*) FROM kw WHERE kw.query_id = e.query_id) || ' on keywords, '
+         || (SELECT count(*) FROM vec WHERE vec.query_id = e.query_id) || ' on meaning') AS summary
+    FROM ext e""",
+)
+def search_interpretation(spark, folder):
+    """How each text was read and how much either path found. The rules stand in for the model here."""
+    queries = b.understood(spark, folder)
+    counts = search.search_summary(search.SearchPlan(b.hashed_catalogue(spark, folder)), queries)
+    records = queries.select("query_id", "query", *[F.col(f"f_{c}").alias(c) for c in FILTER_COLUMNS])
+    summary = filter_summary(
+        F.col("keyword_candidate_count"), F.col("vector_candidate_count"), F.col("query"), F.lit("llm")
+    )
+    return records.join(counts, "query_id").select("query_id", summary.alias("summary"))

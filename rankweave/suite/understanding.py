@@ -203,12 +203,7 @@ def result_cards(spark, folder):
     return part.select("p_partkey", card.alias("card"))
 
 
-def _sql_part(name: str, label: str) -> str:
-    shown = f"'$' || printf('%g', {name})" if name.startswith("price") else f"CAST({name} AS VARCHAR)"
-    return f"'**{label}:** ' || {shown}"
-
-
-_PARTS = ", ".join(_sql_part(n, lab) for n, lab in present.FILTER_LABELS)
+_PARTS = ", ".join(b.sql_labelled(n, lab) for n, lab in present.FILTER_LABELS)
 
 
 @query(
