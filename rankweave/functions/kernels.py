@@ -83,7 +83,7 @@ class QueryBlock:
         return mask
 
     def scores(self, batch: pa.Table) -> np.ndarray:
-        """query x item scores rounded to 6 places; ineligible or unprobed pairs are -inf.
+        """query x item scores; ineligible or unprobed pairs are -inf.
 
         Rows that no query may see are dropped before the product.
         """
@@ -94,7 +94,7 @@ class QueryBlock:
         rows, cols = np.flatnonzero(mask.any(axis=1)), np.flatnonzero(mask.any(axis=0))
         if len(rows) and len(cols):
             vectors = matrix_of(batch["embedding"].combine_chunks().take(pa.array(cols)))
-            product = np.round(self.matrix[rows] @ vectors.T, 6) + 0.0  # no negative zero
+            product = self.matrix[rows] @ vectors.T
             grid = np.ix_(rows, cols)
             out[grid] = np.where(mask[grid], product, -np.inf)
         return out
@@ -156,7 +156,8 @@ def top_k_task(shared, k: int, filtered: bool, n_lists: int = 0):
         block = QueryBlock.read(shared.value, filtered, n_lists)
         best = RunningTopK(len(block.ids), k)
         for piece in steps(batches, len(block.ids)):
-            best.push(piece["doc_id"].to_numpy(), block.scores(piece))
+            score = np.round(block.scores(piece), 6) + 0.0  # no negative zero
+            best.push(piece["doc_id"].to_numpy(), score)
         yield best.rows(block.ids)
 
     return run

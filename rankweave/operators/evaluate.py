@@ -17,7 +17,7 @@ SELECTIVITY_RANGES = [("narrow", 0, 500), ("mid", 500, 20_000), ("broad", 20_000
 
 def share(common: Column, total: Column) -> Column:
     """common / total, 1.0 for an empty total."""
-    return F.when(total == 0, F.lit(1.0)).otherwise(F.round(common / total, 9))
+    return F.when(total == 0, F.lit(1.0)).otherwise(common / total)
 
 
 def overlap(a: DataFrame, b: DataFrame, queries: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def numeric_summary(df: DataFrame, value: str) -> DataFrame:
     total = upto.agg(F.max("upto")).first()[0] or 0
     middle = [F.min(F.when(F.col("upto") >= at, F.col(value))) for at in ((total + 1) // 2, total // 2 + 1)]
     return upto.agg(
-        F.round(F.sum(F.col(value) * F.col("n")) / F.sum("n"), 6).alias("mean"),
+        F.round(F.sum(F.col(value) * F.col("n")) / F.sum("n"), 9).alias("mean"),
         F.round((middle[0] + middle[1]) / 2, 6).alias("median"),
         F.max(value).alias("max"),
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"),

@@ -79,8 +79,8 @@ def score_summary(items: DataFrame, queries: DataFrame, filtered: bool = False)
         return partial.groupBy("query_id").agg(
             F.sum("n").alias("n_scored"),
             F.round(F.sum("total") / F.sum("n"), 6).alias("mean_score"),
-            F.min("low").alias("min_score"),
-            F.max("high").alias("max_score"),
+            F.round(F.min("low"), 6).alias("min_score"),
+            F.round(F.max("high"), 6).alias("max_score"),
         )
 
     return by_query_block(queries, run, text=None)

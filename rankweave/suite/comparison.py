@@ -38,7 +38,7 @@ divergence AS (
   GROUP BY q.query_id, s.stage
 ),
 diverged AS (
-  SELECT *, CASE WHEN n_exact = 0 THEN 1.0::DOUBLE ELSE round(n_common / n_exact, 9) END AS overlap FROM divergence
+  SELECT *, CASE WHEN n_exact = 0 THEN 1.0::DOUBLE ELSE n_common / n_exact END AS overlap FROM divergence
 )""",
 )
 DIVERGED = b.ctes(*VARIANTS)
@@ -97,7 +97,7 @@ def eval_by_selectivity(spark, folder):
     b.ctes(*b.HYBRID)
     + """SELECT q.query_id, count(k.doc_id) AS n_a, (SELECT count(*) FROM vec v WHERE v.query_id = q.query_id) AS n_b,
        count(v.doc_id) AS n_common,
-       CASE WHEN count(k.doc_id) = 0 THEN 1.0::DOUBLE ELSE round(count(v.doc_id) / count(k.doc_id), 9) END AS overlap
+       CASE WHEN count(k.doc_id) = 0 THEN 1.0::DOUBLE ELSE count(v.doc_id) / count(k.doc_id) END AS overlap
     FROM queries q LEFT JOIN kw k USING (query_id) LEFT JOIN vec v ON v.query_id = k.query_id AND v.doc_id = k.doc_id
     GROUP BY q.query_id""",
 )
@@ -144,7 +144,7 @@ _SAMPLED = b.ctes(
     "ann_recall",
     _SAMPLED
     + """SELECT s.query_id, count(x.doc_id) AS n_expected, count(f.doc_id) AS n_found,
-       CASE WHEN count(x.doc_id) = 0 THEN 1.0::DOUBLE ELSE round(count(f.doc_id) / count(x.doc_id), 9) END AS recall
+       CASE WHEN count(x.doc_id) = 0 THEN 1.0::DOUBLE ELSE count(f.doc_id) / count(x.doc_id) END AS recall
     FROM sample s LEFT JOIN best x USING (query_id) LEFT JOIN found f ON f.query_id = x.query_id AND f.doc_id = x.doc_id
     GROUP BY s.query_id""",
 )
@@ -173,7 +173,7 @@ def _sweep_sql() -> tuple[str, ...]:
             parts.append(b.sql_top(f"b{n_lists}_scores", 100, name, f"{b.IN_ELIGIBLE} AND probe <= {nprobe}"))
             unions.append(
                 f"""SELECT {n_lists} AS n_lists, {nprobe} AS nprobe, q.query_id,
-        CASE WHEN count(v.doc_id) = 0 THEN 1.0::DOUBLE ELSE round(count(f.doc_id) / count(v.doc_id), 9) END AS recall
+        CASE WHEN count(v.doc_id) = 0 THEN 1.0::DOUBLE ELSE count(f.doc_id) / count(v.doc_id) END AS recall
       FROM queries q LEFT JOIN vec v USING (query_id) LEFT JOIN {name} f ON f.query_id = v.query_id AND f.doc_id = v.doc_id
       GROUP BY q.query_id"""
             )
@@ -305,7 +305,7 @@ def eval_failures(spark, folder):
 
 @query(
     "eval_numeric_summary",
-    """SELECT round(avg(value), 6) AS mean, round(median(value), 6) AS median, max(value) AS max, count(value) AS n
+    """SELECT round(avg(value), 9) AS mean, round(median(value), 6) AS median, max(value) AS max, count(value) AS n
     FROM events WHERE value IS NOT NULL""",
 )
 def eval_numeric_summary(spark, folder):

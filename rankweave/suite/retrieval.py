@@ -84,9 +84,11 @@ def vec_exact_topk_filtered(spark, folder):
 
 @query(
     "vec_cross_scores",
-    b.ctes(*VECTORS)
-    + """SELECT query_id, count(*) AS n_scored, round(avg(score), 6) AS mean_score, min(score) AS min_score, max(score) AS max_score
-    FROM vec_scores GROUP BY query_id""",
+    b.ctes(*b.ITEMS_AND_QUERIES)
+    + """, pairs AS (SELECT query_id, list_dot_product(CAST(qv AS DOUBLE[]), CAST(embedding AS DOUBLE[])) AS s
+      FROM queries, items WHERE qv IS NOT NULL AND embedding IS NOT NULL)
+    SELECT query_id, count(*) AS n_scored, round(avg(s), 6) AS mean_score, round(min(s), 6) AS min_score, round(max(s), 6) AS max_score
+    FROM pairs GROUP BY query_id""",
 )
 def vec_cross_scores(spark, folder):
     """Every query scored against every item, kept as a summary per query."""
