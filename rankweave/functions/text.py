@@ -20,35 +20,30 @@ def tokens(text: Column) -> Column:
 def with_term_counts(df: DataFrame, text: str, out: str = "postings") -> DataFrame:
     """Add ``out: array<struct<term, tf>>`` and ``dl`` (token count) to each row.
 
-    Counting runs inside the row: sort the tokens, find where each run begins, take the distance to the
-    next beginning. No explode and no shuffle, so a corpus is indexed by a map-only stage, and a document
-    of any length is handled whole.
+    Counting runs inside the row: sort the tokens, note where neighbours differ, take the distances. No
+    explode and no shuffle, so a corpus is indexed by a map-only stage, and a document of any length is
+    handled whole. Lambdas see only their own arguments, so the work stays linear even where the optimizer
+    repeats an expression below a filter.
     """
-    sorted_ = F.col("_sorted")
-    starts = F.col("_starts")
-    df = df.withColumn("_sorted", F.sort_array(tokens(F.col(text))))
-    df = df.withColumn(
-        "_starts",
-        F.filter(
-            F.transform(
-                sorted_,
-                lambda t, i: F.when((i == 0) | (t != F.get(sorted_, i - 1)), i),
-            ),
-            lambda i: i.isNotNull(),
-        ),
+    sorted_, edges = F.col("_sorted"), F.col("_edges")
+    shifted = F.concat(F.array(F.lit(None).cast("string")), sorted_)
+    # one longer than the tokens: the end of the last run is an edge as well
+    changes = F.zip_with(sorted_, shifted, lambda here, before: ~here.eqNullSafe(before))
+    positions = F.filter(F.transform(changes, lambda new, i: F.when(new, i)), lambda i: i.isNotNull())
+    runs = F.greatest(F.size(edges) - 1, F.lit(0))
+    lengths = F.zip_with(
+        F.slice(edges, F.lit(1), runs), F.slice(edges, F.lit(2), runs), lambda begin, end: end - begin
     )
-    df = df.withColumn("dl", F.size(sorted_))
-    df = df.withColumn(
-        out,
-        F.transform(
-            starts,
-            lambda p, j: F.struct(
-                F.get(sorted_, p).alias("term"),
-                (F.coalesce(F.get(starts, j + 1), F.col("dl")) - p).alias("tf"),
-            ),
-        ),
+    postings = F.zip_with(
+        F.array_distinct(sorted_), lengths, lambda term, tf: F.struct(term.alias("term"), tf.alias("tf"))
+    )
+    return (
+        df.withColumn("_sorted", F.sort_array(tokens(F.col(text))))
+        .withColumn("_edges", positions)
+        .withColumn("dl", F.size(sorted_))
+        .withColumn(out, postings)
+        .drop("_sorted", "_edges")
     )
-    return df.drop("_sorted", "_starts")
 
 
 def whole_word(text: Column, literal: Column) -> Column:
