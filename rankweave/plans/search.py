@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.operators.encode import with_query_prefix
@@ -44,16 +45,13 @@ class SearchPlan:
             return vector_block(self.catalogue.items, block, self.candidates, True)
         return ann_block(self.index, block, self.candidates, self.nprobe, True)
 
-    def ranked(
-        self, block: DataFrame, n: int, keyword: DataFrame, vector: DataFrame
-    ) -> tuple[DataFrame, DataFrame]:
-        """Fused and reranked lists of one block of ``n`` queries.
+    def reranked(self, block: DataFrame, n: int, fused: DataFrame) -> DataFrame:
+        """Reranked lists of a block of ``n`` queries.
 
         Reranking reads the text as asked (``raw_query``) where the block has it beside the residual text.
         """
-        fused = fuse(keyword, vector)
         asked = block.withColumn("query", F.col("raw_query")) if "raw_query" in block.columns else block
-        return fused, rerank(fused, self.catalogue.items, asked, self.rerank_top, self.scorer, n)
+        return rerank(fused, self.catalogue.items, asked, self.rerank_top, self.scorer, n)
 
 
 def hybrid_candidates(plan: SearchPlan, queries: DataFrame) -> DataFrame:
@@ -65,7 +63,7 @@ def search(plan: SearchPlan, queries: DataFrame, columns: list[str], limit: int
     """Filtered keyword and vector candidates, fused, reranked, first ``limit`` rows per query."""
 
     def run(block: DataFrame, n: int) -> DataFrame:
-        _, final = plan.ranked(block, n, plan.keyword(block), plan.vector(block))
+        final = plan.reranked(block, n, fuse(plan.keyword(block), plan.vector(block)))
         return hydrate(final, plan.catalogue.items, columns, limit, n)
 
     return by_query_block(queries, run)
@@ -116,21 +114,37 @@ def search_summary(plan: SearchPlan, queries: DataFrame, limit: int = LIMIT) ->
 def compare_variants(exact: SearchPlan, approximate: SearchPlan, queries: DataFrame) -> DataFrame:
     """Ranked lists of both variants at every stage, stacked as (variant, stage, query_id, doc_id, rank).
 
-    The keyword list is the same for both, so it is computed once; each list that later stages read twice
-    is written first.
+    Both variants go through the later stages in one pass, as two queries each: the keyword list is
+    computed once and item text is read once. Lists that several stages read are written first.
     """
 
+    def as_variant(frame: DataFrame, variant: Column) -> DataFrame:
+        twin = F.shiftleft("query_id", 1) + F.col("_variant")
+        return frame.withColumn("_variant", variant).withColumn("query_id", twin).drop("_variant")
+
     def run(block: DataFrame, n: int) -> DataFrame:
-        keyword = cut_lineage(exact.keyword(block), "keyword")
-        out = None
-        for name, plan in (("exact", exact), ("approximate", approximate)):
-            vector = cut_lineage(plan.vector(block), "vector")
-            fused, final = plan.ranked(block, n, keyword, vector)
-            for stage, frame in (("candidates", vector), ("fused", fused), ("final", final)):
-                rows = frame.select(
-                    F.lit(name).alias("variant"), F.lit(stage).alias("stage"), "query_id", "doc_id", "rank"
-                )
-                out = rows if out is None else out.unionByName(rows)
-        return out
+        both = F.explode(F.array(F.lit(0), F.lit(1)))
+        keyword = as_variant(cut_lineage(exact.keyword(block), "keyword"), both)
+        vector = as_variant(exact.vector(block), F.lit(0)).unionByName(
+            as_variant(approximate.vector(block), F.lit(1))
+        )
+        vector = cut_lineage(vector, "vector")
+        texts = [c for c in ("query", "raw_query") if c in block.columns]
+        asked = as_variant(block.select("query_id", *texts), both)
+        fused = cut_lineage(fuse(keyword, vector), "fused")
+        final = exact.reranked(asked, 2 * n, fused)
+        stages = (("candidates", vector), ("fused", fused), ("final", final))
+        stacked = reduce(
+            DataFrame.unionByName,
+            [frame.select(F.lit(stage).alias("stage"), "query_id", "doc_id", "rank") for stage, frame in stages],
+        )
+        is_exact = F.col("query_id").bitwiseAND(1) == 0
+        return stacked.select(
+            F.when(is_exact, "exact").otherwise("approximate").alias("variant"),
+            "stage",
+            F.shiftright("query_id", 1).alias("query_id"),
+            "doc_id",
+            "rank",
+        )
 
     return by_query_block(queries, run)
