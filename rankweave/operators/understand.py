@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.functions.text import normalized_key, tokens, whole_word
-from rankweave.operators.filters import FILTER_COLUMNS
+from rankweave.operators.filters import FILTER_COLUMNS, top_values, value_domain
 from rankweave.plans.bounds import lookup_join
 from rankweave.session import cut_lineage
 
@@ -53,6 +53,8 @@ COUNTRY_ALIASES = [
 ]
 
 UNCLASSED = "other"
+# Fixed value: rarer varieties stay free text.
+TOP_VARIETIES = 200
 
 
 def _number(text: Column, pattern: str) -> Column:
@@ -133,6 +135,24 @@ def pairs_table(spark, pairs: list[tuple[str, str]], key: str) -> DataFrame:
     return spark.createDataFrame(rows, f"{key} string, value string, priority int")
 
 
+def vocabulary_of(
+    items: DataFrame,
+    variety_color: DataFrame,
+    aliases: list[tuple[str, str]] = COUNTRY_ALIASES,
+    colors: list[tuple[str, str]] = COLOR_KEYWORDS,
+    top: int = TOP_VARIETIES,
+) -> Vocabulary:
+    """Phrase tables for an item table: every country, the most frequent varieties, fixed phrase lists."""
+    spark = items.sparkSession
+    return Vocabulary(
+        countries=value_domain(items, "country").withColumnRenamed("country", "value"),
+        aliases=pairs_table(spark, aliases, "alias"),
+        varieties=top_values(items, "variety", top).select(F.col("variety").alias("value"), "freq_rank"),
+        colors=pairs_table(spark, colors, "keyword"),
+        variety_color=variety_color,
+    )
+
+
 def phrase_matches(queries: DataFrame, phrases: DataFrame) -> DataFrame:
     """Rows of ``phrases`` that occur in a query as whole words.
 

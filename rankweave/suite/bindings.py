@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from rankweave.functions.text import with_term_counts
 from rankweave.operators.encode import hashed_vectors
 from rankweave.operators.enrich import enrich
-from rankweave.operators.filters import FILTER_COLUMNS, top_values, value_domain
+from rankweave.operators.filters import FILTER_COLUMNS, value_domain
 from rankweave.operators.nearest import InvertedFile, build_inverted_file, group_centroids
 from rankweave.operators.understand import (
     COLOR_KEYWORDS,
     Vocabulary,
     extract_by_rules,
     extract_once,
-    pairs_table,
+    vocabulary_of,
 )
 from rankweave.plans.bounds import lookup_join
 from rankweave.plans.search import SearchPlan, understood_queries
+from rankweave.session import cut_lineage
 from rankweave.sources.catalogue import Catalogue, build_catalogue, with_vectors
 from rankweave.sources.tables import read_table
 
@@ -223,8 +224,7 @@ def documents_as_items(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents").select("doc_id", F.col("source").alias("variety"))
 
 
-def queries(spark: SparkSession, folder: str) -> DataFrame:
-    """Query text, vector and filters; filter columns are prefixed ``f_``."""
+def _bind_queries(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read_table(spark, folder, "embeddings").select(
         F.col("vec_id").alias("item_id"), F.col("embedding").alias("qv")
     )
@@ -248,6 +248,11 @@ def _once(spark: SparkSession, folder: str, what: str, build):
     return _built[key]
 
 
+def queries(spark: SparkSession, folder: str) -> DataFrame:
+    """Query text, vector and filters (``f_`` columns), written once: every stage of a plan reads them."""
+    return _once(spark, folder, "queries", lambda: cut_lineage(_bind_queries(spark, folder), "queries"))
+
+
 def catalogue(spark: SparkSession, folder: str) -> Catalogue:
     return _once(spark, folder, "catalogue", lambda: build_catalogue(items(spark, folder)))
 
@@ -259,8 +264,6 @@ def centroids(spark: SparkSession, folder: str, group: str = "label") -> DataFra
 
 def inverted_file(spark: SparkSession, folder: str, group: str = "label") -> InvertedFile:
     def build() -> InvertedFile:
-        from rankweave.session import cut_lineage
-
         means = cut_lineage(centroids(spark, folder, group), "centroids")
         return build_inverted_file(catalogue(spark, folder).items, means)
 
@@ -334,14 +337,7 @@ def part_vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
     part = read_table(spark, folder, "part").select(
         F.col("p_brand").alias("country"), F.col("p_name").alias("variety")
     )
-    varieties = top_values(part, "variety", 200)
-    return Vocabulary(
-        countries=value_domain(part, "country").withColumnRenamed("country", "value"),
-        aliases=pairs_table(spark, PART_ALIASES, "alias"),
-        varieties=varieties.select(F.col("variety").alias("value"), "freq_rank"),
-        colors=pairs_table(spark, COLOR_KEYWORDS, "keyword"),
-        variety_color=name_classes(value_domain(part, "variety")),
-    )
+    return vocabulary_of(part, name_classes(value_domain(part, "variety")), PART_ALIASES)
 
 
 def sql_values(pairs: list[tuple[str, str]], key: str) -> str:
@@ -490,13 +486,7 @@ def document_vocabulary(spark: SparkSession, folder: str) -> Vocabulary:
     docs = read_table(spark, folder, "documents").select(
         F.col("lang").alias("country"), F.col("source").alias("variety")
     )
-    return Vocabulary(
-        countries=value_domain(docs, "country").withColumnRenamed("country", "value"),
-        aliases=pairs_table(spark, ASKED_ALIASES, "alias"),
-        varieties=top_values(docs, "variety", 200).select(F.col("variety").alias("value"), "freq_rank"),
-        colors=pairs_table(spark, COLOR_KEYWORDS, "keyword"),
-        variety_color=source_classes(value_domain(docs, "variety")),
-    )
+    return vocabulary_of(docs, source_classes(value_domain(docs, "variety")), ASKED_ALIASES)
 
 
 def hashed_catalogue(spark: SparkSession, folder: str) -> Catalogue:

@@ -5,8 +5,11 @@ from conftest import QUERIES, ranked
 from pyspark.sql import functions as F
 
 from rankweave.operators import evaluate, fusion, rerank
+from rankweave.operators.encode import QUERY_PREFIX, hashed_vectors
 from rankweave.operators.filters import FILTER_COLUMNS
+from rankweave.operators.understand import extract_by_rules, vocabulary_of
 from rankweave.plans import search
+from rankweave.sources.catalogue import with_vectors
 
 
 def lists(spark, *per_list):
@@ -82,6 +85,37 @@ def test_search_end_to_end(catalogue, queries):
     assert all(country == "France" for _, country, _ in found[1])
 
 
+def test_search_from_raw_text(spark, items, catalogue):
+    classes = spark.createDataFrame([("Malbec", "red"), ("Rosé", "rose")], "variety string, color string")
+    vocabulary = vocabulary_of(items, classes)
+    asked = spark.createDataFrame(
+        [(1, "  french malbec under $30, cherry  "), (2, "   "), (3, "apple")], "query_id long, query string"
+    )
+    prefixes = []
+
+    def encode(texts):
+        prefixes.extend(r["query"] for r in texts.collect())
+        return texts.select("query_id", F.array(F.lit(1.0), F.lit(0.0)).cast("array<float>").alias("qv"))
+
+    def understand(texts):
+        # a residual that differs from the text as asked
+        return extract_by_rules(texts, vocabulary).withColumn("query", F.regexp_replace("query", "cherry", "leather"))
+
+    ready = search.understood_queries(asked, understand, encode)
+    assert {r["query_id"]: r["raw_query"] for r in ready.collect()} == {1: "french malbec under $30, cherry", 3: "apple"}
+    assert all(p.startswith(QUERY_PREFIX) for p in prefixes)
+    found = ranked(search.search(search.SearchPlan(catalogue), ready, ["country"]), "doc_id", "score")
+    # only item 0 is a French Malbec under 30; reranking reads "cherry" from the text as asked
+    assert found[1] == [(0, round(1 / 5, 6))]
+
+
+def test_other_vectors(catalogue):
+    hashed = with_vectors(catalogue, hashed_vectors(catalogue.items))
+    rows = {r["doc_id"]: r["embedding"] for r in hashed.items.collect()}
+    assert len(rows) == 7 and len(rows[0]) == 64 and rows[3] is None
+    assert hashed.n_docs == catalogue.n_docs
+
+
 def test_search_summary_keeps_empty_queries(catalogue, queries):
     plan = search.SearchPlan(catalogue)
     got = {r["query_id"]: r for r in search.search_summary(plan, queries).collect()}
