@@ -33,6 +33,8 @@ def matrix_of(column) -> np.ndarray:
     """A list column of equal-length vectors as a float64 matrix, without per-row Python objects."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, 0))
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.astype(np.float64, copy=False).reshape(len(column), -1)
 

@@ -97,7 +97,7 @@ def top_k(
     """First ``k`` rows per key with their 1-based rank.
 
     ``row_number() <= k`` lets Spark cut every partition to k rows per key before the shuffle
-    (WindowGroupLimit). On wide clusters k x (upstream tasks) rows per key is still a lot for one task, so
+    (WindowGroupLimit; up to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 unless raised). On wide clusters k x (upstream tasks) rows per key is still a lot for one task, so
     a salted round cuts them again first.
     """
     fan_in = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 64

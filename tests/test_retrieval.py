@@ -110,6 +110,19 @@ def test_number_of_lists_per_query(index, queries):
     assert len(found[0]) == 6 and len(found[1]) < 6
 
 
+def test_no_query_has_a_vector(index, items, queries):
+    bare = queries.where("qv IS NULL")
+    assert bare.count() == 1
+    assert nearest.vector_top_k(items, bare, 3).count() == 0
+    assert nearest.ann_top_k(index, bare, 3, 2).count() == 0
+    assert nearest.score_summary(items, bare).count() == 0
+    assert nearest.vector_top_k(items, queries.limit(0), 3).count() == 0
+
+
+def test_no_query_at_all(catalogue, queries):
+    assert keyword_top_k(catalogue, queries.limit(0)).count() == 0
+
+
 def test_assignment(index):
     got = {r["doc_id"]: r["list_id"] for r in index.lists.collect()}
     assert got == {0: 0, 1: 1, 2: 1, 3: 0, 5: 0, 6: 2}
