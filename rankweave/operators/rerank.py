@@ -26,6 +26,7 @@ def rerank(
     top_n: int = 50,
     scorer: Scorer = lexical_scorer,
     n_queries: int | None = None,
+    buckets: int = 0,
 ) -> DataFrame:
     """Score the first ``top_n`` of each fused list on (raw query text, item text) and sort by that score.
 
@@ -38,7 +39,7 @@ def rerank(
         .select("query_id", "doc_id", F.col("rank").alias("fused_rank"))
         .join(queries.select("query_id", "query"), "query_id")
     )
-    pairs = rows_of_ids(items.select("doc_id", "description"), wanted, "doc_id", bound)
+    pairs = rows_of_ids(items.select("doc_id", "description"), wanted, "doc_id", bound, buckets)
     scored = pairs.select(
         "query_id", "doc_id", "fused_rank", scorer(F.col("query"), F.col("description")).alias("score")
     )
@@ -49,12 +50,17 @@ def rerank(
 
 
 def hydrate(
-    ranked: DataFrame, items: DataFrame, columns: list[str], limit: int = 10, n_queries: int | None = None
+    ranked: DataFrame,
+    items: DataFrame,
+    columns: list[str],
+    limit: int = 10,
+    n_queries: int | None = None,
+    buckets: int = 0,
 ) -> DataFrame:
     """Item columns for the first ``limit`` ranks. The cut comes first, so a missing id shortens the list."""
     bound = None if n_queries is None else n_queries * limit
     first = ranked.where(F.col("rank") <= limit)
-    return rows_of_ids(items.select("doc_id", *columns), first, "doc_id", bound)
+    return rows_of_ids(items.select("doc_id", *columns), first, "doc_id", bound, buckets)
 
 
 def rank_shift(fused: DataFrame, reranked: DataFrame, k: int = 10) -> DataFrame:

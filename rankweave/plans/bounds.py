@@ -15,8 +15,9 @@ BROADCAST_ROWS = 200_000
 # Queries (and their distinct terms) handled in one pass over the corpus.
 BLOCK_QUERIES = 4_096
 BLOCK_TERMS = 400_000
-# Ranked rows whose ids are looked up one by one instead of scanning for them.
+# Ranked rows whose ids are looked up one by one instead of scanning for them: always, and at most.
 POINT_LOOKUPS = 1_000
+MAX_LOOKUPS = 20_000
 # How many ways the large side of a shuffled lookup is split per key.
 SALTS = 32
 
@@ -49,16 +50,19 @@ def lookup_join(
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def rows_of_ids(table: DataFrame, wanted: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:
+def rows_of_ids(
+    table: DataFrame, wanted: DataFrame, key: str, max_rows: int | None = None, buckets: int = 0
+) -> DataFrame:
     """Join a large table to ranked rows that name few of its keys, without moving the table.
 
-    ``table`` is expected to be bucketed and sorted by the integer ``key`` (the catalogue). A handful of
-    keys becomes an IN predicate that reaches buckets and parquet statistics; more are broadcast; beyond
-    the bound only ``wanted`` is shuffled, to the buckets of the table.
+    ``table`` is expected to be bucketed by the integer ``key`` (the catalogue). Keys that are few, or well
+    below the number of ``buckets``, become an IN predicate, and only the buckets they fall in are read.
+    More are broadcast; beyond the bound only ``wanted`` is shuffled, to the buckets of the table.
     """
     wanted = cut_lineage(wanted, "wanted")
-    rows = wanted.count() if max_rows is None or max_rows > POINT_LOOKUPS else max_rows
-    if rows <= POINT_LOOKUPS:
+    lookups = max(POINT_LOOKUPS, min(buckets // 2, MAX_LOOKUPS))
+    rows = wanted.count() if max_rows is None or max_rows > lookups else max_rows
+    if rows <= lookups:
         keys = ", ".join(str(int(row[0])) for row in wanted.select(key).distinct().collect())
         table = table.where(F.expr(f"{key} IN ({keys})") if keys else F.lit(False))
     if rows <= BROADCAST_ROWS:

@@ -51,7 +51,8 @@ class SearchPlan:
         Reranking reads the text as asked (``raw_query``) where the block has it beside the residual text.
         """
         asked = block.withColumn("query", F.col("raw_query")) if "raw_query" in block.columns else block
-        return rerank(fused, self.catalogue.items, asked, self.rerank_top, self.scorer, n)
+        items, buckets = self.catalogue.items, self.catalogue.buckets
+        return rerank(fused, items, asked, self.rerank_top, self.scorer, n, buckets)
 
 
 def hybrid_candidates(plan: SearchPlan, queries: DataFrame) -> DataFrame:
@@ -64,7 +65,7 @@ def search(plan: SearchPlan, queries: DataFrame, columns: list[str], limit: int
 
     def run(block: DataFrame, n: int) -> DataFrame:
         final = plan.reranked(block, n, fuse(plan.keyword(block), plan.vector(block)))
-        return hydrate(final, plan.catalogue.items, columns, limit, n)
+        return hydrate(final, plan.catalogue.items, columns, limit, n, plan.catalogue.buckets)
 
     return by_query_block(queries, run)
 

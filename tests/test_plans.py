@@ -11,6 +11,7 @@ import __spark_entry__ as entry
 from rankweave.operators import enrich, filters, nearest
 from rankweave.operators.keyword import keyword_scores, keyword_top_k
 from rankweave.plans import bounds
+from rankweave.sources.catalogue import build_catalogue
 from rankweave.plans.ordered import rank_in_groups, running_total
 
 
@@ -73,6 +74,17 @@ def test_rows_of_ids_paths_agree(spark, catalogue, monkeypatch, points, broadcas
     assert sorted((r["query_id"], r["doc_id"], r["points"]) for r in got.collect()) == [(7, 0, 91), (7, 5, 91), (8, 0, 91)]
 
 
+def test_lookups_read_only_their_buckets(spark, items):
+    wide = build_catalogue(items, 64)
+    wanted = spark.createDataFrame([(7, 0), (7, 5)], "query_id long, doc_id long")
+    found = bounds.rows_of_ids(wide.items.select("doc_id", "points"), wanted, "doc_id", buckets=64)
+    assert found.count() == 2
+    metrics = found._jdf.queryExecution().executedPlan()
+    assert "In(doc_id" in metrics.toString()
+    lookup = wide.items.where("doc_id IN (0, 5)")
+    assert lookup.select(F.input_file_name().alias("f")).distinct().count() <= 2
+
+
 def test_rows_of_no_ids(spark, catalogue):
     wanted = spark.createDataFrame([], "query_id long, doc_id long")
     assert bounds.rows_of_ids(catalogue.items.select("doc_id"), wanted, "doc_id").count() == 0
