@@ -1,22 +1,24 @@
 """Quality grades by ordinal regression (cumulative link) on hashed text.
 
 A grade g of 0 .. G-1 has P(grade <= g) = sigmoid(t_g - x.w) with one weight vector w and ordered thresholds
-t_0 < t_1 < ... A text's features are its lower-cased words and its byte triples, hashed to two ranges of one
-weight table, each counted as log(1 + n) and scaled to length 1 per range. The expected grade is the sum over
-g of P(grade > g), the tail probability P(grade >= tail).
-
-Fitting. At most ``sample`` graded rows, those with the smallest hash of their id and text, are used: a stated
-bound for fitting only. Their features are written once; every step broadcasts the weights (a fixed size), adds up
-gradients in tasks and once more per block of weights, and applies Adam on the driver. Grades are weighted so
-that each counts alike up to ``balance``. Scoring is one pass over all documents.
-
-Null and empty texts have no features and get the grade of the thresholds alone. Without graded rows of two
+t_0 < t_1 < ... A text's features are its lower-cased words hashed to one range of cells (log(1 + n), times the
+log of documents per document with the cell), its byte triples hashed to another (log(1 + n), scaled to length
+1), and the share of words that repeat the word before. The expected grade is the sum over g of
+P(grade > g), the tail probability P(grade >= tail).
+
+Fitting. About ``sample`` labelled documents are used, those with the smallest hashes of their ids: a stated bound
+for fitting only, so their ids can be broadcast and no text is shuffled to find them. Cells in less than
+``least_share`` of them are left out. The features are written once, in ``TASKS`` files; every evaluation
+broadcasts the weights of the cells left and adds up the loss and its gradient in tasks, and L-BFGS takes its
+steps on the driver (vectors of fixed size). Scoring is one pass over all documents.
+
+Null and empty texts have no features and get the grade of the thresholds alone. Without labelled documents of two
 different grades every text gets tail probability 1: nothing is known against it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,37 +29,42 @@ from pyspark.sql import functions as F
 from rankweave.llm import words
 from rankweave.session import cut_lineage
 
-WORD_CELLS = 1 << 18
+WORD_CELLS = 1 << 20
 TRIPLE_CELLS = 1 << 16
-CELLS = WORD_CELLS + TRIPLE_CELLS
+CELLS = WORD_CELLS + TRIPLE_CELLS + 1
+ECHO = CELLS - 1
 SAMPLE = 20_000
-STEPS = 40
+STEPS = 30
 TASKS = 8
+WORD_SCALE, TRIPLE_SCALE, ECHO_SCALE = 0.3, 10.0, 3.0
 
 
-def features(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, cell, value) of a batch, in order of row."""
+def features(part: pa.RecordBatch, text: str | tuple[str, str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, cell, value) of a batch, in order of row; words and triples not yet weighed."""
     (hashes,), first = words.word_hashes(words.column(part, text), lower=True)
     n = part.num_rows
-    row = np.repeat(np.arange(n), np.diff(first))
-    found = [counted(row, (hashes >> np.uint64(20)).astype(np.int64) % WORD_CELLS, n)]
+    per_row = np.diff(first)
+    word_row = np.repeat(np.arange(n), per_row)
+    row, cell, value = counted(word_row, (hashes >> np.uint64(20)).astype(np.int64) % WORD_CELLS)
+    found = [(row, cell, value)]
     data, starts = words.joined(words.column(part, text))
-    raw = words.LOWER[np.frombuffer(data, np.uint8)].astype(np.uint32)
+    raw = np.frombuffer(data, np.uint8).astype(np.uint32)
     if len(raw) > 2:
         triple = (raw[:-2] << np.uint32(16)) | (raw[1:-1] << np.uint32(8)) | raw[2:]
-        cell = (triple * np.uint32(0x9E3779B1)) >> np.uint32(16)
-        found.append(counted(np.repeat(np.arange(n), np.diff(starts))[:-2], cell.astype(np.int64), n, WORD_CELLS))
+        cell = ((triple * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64)
+        row, cell, value = counted(np.repeat(np.arange(n), np.diff(starts))[:-2], cell)
+        length = np.sqrt(np.bincount(row, value * value, n))
+        found.append((row, cell + WORD_CELLS, value / length[row]))
+    echo = np.concatenate(([False], (hashes[1:] == hashes[:-1]) & (word_row[1:] == word_row[:-1]))) if len(hashes) else np.zeros(0)
+    found.append((np.arange(n), np.full(n, ECHO), np.bincount(word_row, echo, n) / np.maximum(per_row, 1)))
     row, cell, value = (np.concatenate(x) for x in zip(*found))
     order = np.argsort(row, kind="stable")
     return row[order], cell[order], value[order]
 
 
-def counted(row: np.ndarray, cell: np.ndarray, n: int, base: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    key, count = np.unique(row * np.int64(1 << 20) + cell, return_counts=True)
-    row, cell = key >> 20, key & ((1 << 20) - 1)
-    value = np.log1p(count)
-    norm = np.sqrt(np.bincount(row, value * value, n))
-    return row, cell + base, value / norm[row]
+def counted(row: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    key, count = np.unique(row * np.int64(1 << 24) + cell, return_counts=True)
+    return key >> 24, key & ((1 << 24) - 1), np.log1p(count)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -69,7 +76,7 @@ class Grader:
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def above(self, part: pa.RecordBatch, text: str) -> np.ndarray:
+    def above(self, part: pa.RecordBatch, text: str | tuple[str, str]) -> np.ndarray:
         """P(grade > g) per text and g."""
         row, cell, value = features(part, text)
         x = np.bincount(row, value * self.weights[cell], part.num_rows)
@@ -86,97 +93,124 @@ def slope(weights, thresholds, row, cell, value, grade, weight) -> tuple[np.ndar
     p = np.maximum(up - down, 1e-12)
     d_up, d_down = up * (1 - up), down * (1 - down)
     by_x = weight * (d_up - d_down) / p
-    g_weights = np.bincount(cell, value * by_x[row], len(weights))
+    g_weights = np.bincount(cell, value * by_x[row], len(weights))[: len(weights)]
     g_thresholds = np.bincount(grade, -weight * d_up / p, len(thresholds) + 1)[:-1]
     g_thresholds += np.bincount(grade, weight * d_down / p, len(thresholds) + 1)[1:]
     return g_weights, g_thresholds, float(-(weight * np.log(p)).sum())
 
 
-def fit(
-    graded: DataFrame, grades: int, text: str = "text", grade: str = "grade", id_col: str = "id",
-    sample: int = SAMPLE, steps: int = STEPS, balance: float = 10.0, decay: float = 1e-6,
-) -> Grader | None:
-    """Fit on at most ``sample`` rows of ``graded`` (id, text, grade from 0 to ``grades`` - 1)."""
+def minimised(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, steps: int, memory: int = 8) -> np.ndarray:
+    """Limited-memory BFGS with step halving."""
+    value, slope = loss(x)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        direction, shares = slope.copy(), []
+        for s, y in reversed(moves):
+            shares.append(s @ direction / (y @ s))
+            direction -= shares[-1] * y
+        direction *= moves[-1][0] @ moves[-1][1] / (moves[-1][1] @ moves[-1][1]) if moves else 1 / max(np.abs(slope).sum(), 1e-12)
+        for (s, y), share in zip(moves, reversed(shares)):
+            direction += s * (share - y @ direction / (y @ s))
+        size = 1.0
+        while True:
+            there = x - size * direction
+            new_value, new_slope = loss(there)
+            if new_value <= value - 1e-4 * size * (slope @ direction) or size < 1e-3:
+                break
+            size /= 2
+        if (there - x) @ (new_slope - slope) > 1e-12:
+            moves = [*moves, (there - x, new_slope - slope)][-memory:]
+        gain = value - new_value
+        x, value, slope = there, new_value, new_slope
+        if gain < 1e-6 * abs(value):
+            break
+    return x
+
+
+def graded_rows(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", sample: int = SAMPLE
+) -> DataFrame:
+    """(id, text, grade) of about ``sample`` labelled documents: grade 0 toxic, 1 poor, 2 good.
+
+    ``labels`` (doc_id, quality, toxic) with missing values give no grade; of several of a document the lowest counts.
+    """
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+    worst = labels.select(F.col("doc_id").alias("id"), grade.alias("grade")).groupBy("id").agg(F.min("grade").alias("grade"))
+    worst = cut_lineage(worst.where("grade is not null and id is not null"), "grades")
+    total = worst.count()
+    few = worst.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(total, 1))))
+    # about ``sample`` ids and grades, whatever the number of labels
+    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(few), "id")
+
+
+def fit(graded: DataFrame, grades: int, steps: int = STEPS, balance: float = 0.5, decay: float = 1e-3, least_share: float = 0.003) -> Grader | None:
+    """Fit on all rows of ``graded`` (text, grade from 0 to ``grades`` - 1).
+
+    A grade's rows count as (rows / (grades x rows of it)) ** ``balance`` each.
+    """
     spark = graded.sparkSession
-    keyed = graded.select(
-        F.xxhash64(F.col(id_col).cast("string"), F.col(text)).alias("h"), F.col(text).alias("text"), F.col(grade).cast("int").alias("grade")
-    ).where("grade is not null")
-    total = keyed.count()
-    if total > sample:
-        # a share by hash that holds the bound with room to spare, then the bound itself
-        part = F.pmod(F.col("h"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 1.3 * sample / total))
-        keyed = keyed.where(part).orderBy("h").limit(sample)
 
     def to_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in words.slices(batch, "text"):
                 row, cell, value = features(part, "text")
                 cuts = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
-                yield pa.record_batch(
-                    [
-                        part.column("grade"),
-                        pa.ListArray.from_arrays(cuts, pa.array(cell.astype(np.int32))),
-                        pa.ListArray.from_arrays(cuts, pa.array(value.astype(np.float32))),
-                    ],
-                    ["grade", "cell", "value"],
-                )
+                cells = pa.ListArray.from_arrays(cuts, pa.array(cell.astype(np.int32)))
+                values = pa.ListArray.from_arrays(cuts, pa.array(value.astype(np.float32)))
+                yield pa.record_batch([part.column("grade"), cells, values], ["grade", "cell", "value"])
 
     schema = "grade int, cell array<int>, value array<float>"
-    rows = cut_lineage(keyed.select("text", "grade").mapInArrow(to_features, schema).repartition(TASKS), "features")
+    source = graded.select(F.col("text"), F.col("grade").cast("int").alias("grade"))
+    rows = cut_lineage(source.mapInArrow(to_features, schema).repartition(TASKS), "features")
     count = {r["grade"]: r["count"] for r in rows.groupBy("grade").count().collect()}
     if len(count) < 2:
         return None
     n = sum(count.values())
-    weight_of = np.array([min(balance, n / (len(count) * count[g])) if g in count else 0.0 for g in range(grades)])
-    share = np.cumsum([count.get(g, 0) * weight_of[g] for g in range(grades)])[:-1] / sum(count.get(g, 0) * weight_of[g] for g in range(grades))
-    share = np.clip(share, 0.01, 0.99)
-    thresholds = np.log(share / (1 - share)) + np.arange(grades - 1) * 1e-3
-    weights = np.zeros(CELLS)
-    moment = [np.zeros(CELLS + grades - 1), np.zeros(CELLS + grades - 1)]
-    scale = float(n)
-    for step in range(1, steps + 1):
-        sent = spark.sparkContext.broadcast((weights.astype(np.float32), thresholds))
-
-        def gradient(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            w, t = sent.value
-            sums = np.zeros(CELLS + len(t))
+    # one row per cell at most
+    held = rows.select(F.explode("cell").alias("cell")).groupBy("cell").count().where(F.col("count") >= max(5, least_share * n))
+    cells = np.array(sorted((r["cell"], r["count"]) for r in held.collect()), np.int64).reshape(-1, 2)
+    scale = np.where(cells[:, 0] < WORD_CELLS, WORD_SCALE * np.log(n / np.maximum(cells[:, 1], 1)), TRIPLE_SCALE)
+    scale[cells[:, 0] == ECHO] = ECHO_SCALE
+    cells, size = cells[:, 0], len(cells)
+    weight_of = np.array([(n / (grades * count[g])) ** balance if g in count else 0.0 for g in range(grades)])
+
+    def thresholds_of(z: np.ndarray) -> np.ndarray:
+        return np.cumsum(np.concatenate((z[size : size + 1], np.exp(z[size + 1 :]))))
+
+    def loss(z: np.ndarray) -> tuple[float, np.ndarray]:
+        sent = spark.sparkContext.broadcast((cells, scale, z[:size], thresholds_of(z)))
+
+        def gradient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, by, w, t = sent.value
+            sums = np.zeros(len(known) + len(t) + 1)
             for batch in batches:
-                cells = batch.column("cell")
-                row = np.repeat(np.arange(batch.num_rows), np.diff(cells.offsets.to_numpy()))
+                lists = batch.column("cell")
+                row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+                cell = lists.flatten().to_numpy()
+                at = np.minimum(np.searchsorted(known, cell), max(len(known) - 1, 0))
+                keep = known[at] == cell if len(known) else np.zeros(len(cell), bool)
+                row, at = row[keep], at[keep]
+                value = batch.column("value").flatten().to_numpy()[keep] * by[at]
                 g = batch.column("grade").to_numpy()
-                gw, gt, _ = slope(w, t, row, cells.flatten().to_numpy(), batch.column("value").flatten().to_numpy(), g, weight_of[g])
-                sums += np.concatenate((gw, gt))
-            blocks = np.array_split(sums.astype(np.float32), TASKS)
-            yield pa.record_batch(
-                [pa.array(range(TASKS), pa.int32()), pa.array([b.tobytes() for b in blocks], pa.binary())], ["block", "sums"]
-            )
-
-        def added(table: pa.Table) -> pa.Table:
-            total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in table.column("sums").to_pylist())
-            return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "sums": [total.astype(np.float32).tobytes()]})
-
-        # as many parts per block as there are feature files, at most TASKS
-        parts = rows.mapInArrow(gradient, "block int, sums binary").groupBy("block").applyInArrow(added, "block int, sums binary")
-        slopes = np.concatenate([np.frombuffer(r["sums"], np.float32) for r in sorted(parts.collect(), key=lambda r: r["block"])])
-        sent.unpersist()
-        g = slopes / scale + decay * np.concatenate((weights, np.zeros(grades - 1)))
-        moment[0] = 0.9 * moment[0] + 0.1 * g
-        moment[1] = 0.99 * moment[1] + 0.01 * g * g
-        move = 0.3 * (moment[0] / (1 - 0.9**step)) / (np.sqrt(moment[1] / (1 - 0.99**step)) + 1e-8)
-        weights -= move[:CELLS]
-        thresholds = np.maximum.accumulate(thresholds - move[CELLS:] + 0.0)
-        thresholds += np.arange(grades - 1) * 1e-6
-    return Grader(weights.astype(np.float32), thresholds)
-
-
-def graded_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text, grade) of labelled documents, from ``labels`` (doc_id, quality, toxic): 0 toxic, 1 poor, 2 good.
+                gw, gt, total = slope(w, t, row, at, value, g, weight_of[g])
+                sums += np.concatenate((gw, gt, [total]))
+            yield pa.record_batch([pa.array([sums.tobytes()], pa.binary())], ["sums"])
 
-    Labels with missing values give no grade; of several of a document the lowest counts.
-    """
-    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
-    worst = labels.select(F.col("doc_id").alias("id"), grade.alias("grade")).groupBy("id").agg(F.min("grade").alias("grade"))
-    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(worst.where("grade is not null"), "id")
+        # one vector per file, TASKS at most
+        parts = rows.mapInArrow(gradient, "sums binary").collect()
+        sent.unpersist()
+        total = sum(np.frombuffer(r["sums"], np.float64) for r in parts) / n
+        by_step = np.cumsum(total[size:-1][::-1])[::-1].copy()  # a step moves every threshold behind it
+        by_step[1:] *= np.exp(z[size + 1 :])
+        slope_z = np.concatenate((total[:size] + decay * z[:size], by_step))
+        return float(total[-1] + decay / 2 * (z[:size] @ z[:size])), slope_z
+
+    start = np.zeros(size + grades - 1)
+    start[size] = -1.0
+    z = minimised(loss, start, steps)
+    weights = np.zeros(CELLS, np.float32)
+    weights[cells] = z[:size] * scale
+    return Grader(weights, thresholds_of(z))
 
 
 def scored(docs: DataFrame, grader: Grader | None, tail: int, grades: int, text: str = "text", keep: list[str] | None = None) -> DataFrame:

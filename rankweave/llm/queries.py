@@ -26,7 +26,7 @@ ORACLES: dict[str, str] = {}
 
 # grades: 0 toxic, 1 poor, 2 good; kept where good enough is likelier than this
 GRADES = 3
-KEEP_TAIL = 0.5
+KEEP_TAIL = 0.4
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
