@@ -28,7 +28,7 @@ from rankweave.session import cut_lineage
 
 END_ID = 2
 CACHED_WORDS = 1 << 20
-PIECES_PER_BLOCK = 50_000
+PIECES_PER_BLOCK = 5_000
 
 
 @dataclass(frozen=True)
