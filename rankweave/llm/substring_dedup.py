@@ -144,7 +144,7 @@ def runs(row: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.nd
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (at[1:] > at[:-1] + width)
     begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(row)) - 1
+    end = np.append(begin[1:], len(row))[: len(begin)] - 1
     return row[begin], at[begin], at[end] + width
 
 
