@@ -115,25 +115,24 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
     )
     distinct = cut_lineage(rows.groupBy("key").agg(F.first("n_chars").alias("n_chars"), F.count("*").alias("n")), "keys")
     links = next_documents(distinct.select("key", "n_chars"))
-    treed = with_tree(rows, "text")
-    heads = treed.join(links, "key").select(
+    texts = rows.select("key", "text")  # both joins read one shuffle of these
+    heads = with_tree(texts.join(links, "key").select("taker", "wanted", "text"), "text").select(
         F.col("taker").alias("key"),
         F.substring(F.col("text"), F.lit(1), F.col("wanted")).alias("_head"),
         F.col("fingerprint").alias("_next"),
     )
     if not distinct.where("n > 1").isEmpty():
         heads = heads.dropDuplicates(["key"])
-    cut = F.floor(F.col("n_chars") / 3).cast("int")
+    size = F.length("text")
     # floor(n / 3) of the taker's code points go, whatever the head has
-    joined = treed.join(heads, "key").select(
+    own = F.substring(F.col("text"), F.lit(1), size - F.floor(size / 3).cast("int"))
+    joined = with_tree(texts.join(heads, "key"), "text").select(
         F.col("key.id").alias("id"),
-        "n_chars",
-        "fingerprint",
-        F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - cut), F.col("_head")).alias("edited"),
+        size.cast("long").alias("n_chars"),
+        F.col("fingerprint").alias("_own"),
+        F.concat(own, F.col("_head")).alias("edited"),
         "_next",
     )
-    both = with_tree(joined.withColumnRenamed("fingerprint", "_own"), "edited").withColumnsRenamed(
-        {"fingerprint": "edited_fingerprint", "_own": "fingerprint"}
-    )
+    both = with_tree(joined, "edited").withColumnsRenamed({"fingerprint": "edited_fingerprint", "_own": "fingerprint"})
     pairs = {"near_edited": ("fingerprint", "edited_fingerprint"), "near_next": ("fingerprint", "_next")}
     return likeness(both, pairs).drop("_next")
