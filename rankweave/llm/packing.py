@@ -27,7 +27,10 @@ from rankweave.llm import words
 from rankweave.session import cut_lineage
 
 END_ID = 2
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 1 << 19
+# Words encoded in one call, and text cut in one step: they bound a worker's memory.
+ENCODED_AT_ONCE = 1 << 13
+STEP_BYTES = 1 << 20
 PIECES_PER_BLOCK = 5_000
 
 
@@ -59,8 +62,11 @@ class WordIds:
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in encoded]
+        out: list[bytes] = []
+        for at in range(0, len(texts), ENCODED_AT_ONCE):
+            encoded = self.tokenizer.encode_batch_fast(texts[at : at + ENCODED_AT_ONCE], add_special_tokens=False)
+            out += [np.array(x.ids, "<u4").tobytes() for x in encoded]
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [text.split(" ") for text in texts]
@@ -98,7 +104,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(tokenizer)
         for batch in batches:
-            for part in words.slices(batch, "text"):
+            for part in words.slices(batch, "text", STEP_BYTES):
                 row, piece, start, ids = [], [], [], []
                 for k, data in enumerate(encode([x or "" for x in part.column("text").to_pylist()])):
                     data += end

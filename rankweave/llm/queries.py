@@ -124,3 +124,24 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
         "host string, path string, verdict string",
     )
     return url_filter.judged(table(spark, folder, "pages"), rules).drop("words").withColumnRenamed("id", "page_id")
+
+
+# Windows are compared as text here, words are cut at the same white space.
+ORACLES["op8_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+), win AS (
+  SELECT doc_id, pos, md5(array_to_string(w[pos:pos + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d)
+), first_doc AS (
+  SELECT h, min(doc_id) AS first_id FROM win GROUP BY h
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS pos FROM win JOIN first_doc USING (h) WHERE first_id < doc_id
+), each AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS body, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""".strip()
