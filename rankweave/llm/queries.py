@@ -129,7 +129,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 # Windows are compared as text here, words are cut at the same white space.
 ORACLES["op8_substring_dedup"] = r"""
 WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), win AS (
   SELECT doc_id, pos, md5(array_to_string(w[pos:pos + 49], ' ')) AS h
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d)
