@@ -19,6 +19,8 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CELLS_PER_STEP = 1 << 21
+# Scores this close differ by the order of a sum only; they tie and the lower id comes first.
+RANK_DIGITS = 10
 FACET_NAMES = ("country", "variety", "color")
 # (filter column, item column, lower bound?)
 RANGE_BOUNDS = (
@@ -35,6 +37,9 @@ def matrix_of(column) -> np.ndarray:
         column = column.combine_chunks()
     if not len(column):
         return np.zeros((0, 0))
+    width = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    if (width != width[0]).any():
+        raise ValueError(f"vectors of {np.nanmin(width):g} to {np.nanmax(width):g} numbers in one column")
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.astype(np.float64, copy=False).reshape(len(column), -1)
 
@@ -158,7 +163,7 @@ def top_k_task(shared, k: int, filtered: bool, n_lists: int = 0):
         block = QueryBlock.read(shared.value, filtered, n_lists)
         best = RunningTopK(len(block.ids), k)
         for piece in steps(batches, len(block.ids)):
-            score = np.round(block.scores(piece), 6) + 0.0  # no negative zero
+            score = np.round(block.scores(piece), RANK_DIGITS) + 0.0  # no negative zero
             best.push(piece["doc_id"].to_numpy(), score)
         yield best.rows(block.ids)
 
@@ -189,22 +194,28 @@ def score_summary_task(shared, filtered: bool):
     return run
 
 
-def nearest_lists_task(shared, vector: str, n: int | None, out: str):
-    """Partition function: append the best centroid of ``vector``, or with ``n`` a list of the best ``n``."""
+def nearest_lists_task(shared, vector: str, n: int, score_out: str, list_out: str):
+    """Partition function: the best ``n`` lists of ``vector`` so far, best first, with their scores.
+
+    ``shared`` holds one part of the centroids. Lists and scores of earlier parts are read from the columns
+    of those names and replaced, so any number of parts can follow one another.
+    """
 
     def run(batches):
         list_ids, centroids = shared.value
         for piece in steps(batches, len(list_ids)):
-            score = np.round(matrix_of(piece[vector]) @ centroids.T, 6)
-            if n is None:
-                # ids ascend, so the first maximum is the lowest id
-                column = pa.array(list_ids[score.argmax(axis=1)].astype(np.int32))
-            else:
-                order = np.lexsort((np.broadcast_to(list_ids, score.shape), -score), axis=1)[:, :n]
-                best = list_ids[order].astype(np.int32)
-                offsets = np.arange(0, best.size + 1, best.shape[1], dtype=np.int32)
-                column = pa.ListArray.from_arrays(offsets, pa.array(best.ravel()))
-            yield from piece.append_column(out, column).combine_chunks().to_batches()
+            score = np.round(matrix_of(piece[vector]) @ centroids.T, RANK_DIGITS)
+            lists = np.broadcast_to(list_ids, score.shape)
+            if list_out in piece.column_names:
+                score = np.concatenate((matrix_of(piece[score_out]), score), axis=1)
+                lists = np.concatenate((matrix_of(piece[list_out]).astype(np.int64), lists), axis=1)
+                piece = piece.drop_columns([score_out, list_out])
+            order = np.lexsort((lists, -score), axis=1)[:, :n]
+            offsets = np.arange(0, order.size + 1, order.shape[1], dtype=np.int32)
+            for name, values in ((score_out, score), (list_out, lists.astype(np.int32))):
+                best = np.take_along_axis(values, order, axis=1).ravel()
+                piece = piece.append_column(name, pa.ListArray.from_arrays(offsets, pa.array(best)))
+            yield from piece.combine_chunks().to_batches()
 
     return run
 

@@ -54,14 +54,18 @@ def whole_word(text: Column, literal: Column) -> Column:
     return F.rlike(text, pattern)
 
 
+# White space as Unicode has it, in a form that Java and RE2 both read.
+SPACES = r"[\s\x0B\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
 def strip(text: Column) -> Column:
     """Remove white space of every kind at both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.regexp_replace(text, f"^{SPACES}+|{SPACES}+$", "")
 
 
 def normalized_key(text: Column) -> Column:
     """Lower case with runs of white space collapsed: the identity of a repeated query."""
-    return strip(F.regexp_replace(F.lower(text), r"\s+", " "))
+    return strip(F.regexp_replace(F.lower(text), f"{SPACES}+", " "))
 
 
 def snippet(text: Column, length: int = 100) -> Column:

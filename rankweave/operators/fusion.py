@@ -34,9 +34,9 @@ def fuse(*lists: DataFrame, k: int = RRF_K) -> DataFrame:
         tag_lists(*lists)
         .groupBy("query_id", "doc_id")
         .agg(
-            F.round(F.sum(reciprocal_rank(F.col("rank"), k)), 9).alias("score"),
+            F.round(F.sum(reciprocal_rank(F.col("rank"), k)), 12).alias("score"),
             F.min(F.struct("list_ix", "rank")).alias("_first"),
         )
     )
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("_first"), F.asc("doc_id"))
-    return fused.select("query_id", "doc_id", F.row_number().over(window).alias("rank"), "score")
+    return fused.select("query_id", "doc_id", F.row_number().over(window).alias("rank"), F.round("score", 9).alias("score"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.functions.kernels import RANK_DIGITS
 from rankweave.functions.scoring import bm25_idf, bm25_saturation
 from rankweave.functions.text import tokens
 from rankweave.operators.filters import FILTER_COLUMNS, ITEM_COLUMNS, facets_match, ranges_match
+from rankweave.operators.nearest import SCORE_DIGITS
 from rankweave.plans.bounds import by_query_block, top_k
 from rankweave.sources.catalogue import Catalogue
 
@@ -38,13 +40,13 @@ def keyword_scores(catalogue: Catalogue, block: DataFrame, filtered: bool) -> Da
     if filtered:
         hits = hits.where(facets_match() & ranges_match())
     part = F.col("idf") * bm25_saturation(F.col("tf"), F.col("dl"), catalogue.avgdl)
-    return hits.groupBy("doc_id", "query_id").agg(F.round(F.sum(part), 6).alias("score"))
+    return hits.groupBy("doc_id", "query_id").agg(F.round(F.sum(part), RANK_DIGITS).alias("score"))
 
 
 def keyword_block(catalogue: Catalogue, block: DataFrame, k: int, filtered: bool) -> DataFrame:
     scores = keyword_scores(catalogue, block, filtered)
     ranked = top_k(scores, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
-    return ranked.select("query_id", "doc_id", "rank", "score")
+    return ranked.select("query_id", "doc_id", "rank", F.round("score", SCORE_DIGITS).alias("score"))
 
 
 def keyword_top_k(

@@ -17,8 +17,9 @@ from rankweave.plans.bounds import by_query_block, top_k
 from rankweave.session import cut_lineage, scratch_path
 
 HITS = "query_id long, doc_id long, score double"
-# Centroids are held by every task: lists x dimensions stays below this many numbers.
+# Centroids are sent to tasks in parts of at most this many numbers.
 CENTROID_NUMBERS = 16_000_000
+SCORE_DIGITS = 6
 
 
 def _payload(block: DataFrame, filtered: bool, *extra: str):
@@ -49,7 +50,7 @@ def _in_waves(vectors: DataFrame) -> DataFrame:
 
 def _best(hits: DataFrame, k: int) -> DataFrame:
     ranked = top_k(hits, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
-    return ranked.select("query_id", "doc_id", "rank", "score")
+    return ranked.select("query_id", "doc_id", "rank", F.round("score", SCORE_DIGITS).alias("score"))
 
 
 def vector_block(items: DataFrame, block: DataFrame, k: int, filtered: bool) -> DataFrame:
@@ -141,21 +142,42 @@ def group_centroids(vectors: DataFrame, group: str | Column) -> DataFrame:
     )
 
 
-def _shared_centroids(centroids: DataFrame):
-    n, width = centroids.agg(F.count("*"), F.max(F.size("centroid"))).first()
-    if not n or n * width > CENTROID_NUMBERS:
-        raise ValueError(f"{n} centroids of {width} numbers: none, or too many to hold in every task")
-    table = centroids.select("list_id", "centroid").orderBy("list_id").toArrow()
-    matrix = kernels.matrix_of(table["centroid"])
-    return centroids.sparkSession.sparkContext.broadcast((table["list_id"].to_numpy(), matrix)), len(matrix)
+def nearest_lists(rows: DataFrame, vector: str, centroids: DataFrame, n: int | None) -> DataFrame:
+    """Append ``_lists``, the best ``n`` lists (all without one) of each vector, best first, and ``_scores``.
+
+    Centroids beyond ``CENTROID_NUMBERS`` are taken in parts: each is broadcast by itself and improves on
+    the best lists so far, and between two parts the rows are written, so no task holds two.
+    """
+    spark = rows.sparkSession
+    lists, width = centroids.agg(F.count("*"), F.max(F.size("centroid"))).first()
+    if not lists:
+        raise ValueError("no centroids")
+    parts = -(-lists * width // CENTROID_NUMBERS)
+    schema = T.StructType(
+        [
+            *rows.schema.fields,
+            T.StructField("_scores", T.ArrayType(T.DoubleType())),
+            T.StructField("_lists", T.ArrayType(T.IntegerType())),
+        ]
+    )
+    ordered = centroids.select("list_id", "centroid").orderBy("list_id")
+    for part in range(parts):
+        some = ordered.where(F.pmod(F.xxhash64("list_id"), F.lit(parts)) == part) if parts > 1 else ordered
+        table = some.toArrow()
+        if not table.num_rows:
+            continue
+        shared = spark.sparkContext.broadcast((table["list_id"].to_numpy(), kernels.matrix_of(table["centroid"])))
+        rows = rows.mapInArrow(kernels.nearest_lists_task(shared, vector, n or lists, "_scores", "_lists"), schema)
+        if part < parts - 1:
+            rows = cut_lineage(rows, "nearest")
+    return rows
 
 
 def assign_lists(items: DataFrame, centroids: DataFrame) -> DataFrame:
     """Append the id of the nearest centroid to every item that has a vector."""
-    shared, _ = _shared_centroids(centroids)
     items = items.where(F.col("embedding").isNotNull())
-    schema = T.StructType([*items.schema.fields, T.StructField("list_id", T.IntegerType())])
-    return items.mapInArrow(kernels.nearest_lists_task(shared, "embedding", None, "list_id"), schema)
+    found = nearest_lists(items, "embedding", centroids, 1)
+    return found.withColumn("list_id", F.get("_lists", F.lit(0))).drop("_scores", "_lists")
 
 
 def build_inverted_file(
@@ -182,13 +204,11 @@ def build_inverted_file(
 
 def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int | str) -> DataFrame:
     """Append ``probes``: the lists a query will visit, best first. ``nprobe`` may be a column name."""
-    shared, n_lists = _shared_centroids(centroids)
     queries = queries.where(F.col("qv").isNotNull())
-    schema = T.StructType([*queries.schema.fields, T.StructField("probes", T.ArrayType(T.IntegerType()))])
-    widest = n_lists if isinstance(nprobe, str) else min(nprobe, n_lists)
-    ranked = queries.mapInArrow(kernels.nearest_lists_task(shared, "qv", widest, "probes"), schema)
+    widest = queries.agg(F.max(nprobe)).first()[0] if isinstance(nprobe, str) else nprobe
+    ranked = nearest_lists(queries, "qv", centroids, widest or 1)
     length = F.col(nprobe) if isinstance(nprobe, str) else F.lit(nprobe)
-    return ranked.withColumn("probes", F.slice("probes", F.lit(1), length))
+    return ranked.withColumn("probes", F.slice("_lists", F.lit(1), length)).drop("_scores", "_lists")
 
 
 def ann_block(

@@ -215,11 +215,11 @@ def extract_by_rules(queries: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def extract_once(queries: DataFrame, extractor: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Send each distinct query to ``extractor`` once and give every repeat the same record.
 
-    Repeats are found by normalised text. The first (least query_id) is marked ``llm``, the others
+    Repeats are found by a 128-bit hash of the normalised text. The first (least query_id) is marked ``llm``, the others
     ``cache``. Counting down to one row per text is combined inside each task, and the way back is a join
     that stands a text shared by a large part of all queries.
     """
-    keyed = queries.withColumn("_key", normalized_key(F.col("query")))
+    keyed = queries.withColumn("_key", F.md5(normalized_key(F.col("query")).cast("binary")))
     first = keyed.groupBy("_key").agg(
         F.min("query_id").alias("query_id"), F.min_by("query", "query_id").alias("query")
     )

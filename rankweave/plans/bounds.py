@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from rankweave.functions.text import tokens
 from rankweave.session import cut_lineage, scratch_path
 
-# A side is broadcast only when it is known to hold at most this many rows.
+# A side is broadcast only when it is known to hold at most this many rows, and counted bytes.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 # Queries (and their distinct terms) handled in one pass over the corpus.
 BLOCK_QUERIES = 4_096
 BLOCK_TERMS = 400_000
@@ -20,6 +22,7 @@ POINT_LOOKUPS = 1_000
 MAX_LOOKUPS = 20_000
 # How many ways the large side of a shuffled lookup is split per key.
 SALTS = 32
+FIXED_WIDTH = re.compile("boolean|tinyint|smallint|int|bigint|float|double|decimal|date|timestamp")
 
 
 def lookup_join(
@@ -31,8 +34,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large side to a lookup whose keys may be badly skewed on the large side.
 
-    ``small_rows`` is an upper bound already known; without one the lookup is written and its rows are
-    counted. Inside the bound the lookup is broadcast and the large side is not shuffled at all. Beyond it
+    ``small_rows`` is an upper bound already known, for short rows; without one the lookup is written and its rows
+    and bytes are counted. Inside the bound the lookup is broadcast and the large side is not shuffled at all. Beyond it
     both sides shuffle on (key, salt): the large side draws a salt per row, the lookup is repeated once per
     salt, so a key holding a third of all rows spreads over ``SALTS`` tasks.
     """
@@ -40,11 +43,17 @@ def lookup_join(
         raise ValueError(f"{how} would repeat lookup rows once per salt")
     if small_rows is None:
         small = cut_lineage(small, "lookup")
-        small_rows = small.count()
+        long = [c for c, kind in small.dtypes if not FIXED_WIDTH.match(kind)]
+        size = sum([F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in long], F.lit(16))
+        small_rows, n_bytes = small.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+        if n_bytes > BROADCAST_BYTES:
+            small_rows = BROADCAST_ROWS + 1
     if small_rows <= BROADCAST_ROWS:
         return large.join(F.broadcast(small), on, how)
+    # short columns spread a key's rows as well as all would, without hashing texts and vectors
+    short = [c for c, kind in large.dtypes if c not in on and FIXED_WIDTH.match(kind)]
     salted = large.withColumn(
-        "_salt", F.pmod(F.xxhash64(*large.columns), F.lit(SALTS)).cast("int")
+        "_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in short or large.columns]), F.lit(SALTS)).cast("int")
     )
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

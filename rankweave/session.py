@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,8 +29,8 @@ def build_session(app: str = "rankweave", master: str | None = None, **conf: str
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
-    ``spark.checkpoint.dir`` names it on a cluster. Only where it is unset does a local session get a
-    temporary folder, and a cluster session a folder beside its warehouse tables.
+    ``spark.checkpoint.dir`` names it on a cluster, which has no other folder that all its machines are
+    known to share. Only a local session gets a temporary one where it is unset.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -37,10 +38,9 @@ def scratch_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
-        if sc.master.startswith("local"):
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="rankweave-"))
-        else:
-            sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_rankweave")
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="rankweave-"))
         current = sc.getCheckpointDir()
     return current.rstrip("/")
 

@@ -39,9 +39,14 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header, quoted line breaks and doubled quotes; types are inferred without a schema."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool = False
+) -> DataFrame:
+    """CSV with a header and doubled quotes; types are inferred without a schema, by a read of their own.
+
+    A file is split over tasks. ``line_breaks`` allows quoted line breaks, which makes each file one task.
+    """
+    reader = spark.read.option("header", True).option("multiLine", line_breaks).option("escape", '"')
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankweave.functions.text import with_term_counts
-from rankweave.operators.encode import hashed_vectors
+from rankweave.operators import understand
+from rankweave.operators.encode import QUERY_PREFIX, hashed_vectors
 from rankweave.operators.enrich import enrich
 from rankweave.operators.filters import FILTER_COLUMNS, value_domain
 from rankweave.operators.nearest import InvertedFile, build_inverted_file, group_centroids
@@ -96,7 +97,7 @@ KEYWORD_CTE = f"""qterms AS (
 ),
 kw_scores AS (
   SELECT q.query_id, p.doc_id,
-         round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score
+         round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 10) AS score
   FROM qterms q JOIN postings p USING (term) JOIN term_df USING (term) JOIN doc_len USING (doc_id), stats
   GROUP BY q.query_id, p.doc_id
 )"""
@@ -104,7 +105,7 @@ kw_scores AS (
 
 def sql_top(source: str, k: int, name: str, where: str = "") -> str:
     return f"""{name} AS (
-  SELECT query_id, doc_id, CAST(r AS INTEGER) AS rank, score FROM (
+  SELECT query_id, doc_id, CAST(r AS INTEGER) AS rank, round(score, 6) AS score FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS r
     FROM {source} {where}
   ) WHERE r <= {k}
@@ -115,7 +116,7 @@ IN_ELIGIBLE = "WHERE (query_id, doc_id) IN (SELECT query_id, doc_id FROM elig)"
 KW_CTE = sql_top("kw_scores", 100, "kw", IN_ELIGIBLE)
 VECTOR_CTE = """vec_scores AS (
   SELECT q.query_id, i.doc_id,
-         round(list_dot_product(CAST(q.qv AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])), 6) AS score
+         round(list_dot_product(CAST(q.qv AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])), 10) AS score
   FROM queries q, items i WHERE q.qv IS NOT NULL AND i.embedding IS NOT NULL
 )"""
 VEC_CTE = sql_top("vec_scores", 100, "vec", IN_ELIGIBLE)
@@ -133,13 +134,13 @@ def sql_centroids(group: str, name: str) -> str:
 {name}_lists AS (
   SELECT doc_id, list_id FROM (
     SELECT doc_id, list_id, row_number() OVER (PARTITION BY doc_id
-      ORDER BY round(list_dot_product(CAST(embedding AS DOUBLE[]), centroid), 6) DESC, list_id) AS r
+      ORDER BY round(list_dot_product(CAST(embedding AS DOUBLE[]), centroid), 10) DESC, list_id) AS r
     FROM items, {name}_cent WHERE embedding IS NOT NULL
   ) WHERE r = 1
 ),
 {name}_probes AS (
   SELECT query_id, list_id, row_number() OVER (PARTITION BY query_id
-      ORDER BY round(list_dot_product(CAST(qv AS DOUBLE[]), centroid), 6) DESC, list_id) AS probe
+      ORDER BY round(list_dot_product(CAST(qv AS DOUBLE[]), centroid), 10) DESC, list_id) AS probe
   FROM queries, {name}_cent WHERE qv IS NOT NULL
 ),
 {name}_scores AS (
@@ -152,12 +153,12 @@ def sql_fuse(lists: dict[str, str], name: str) -> str:
     """``lists`` maps each ranked CTE to its list number."""
     union = " UNION ALL ".join(f"SELECT query_id, doc_id, rank, {ix} AS li FROM {cte}" for cte, ix in lists.items())
     return f"""{name} AS (
-  SELECT query_id, doc_id, score,
-         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, seen, doc_id) AS INTEGER) AS rank
+  SELECT query_id, doc_id, round(score, 9) AS score,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY t.score DESC, seen, doc_id) AS INTEGER) AS rank
   FROM (
-    SELECT query_id, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS score, min(li * 1000000 + rank) AS seen
+    SELECT query_id, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 12) AS score, min(li * 1000000 + rank) AS seen
     FROM ({union}) GROUP BY query_id, doc_id
-  )
+  ) t
 )"""
 
 
@@ -409,21 +410,12 @@ def _sql_number(pattern: str) -> str:
 
 
 def sql_price_points() -> str:
-    """x_numbers: the numeric bounds, spelled out independently of the Spark expressions."""
-    max1 = _sql_number(r"(?:under|below|less than|cheaper than|max(?:imum)?|up to)\s*\$?\s*(\d+)")
-    max2 = _sql_number(r"\$?\s*(\d+)\s*(?:or less|or under|and under)")
-    low = _sql_number(r"(?:over|above|more than|at least|min(?:imum)?)\s*\$\s*(\d+)")
-    points = [
-        _sql_number(p)
-        for p in (
-            r"(\d{2,3})\s*\+\s*(?:points?|pts?)",
-            r"(\d{2,3})\s*(?:points?|pts?)\s*(?:or (?:better|higher|above|more))",
-            r"(?:at least|minimum|min|over|above)\s*(\d{2,3})\s*(?:points?|pts?)",
-            r"rated\s*(?:at least\s*)?(\d{2,3})",
-            r"(\d{2,3})\s*(?:points?|pts?)\s*(?:or\s*)?(?:up|plus)",
-        )
-    ]
-    ladder = ", ".join(f"CASE WHEN {p} BETWEEN 80 AND 100 THEN {p} END" for p in points)
+    """x_numbers: the numeric bounds, from the same fixed patterns as the Spark expressions."""
+    max1, max2 = map(_sql_number, understand.PRICE_MAX_PATTERNS)
+    low = _sql_number(understand.PRICE_MIN_PATTERN)
+    points = [_sql_number(p) for p in understand.POINTS_MIN_PATTERNS]
+    least, most = understand.POINTS_SCALE
+    ladder = ", ".join(f"CASE WHEN {p} BETWEEN {least} AND {most} THEN {p} END" for p in points)
     return f"""x_numbers AS (
   SELECT query_id, {low} AS price_min, coalesce({max2}, {max1}) AS price_max, coalesce({ladder}) AS points_min FROM lq
 )"""
@@ -469,7 +461,7 @@ def asked_ctes() -> tuple[str, ...]:
         *sql_extract("aq", "SELECT lang AS v FROM documents", ASKED_ALIASES, "SELECT source AS v FROM documents", SOURCE_CLASS),
         items_cte,
         sql_hashed("dv", "doc_id", "documents", "text"),
-        sql_hashed("av", "query_id", "aq", "'Represent this sentence for searching relevant passages: ' || query"),
+        sql_hashed("av", "query_id", "aq", f"'{QUERY_PREFIX}' || query"),
         "items AS (SELECT p.* EXCLUDE (embedding), dv.v AS embedding FROM plain_items p LEFT JOIN dv USING (doc_id))",
         f"queries AS (SELECT e.query_id, e.query, {records}, av.v AS qv FROM ext e LEFT JOIN av USING (query_id))",
         ELIGIBLE_CTE, POSTINGS_CTE, KEYWORD_CTE, VECTOR_CTE, KW_CTE, VEC_CTE,

@@ -131,7 +131,7 @@ def embed_hashed(spark, folder):
     return encode.hashed_components(b.catalogue(spark, folder).items)
 
 
-PREFIXED = "'Represent this sentence for searching relevant passages: ' || text"
+PREFIXED = f"'{encode.QUERY_PREFIX}' || text"
 
 
 @query("embed_query_prefixed", _hashed_sql("item_id", "benchmark", PREFIXED))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rankweave.functions.text import normalized_key
+from rankweave.functions.text import SPACES, normalized_key
 from rankweave.operators import filters, normalize, present, understand
 from rankweave.session import scratch_path
 from rankweave.sources.tables import read_query_set, read_table, write_query_set
@@ -19,12 +19,12 @@ def _extracted(spark, folder):
 
 
 @query("qu_guard_empty", b.ctes(b.PART_QUERIES_CTE) + r"""SELECT query_id, query FROM (
-    SELECT query_id, regexp_replace(coalesce(query, ''), '^\s+|\s+$', '', 'g') AS query FROM pq) WHERE query <> ''""")
+    SELECT query_id, regexp_replace(coalesce(query, ''), '^@S+|@S+$', '', 'g') AS query FROM pq) WHERE query <> ''""".replace("@S", SPACES))
 def qu_guard_empty(spark, folder):
     return normalize.guard_queries(b.part_queries(spark, folder))
 
 
-@query("qu_normalize_key", b.ctes(b.PART_QUERIES_CTE) + r"""SELECT query_id, trim(regexp_replace(lower(query), '\s+', ' ', 'g')) AS key FROM pq""")
+@query("qu_normalize_key", b.ctes(b.PART_QUERIES_CTE) + r"""SELECT query_id, trim(regexp_replace(lower(query), '@S+', ' ', 'g')) AS key FROM pq""".replace("@S", SPACES))
 def qu_normalize_key(spark, folder):
     return b.part_queries(spark, folder).select("query_id", normalized_key(F.col("query")).alias("key"))
 
@@ -73,8 +73,8 @@ def qu_extract(spark, folder):
     return _extracted(spark, folder)
 
 
-KEYED = r"""keyed AS (SELECT query_id, trim(regexp_replace(lower(query), '\s+', ' ', 'g')) AS key FROM pq),
-first AS (SELECT key, min(query_id) AS first_id FROM keyed GROUP BY key)"""
+KEYED = r"""keyed AS (SELECT query_id, trim(regexp_replace(lower(query), '@S+', ' ', 'g')) AS key FROM pq),
+first AS (SELECT key, min(query_id) AS first_id FROM keyed GROUP BY key)""".replace("@S", SPACES)
 
 
 @query(

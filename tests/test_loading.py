@@ -18,8 +18,8 @@ def test_csv_round_trip_with_awkward_text(spark):
     frame = spark.createDataFrame(rows, "id int, t string")
     path = scratch_path(spark, "csv")
     tables.write_csv(frame, path)
-    assert sorted(map(tuple, tables.read_csv(spark, path, frame.schema).collect())) == rows
-    assert dict(tables.read_csv(spark, path).dtypes) == {"id": "int", "t": "string"}
+    assert sorted(map(tuple, tables.read_csv(spark, path, frame.schema, line_breaks=True).collect())) == rows
+    assert dict(tables.read_csv(spark, path, line_breaks=True).dtypes) == {"id": "int", "t": "string"}
 
 
 def test_unnamed_first_column(spark, tmp_path):

@@ -175,3 +175,39 @@ def test_long_lists_are_prefixes(items, queries):
     short = ranked(nearest.vector_top_k(items, queries, 2), "doc_id")
     long = ranked(nearest.vector_top_k(items, queries, 5), "doc_id")
     assert all(long[q][: len(short[q])] == short[q] for q in short)
+
+
+def test_scores_beyond_six_digits_decide(spark):
+    from rankweave.operators.nearest import build_inverted_file
+
+    rows = [(0, [0.5, 0.0], *[None] * 5), (1, [0.5000003, 0.0], *[None] * 5), (2, [0.1, 0.0], *[None] * 5)]
+    schema = "doc_id long, embedding array<double>, country string, variety string, color string, price double, points long"
+    items = spark.createDataFrame(rows, schema)
+    asked = spark.createDataFrame([(7, "x", [1.0, 0.0])], "query_id long, query string, qv array<double>")
+    assert [r["doc_id"] for r in nearest.vector_top_k(items, asked, 1, filtered=False).collect()] == [1]
+    centroids = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0000003, 0.0])], "list_id int, centroid array<double>")
+    index = build_inverted_file(items, centroids)
+    assert {r["list_id"] for r in index.lists.collect()} == {1}
+    assert [r["doc_id"] for r in nearest.ann_top_k(index, asked, 1, 1, filtered=False).collect()] == [1]
+
+
+@pytest.mark.parametrize("numbers", [2, 6, 10**6])
+def test_centroids_in_parts_choose_the_same_lists(spark, monkeypatch, numbers):
+    monkeypatch.setattr(nearest, "CENTROID_NUMBERS", numbers)
+    rng = np.random.default_rng(3)
+    vectors, centres = rng.normal(size=(40, 2)), rng.normal(size=(9, 2))
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "query_id long, qv array<double>")
+    lists = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(centres)], "list_id int, centroid array<double>")
+    found = {r["query_id"]: r["probes"] for r in nearest.probe_lists(rows, lists, 3).collect()}
+    want = np.argsort(-(vectors @ centres.T), axis=1)[:, :3]
+    assert [found[k] for k in range(40)] == want.tolist()
+
+
+def test_ragged_vectors_are_refused():
+    import pyarrow as pa
+
+    from rankweave.functions.kernels import matrix_of
+
+    assert matrix_of(pa.array([[1.0, 2.0], [3.0, 4.0]])).tolist() == [[1, 2], [3, 4]]
+    with pytest.raises(ValueError):
+        matrix_of(pa.array([[1.0, 2.0, 3.0], [4.0]]))

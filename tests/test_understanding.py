@@ -153,3 +153,14 @@ def test_filter_line_and_notes(spark):
     assert first[0] == "**Country:** Italy · **Style:** red · **Max price:** $20 · **Min rating:** 90.0"
     assert first[-1] == "Filters served from cache"
     assert second == ["No hard filters", "3 on keywords, 100 on meaning"]
+
+
+def test_white_space_of_every_kind(spark):
+    from pyspark.sql import functions as F
+
+    from rankweave.functions.text import normalized_key, strip
+
+    row = spark.createDataFrame([("\u00a0\u3000 Red\u2009\u00a0Wine \u2003\x0b",)], "t string").select(
+        strip(F.col("t")).alias("s"), normalized_key(F.col("t")).alias("k")
+    ).first()
+    assert (row["s"], row["k"]) == ("Red\u2009\u00a0Wine", "red wine")
