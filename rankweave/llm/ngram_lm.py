@@ -38,12 +38,12 @@ START = np.uint64(0x5157A27)
 END = np.uint64(0xE0D0F7E)
 PAIR_BASE = np.uint64(0xD6E8FEB86659FD93)
 # Text whose pairs are counted together before they are shuffled.
-COUNT_BYTES = 12 << 20
+COUNT_BYTES = 8 << 20
 # A context with this share of a sample's tokens is hot; there are at most 1 / share of them.
 HOT_SHARE = 0.002
 HOT_WAYS = 16
 SAMPLE_SHARE = 0.01
-PAIRS_PER_SHARD = 1_000_000
+PAIRS_PER_SHARD = 400_000
 
 COUNTED = "shard int, u long, v long, n long"
 LEARNT = "kind int, shard int, word long, n0 long, n1 long, n2 long, n3 long, n4 long"
@@ -211,9 +211,10 @@ def count_pairs(docs: DataFrame, text: str, hot: np.ndarray, shards: int) -> Dat
             for part in words.slices(batch, text, COUNT_BYTES):
                 u, v, _ = with_ends(part, text)
                 _, at, n = np.unique(pair_hash(u, v), return_index=True, return_counts=True)
-                order = np.argsort(u[at], kind="stable")  # equal contexts together: less to shuffle
-                at, n = at[order], n[order]
                 u, v = u[at], v[at]
+                order = np.argsort(u, kind="stable")  # equal contexts together: less to shuffle
+                u, v, n = u[order], v[order], n[order]
+                del at, order  # a batch's temporaries need not outlive it while its rows are sent
                 shard = spread(u, v, hot, shards)
                 yield pa.record_batch(
                     [pa.array(shard), pa.array(signed(u)), pa.array(signed(v)), pa.array(n)], ["shard", "u", "v", "n"]
