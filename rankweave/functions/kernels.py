@@ -57,9 +57,12 @@ class QueryBlock:
     @classmethod
     def read(cls, payload: bytes, filtered: bool, n_lists: int = 0) -> QueryBlock:
         table = pa.ipc.open_stream(payload).read_all()
-        block = cls(table["query_id"].to_numpy(), matrix_of(table["qv"]))
+        vectors = matrix_of(table["qv"]) if "qv" in table.column_names else np.zeros((table.num_rows, 0))
+        block = cls(table["query_id"].to_numpy(), vectors)
         if filtered:
             for name in FACET_NAMES:
+                if f"f_{name}" not in table.column_names:
+                    continue
                 wanted = table[f"f_{name}"].combine_chunks()
                 values = pc.unique(wanted).drop_null()
                 values = values.filter(pc.not_equal(values, ""))  # an empty string is unset too
@@ -170,6 +173,80 @@ def top_k_task(shared, k: int, filtered: bool, n_lists: int = 0):
     return run
 
 
+def keyword_task(queries, weights, k: int, filtered: bool, saturation):
+    """Partition function: local best ``k`` documents per query by the sum of idf x saturation over shared terms.
+
+    ``weights`` are (query_id, term, idf) of the block; ``saturation(tf, dl)`` is the weight of a posting. Pairs
+    of a query and a document exist only as cells of one small grid at a time.
+    """
+
+    def run(batches):
+        block = QueryBlock.read(queries.value, filtered)
+        table = pa.ipc.open_stream(weights.value).read_all()
+        terms = pc.unique(table["term"])
+        term = pc.index_in(table["term"], value_set=terms).to_numpy()
+        by_id = np.argsort(block.ids)
+        query = by_id[np.searchsorted(block.ids[by_id], table["query_id"].to_numpy())]
+        order = np.argsort(term, kind="stable")
+        query, idf = query[order], table["idf"].to_numpy()[order]
+        start = np.searchsorted(term[order], np.arange(len(terms) + 1))
+        best = RunningTopK(len(block.ids), k)
+        for piece in steps(batches, len(block.ids)):
+            postings = piece["postings"].combine_chunks()
+            flat = postings.flatten()
+            found = pc.fill_null(pc.index_in(pc.struct_field(flat, "term"), value_set=terms), -1).to_numpy()
+            lengths = pc.fill_null(pc.list_value_length(postings), 0).to_numpy()
+            doc = np.repeat(np.arange(piece.num_rows), lengths)
+            hit = np.flatnonzero(found >= 0)
+            found, doc = found[hit], doc[hit]
+            tf = pc.struct_field(flat, "tf").to_numpy(zero_copy_only=False)[hit]
+            weight = saturation(tf, piece["dl"].to_numpy()[doc])
+            asking = start[found + 1] - start[found]
+            ends = np.cumsum(asking)
+            shape = (len(block.ids), piece.num_rows)
+            score = np.zeros(shape[0] * shape[1])
+            a = 0
+            while a < len(hit):  # postings whose queries fit in one step
+                done = ends[a - 1] if a else 0
+                b = max(a + 1, int(np.searchsorted(ends, done + CELLS_PER_STEP, side="right")))
+                n = asking[a:b]
+                at = np.arange(n.sum()) + np.repeat(start[found[a:b]] - (np.cumsum(n) - n), n)
+                cell = query[at] * shape[1] + np.repeat(doc[a:b], n)
+                score += np.bincount(cell, idf[at] * np.repeat(weight[a:b], n), len(score))
+                a = b
+            score = score.reshape(shape)
+            seen = score > 0
+            if filtered:
+                seen &= block.eligible(piece)
+            best.push(piece["doc_id"].to_numpy(), np.where(seen, np.round(score, RANK_DIGITS), -np.inf))
+        yield best.rows(block.ids)
+
+    return run
+
+
+def count_task(shared):
+    """Partition function: eligible rows, smallest and largest id per record, never the pairs."""
+
+    def run(batches):
+        block = QueryBlock.read(shared.value, True)
+        n = len(block.ids)
+        count = np.zeros(n, np.int64)
+        low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
+        for piece in steps(batches, n):
+            seen = block.eligible(piece)
+            ids = piece["doc_id"].to_numpy()
+            count += seen.sum(axis=1)
+            low = np.minimum(low, np.where(seen, ids, np.iinfo(np.int64).max).min(axis=1))
+            high = np.maximum(high, np.where(seen, ids, np.iinfo(np.int64).min).max(axis=1))
+        some = count > 0
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(block.ids[some], pa.string()), *[pa.array(a[some]) for a in (count, low, high)]],
+            names=["query_id", "n", "low", "high"],
+        )
+
+    return run
+
+
 def score_summary_task(shared, filtered: bool):
     """Partition function: count, sum and extremes of all scores per query, never the pairs."""
 

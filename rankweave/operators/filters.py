@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankweave.functions.kernels import FACET_NAMES, RANGE_BOUNDS
-from rankweave.plans.bounds import by_query_block, lookup_join
+from rankweave.functions.kernels import FACET_NAMES, RANGE_BOUNDS, count_task
+from rankweave.plans.bounds import broadcast_rows, by_query_block, lookup_join
 
 FILTER_COLUMNS = [*FACET_NAMES, *[name for name, _, _ in RANGE_BOUNDS]]
 ITEM_COLUMNS = [*FACET_NAMES, "price", "points"]
@@ -67,8 +67,9 @@ def match_counts(items: DataFrame, queries: DataFrame) -> DataFrame:
     """Per query: eligible items, smallest and largest eligible id; queries with none keep a 0.
 
     Only distinct filter records take part. Each record has one of eight shapes (which facets are set),
-    and an item carries one key per shape, so records meet items through a hash join on equal facets; the
-    ranges are checked on those matches alone. The records of a block are broadcast, the items stay in
+    and an item carries one key per shape that a record of the block has, so records meet items through a
+    hash join on equal facets; the ranges are checked on those matches alone. Records without facets are
+    counted by a mask per batch of items. The records of a block are broadcast, the items stay in
     place, and counts are combined inside each task: what is shuffled is one row per record and task.
     """
     return by_query_block(queries, lambda block, n: _match_counts(items, block, n), text=None)
@@ -85,18 +86,30 @@ def _match_counts(items: DataFrame, queries: DataFrame, n: int) -> DataFrame:
     record_key = reduce(
         lambda acc, s: F.when(shape == s, _shape_key(s, lambda n: F.col(f"f_{n}"))).otherwise(acc),
         range(1, 8),
-        F.lit("0"),
+        F.lit(None).cast("string"),
     )
-    records = queries.select(
-        "_record", record_key.alias("_key"), *[F.col(f"f_{n}") for n, _, _ in RANGE_BOUNDS]
-    ).dropDuplicates(["_record"])
-    keys = F.array_compact(F.array(*[_shape_key(s, F.col) for s in range(8)]))
-    spread = items.select("doc_id", "price", "points", F.explode(keys).alias("_key"))
+    bounds = [F.col(f"f_{n}") for n, _, _ in RANGE_BOUNDS]
+    records = queries.select("_record", record_key.alias("_key"), *bounds).dropDuplicates(["_record"])
+    # at most eight rows
+    shapes = [row[0] for row in queries.select(shape).distinct().collect()]
+    counts = [F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")]
+    parts = []
+    if any(shapes):
+        keys = F.array_compact(F.array(*[_shape_key(s, F.col) for s in sorted(shapes) if s]))
+        spread = items.select("doc_id", "price", "points", F.explode(keys).alias("_key"))
+        met = lookup_join(spread, records.where("_key IS NOT NULL"), ["_key"], small_rows=n).where(ranges_match())
+        parts.append(met.groupBy("_record").agg(*counts))
+    if 0 in shapes or not shapes:
+        plain = records.where("_key IS NULL").select(F.col("_record").alias("query_id"), *bounds)
+        shared, _ = broadcast_rows(plain)
+        seen = items.select("doc_id", "price", "points").mapInArrow(
+            count_task(shared), "query_id string, n long, low long, high long"
+        )
+        parts.append(seen.withColumnRenamed("query_id", "_record"))
     found = (
-        lookup_join(spread, records, ["_key"], small_rows=n)
-        .where(ranges_match())
+        reduce(DataFrame.unionByName, parts)
         .groupBy("_record")
-        .agg(F.count("*").alias("eligible"), F.min("doc_id").alias("min_id"), F.max("doc_id").alias("max_id"))
+        .agg(F.sum("n").alias("eligible"), F.min("low").alias("min_id"), F.max("high").alias("max_id"))
     )
     return queries.select("query_id", "_record").join(found, "_record", "left").select(
         "query_id",

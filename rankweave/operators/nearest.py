@@ -5,15 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankweave.functions import kernels
 from rankweave.functions.vectors import l2_norm, l2_normalize
 from rankweave.operators.filters import FILTER_COLUMNS, ITEM_COLUMNS
-from rankweave.plans.bounds import by_query_block, top_k
+from rankweave.plans.bounds import broadcast_rows, by_query_block, top_k
 from rankweave.session import cut_lineage, scratch_path
 
 HITS = "query_id long, doc_id long, score double"
@@ -25,11 +24,7 @@ SCORE_DIGITS = 6
 def _payload(block: DataFrame, filtered: bool, *extra: str):
     """Broadcast one block of queries (its size is bounded by the block) as Arrow bytes."""
     filters = [f"f_{c}" for c in FILTER_COLUMNS] if filtered else []
-    table = block.where(F.col("qv").isNotNull()).select("query_id", "qv", *filters, *extra).toArrow()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    return block.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes()), table
+    return broadcast_rows(block.where(F.col("qv").isNotNull()).select("query_id", "qv", *filters, *extra))
 
 
 def _vectors(items: DataFrame, filtered: bool, *extra: str) -> DataFrame:
@@ -37,17 +32,6 @@ def _vectors(items: DataFrame, filtered: bool, *extra: str) -> DataFrame:
     return items.where(F.col("embedding").isNotNull()).select("doc_id", "embedding", *facets, *extra)
 
 
-def _in_waves(vectors: DataFrame) -> DataFrame:
-    """Join scan splits into a few waves of tasks, without a shuffle.
-
-    Every task hands on up to k rows per query, and splits are cut by the size of the whole files though
-    only vectors and facets are read. A task streams its batches, so more of them cost it no memory.
-    """
-    spark = vectors.sparkSession
-    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return vectors.coalesce(tasks)
-
-
 def _best(hits: DataFrame, k: int) -> DataFrame:
     ranked = top_k(hits, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
     return ranked.select("query_id", "doc_id", "rank", F.round("score", SCORE_DIGITS).alias("score"))
@@ -55,7 +39,7 @@ def _best(hits: DataFrame, k: int) -> DataFrame:
 
 def vector_block(items: DataFrame, block: DataFrame, k: int, filtered: bool) -> DataFrame:
     shared, _ = _payload(block, filtered)
-    local = _in_waves(_vectors(items, filtered)).mapInArrow(kernels.top_k_task(shared, k, filtered), HITS)
+    local = _vectors(items, filtered).mapInArrow(kernels.top_k_task(shared, k, filtered), HITS)
     return _best(local, k)
 
 
@@ -73,7 +57,7 @@ def score_summary(items: DataFrame, queries: DataFrame, filtered: bool = False)
 
     def run(block: DataFrame, _: int) -> DataFrame:
         shared, _ = _payload(block, filtered)
-        partial = _in_waves(_vectors(items, filtered)).mapInArrow(
+        partial = _vectors(items, filtered).mapInArrow(
             kernels.score_summary_task(shared, filtered),
             "query_id long, n long, total double, low double, high double",
         )
@@ -106,6 +90,7 @@ class InvertedFile:
     lists: DataFrame
     centroids: DataFrame
     n_lists: int
+    path: str
 
 
 def train_centroids(vectors: DataFrame, n_lists: int, seed: int = 7, max_iter: int = 10) -> DataFrame:
@@ -181,16 +166,18 @@ def assign_lists(items: DataFrame, centroids: DataFrame) -> DataFrame:
 
 
 def build_inverted_file(
-    items: DataFrame, centroids: DataFrame, rows_per_file: int = 500_000
+    items: DataFrame, centroids: DataFrame, rows_per_file: int = 500_000, path: str | None = None
 ) -> InvertedFile:
-    """Write the items partitioned by list.
+    """Write the items partitioned by list, below ``path`` (a scratch folder without one).
 
     Lists are cut into files of about ``rows_per_file`` by a salt whose range follows each list's own size,
     so a list that holds a third of all items is written by many tasks. Searching scans files, never whole
     lists in one task.
     """
     spark = items.sparkSession
-    path = scratch_path(spark, "lists")
+    path = path or scratch_path(spark, "lists")
+    centroids.write.parquet(f"{path}/centroids")
+    centroids = spark.read.schema(centroids.schema).parquet(f"{path}/centroids")
     assigned = cut_lineage(assign_lists(_vectors(items, True), centroids), "assigned")
     # one row per list
     sizes = assigned.groupBy("list_id").agg(F.ceil(F.count("*") / rows_per_file).alias("_files"))
@@ -198,8 +185,15 @@ def build_inverted_file(
         "_salt", F.pmod(F.xxhash64("doc_id"), F.col("_files"))
     )
     placed = salted.repartition("list_id", "_salt").select(assigned.columns)
-    placed.write.option("maxRecordsPerFile", rows_per_file).partitionBy("list_id").parquet(path)
-    return InvertedFile(spark.read.schema(assigned.schema).parquet(path), centroids, centroids.count())
+    placed.write.option("maxRecordsPerFile", rows_per_file).partitionBy("list_id").parquet(f"{path}/lists")
+    return open_inverted_file(spark, path)
+
+
+def open_inverted_file(spark: SparkSession, path: str) -> InvertedFile:
+    """An inverted file that :func:`build_inverted_file` wrote, in this session or an earlier one."""
+    centroids = spark.read.parquet(f"{path}/centroids")
+    lists = spark.read.parquet(f"{path}/lists").withColumn("list_id", F.col("list_id").cast("int"))
+    return InvertedFile(lists, centroids, centroids.count(), path)
 
 
 def probe_lists(queries: DataFrame, centroids: DataFrame, nprobe: int | str) -> DataFrame:
@@ -218,7 +212,7 @@ def ann_block(
     shared, table = _payload(probed, filtered, "probes")
     wanted = np.unique(table["probes"].combine_chunks().flatten().to_numpy(zero_copy_only=False))
     lists = index.lists.where(F.col("list_id").isin([int(i) for i in wanted]))
-    local = _in_waves(_vectors(lists, filtered, "list_id")).mapInArrow(
+    local = _vectors(lists, filtered, "list_id").mapInArrow(
         kernels.top_k_task(shared, k, filtered, index.n_lists), HITS
     )
     return _best(local, k)

@@ -20,6 +20,8 @@ FILTER_LABELS = [
     ("price_max", "Max price"), ("points_min", "Min rating"), ("points_max", "Max rating"),
 ]
 DOT = " · "
+# Fixed value: shown for a query without results.
+NO_MATCH = "No item satisfies every filter."
 
 
 def rating_band(points: Column) -> Column:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from rankweave.functions.scoring import term_coverage
 from rankweave.functions.text import tokens
-from rankweave.plans.bounds import rows_of_ids
+from rankweave.plans.bounds import lookup_join, rows_of_ids
+from rankweave.session import cut_lineage
 
 Scorer = Callable[[Column, Column], Column]
 
@@ -27,26 +28,38 @@ def rerank(
     scorer: Scorer = lexical_scorer,
     n_queries: int | None = None,
     buckets: int = 0,
+    columns: list[str] | None = None,
+    limit: int = 10,
 ) -> DataFrame:
     """Score the first ``top_n`` of each fused list on (raw query text, item text) and sort by that score.
 
     Ids without an item row drop out after the cut; equal scores keep the fused order. The text is scored
-    where it was read and does not enter the shuffle.
+    where it was read and does not enter the shuffle. With ``columns`` the first ``limit`` ranks also get
+    those item columns: they are taken along from the one read, written with the scores, and joined back to
+    the ranks, so items are not read again.
     """
     bound = None if n_queries is None else n_queries * top_n
-    wanted = (
-        fused.where(F.col("rank") <= top_n)
-        .select("query_id", "doc_id", F.col("rank").alias("fused_rank"))
-        .join(queries.select("query_id", "query"), "query_id")
-    )
-    pairs = rows_of_ids(items.select("doc_id", "description"), wanted, "doc_id", bound, buckets)
-    scored = pairs.select(
-        "query_id", "doc_id", "fused_rank", scorer(F.col("query"), F.col("description")).alias("score")
+    wanted = fused.where(F.col("rank") <= top_n).select("query_id", "doc_id", F.col("rank").alias("fused_rank"))
+    carried = [F.struct(*columns).alias("_item")] if columns else []
+    source = items.select("doc_id", F.col("description").alias("_text"), *carried)
+    pairs = rows_of_ids(source, wanted, "doc_id", bound, buckets)
+    asked = lookup_join(pairs, queries.select("query_id", F.col("query").alias("_query")), ["query_id"])
+    scored = asked.select(
+        "query_id", "doc_id", "fused_rank", scorer(F.col("_query"), F.col("_text")).alias("score"),
+        *(["_item"] if columns else []),
     )
+    if columns:
+        scored = cut_lineage(scored, "scored")
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("fused_rank"))
-    return scored.withColumn("rank", F.row_number().over(window)).select(
+    ranked = scored.withColumn("rank", F.row_number().over(window)).select(
         "query_id", "doc_id", "rank", "fused_rank", "score"
     )
+    if not columns:
+        return ranked
+    first = ranked.where(F.col("rank") <= limit)
+    shown = None if n_queries is None else n_queries * limit
+    found = lookup_join(scored.select("query_id", "doc_id", "_item"), first, ["query_id", "doc_id"], small_rows=shown)
+    return found.select("query_id", "doc_id", "rank", "fused_rank", "score", "_item.*")
 
 
 def hydrate(

@@ -156,8 +156,8 @@ def vocabulary_of(
 def phrase_matches(queries: DataFrame, phrases: DataFrame) -> DataFrame:
     """Rows of ``phrases`` that occur in a query as whole words.
 
-    Candidates come from a hash join: the query's word sequences, up to the longest phrase, against the
-    word sequence of each phrase. Only those are then checked literally, so no query is compared with
+    Candidates come from a hash join: the query's word sequences, of the lengths that phrases have, against
+    the word sequence of each phrase. Only those are then checked literally, so no query is compared with
     every phrase.
     """
     words = tokens(F.col("phrase"))
@@ -165,19 +165,20 @@ def phrase_matches(queries: DataFrame, phrases: DataFrame) -> DataFrame:
     phrases = cut_lineage(
         phrases.select("*", F.array_join(words, " ").alias("_gram"), F.size(words).alias("_words")), "phrases"
     )
-    longest, n_phrases = phrases.agg(F.coalesce(F.max("_words"), F.lit(1)), F.count("*")).first()
+    sizes, n_phrases = phrases.agg(F.sort_array(F.collect_set("_words")), F.count("*")).first()
     parts = F.col("_parts")
 
     def sequences(n: Column) -> Column:
         starts = F.sequence(F.lit(1), F.size(parts) - n + 1)
         return F.transform(starts, lambda i: F.array_join(F.slice(parts, i, n), " "))
 
-    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.size(parts)))
-    grams = F.when(F.size(parts) > 0, F.flatten(F.transform(lengths, sequences))).otherwise(F.array())
+    lengths = F.lit([n for n in sizes if n]).cast("array<int>")
+    grams = F.flatten(F.transform(F.filter(lengths, lambda n: n <= F.size(parts)), sequences))
+    if 0 in sizes:  # phrases without any letter or digit meet every query under the empty sequence
+        grams = F.concat(grams, F.array(F.lit("")))
     spread = (
         queries.select("query_id", F.lower("query").alias("_text"), tokens(F.col("query")).alias("_parts"))
-        # phrases without any letter or digit meet every query under the empty sequence
-        .select("query_id", "_text", F.explode(F.array_distinct(F.concat(grams, F.array(F.lit(""))))).alias("_gram"))
+        .select("query_id", "_text", F.explode(F.array_distinct(grams)).alias("_gram"))
     )
     found = lookup_join(spread, phrases.drop("_words"), ["_gram"], small_rows=n_phrases)
     return found.where(whole_word(F.col("_text"), F.col("phrase"))).drop("_gram", "_text")
@@ -212,11 +213,13 @@ def extract_by_rules(queries: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     )
 
 
-def extract_once(queries: DataFrame, extractor: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def extract_once(
+    queries: DataFrame, extractor: Callable[[DataFrame], DataFrame], label: str = "llm", repeats: str | None = "cache"
+) -> DataFrame:
     """Send each distinct query to ``extractor`` once and give every repeat the same record.
 
-    Repeats are found by a 128-bit hash of the normalised text. The first (least query_id) is marked ``llm``, the others
-    ``cache``. Counting down to one row per text is combined inside each task, and the way back is a join
+    Repeats are found by a 128-bit hash of the normalised text. The first (least query_id) is marked ``label``, the
+    others ``repeats``, or ``label`` too where that is None (rules are never served from a cache). Counting down to one row per text is combined inside each task, and the way back is a join
     that stands a text shared by a large part of all queries.
     """
     keyed = queries.withColumn("_key", F.md5(normalized_key(F.col("query")).cast("binary")))
@@ -225,7 +228,7 @@ def extract_once(queries: DataFrame, extractor: Callable[[DataFrame], DataFrame]
     )
     records = extractor(first.select("query_id", "query")).withColumnRenamed("query_id", "_first")
     known = first.select("_key", F.col("query_id").alias("_first")).join(records, "_first")
-    source = F.when(F.col("query_id") == F.col("_first"), "llm").otherwise("cache")
+    source = F.when(F.col("query_id") == F.col("_first"), label).otherwise(repeats or label)
     joined = lookup_join(keyed.select("query_id", "_key"), known, ["_key"])
     return joined.select("query_id", *FILTER_COLUMNS, "query", source.alias("_source"))
 

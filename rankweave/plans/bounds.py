@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,6 +105,15 @@ def by_query_block(
     return spark.read.schema(schema).parquet(path)
 
 
+def broadcast_rows(rows: DataFrame):
+    """(broadcast, table): rows of one block of queries, whose size is bounded, as an Arrow stream for tasks."""
+    table = rows.toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return rows.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes()), table
+
+
 def top_k(
     df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank", id_col: str = "doc_id"
 ) -> DataFrame:

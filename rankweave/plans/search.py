@@ -15,8 +15,9 @@ from rankweave.operators.fusion import fuse, tag_lists
 from rankweave.operators.keyword import keyword_block
 from rankweave.operators.nearest import InvertedFile, ann_block, vector_block
 from rankweave.operators.normalize import guard_queries
-from rankweave.operators.rerank import Scorer, hydrate, lexical_scorer, rerank
-from rankweave.plans.bounds import by_query_block
+from rankweave.operators.present import NO_MATCH, meta_line, result_card
+from rankweave.operators.rerank import Scorer, lexical_scorer, rerank
+from rankweave.plans.bounds import by_query_block, rows_of_ids
 from rankweave.session import cut_lineage
 from rankweave.sources.catalogue import Catalogue
 
@@ -45,14 +46,16 @@ class SearchPlan:
             return vector_block(self.catalogue.items, block, self.candidates, True)
         return ann_block(self.index, block, self.candidates, self.nprobe, True)
 
-    def reranked(self, block: DataFrame, n: int, fused: DataFrame) -> DataFrame:
-        """Reranked lists of a block of ``n`` queries.
+    def reranked(
+        self, block: DataFrame, n: int, fused: DataFrame, columns: list[str] | None = None, limit: int = LIMIT
+    ) -> DataFrame:
+        """Reranked lists of a block of ``n`` queries; with ``columns`` their first ``limit`` rows as items.
 
         Reranking reads the text as asked (``raw_query``) where the block has it beside the residual text.
         """
         asked = block.withColumn("query", F.col("raw_query")) if "raw_query" in block.columns else block
         items, buckets = self.catalogue.items, self.catalogue.buckets
-        return rerank(fused, items, asked, self.rerank_top, self.scorer, n, buckets)
+        return rerank(fused, items, asked, self.rerank_top, self.scorer, n, buckets, columns, limit)
 
 
 def hybrid_candidates(plan: SearchPlan, queries: DataFrame) -> DataFrame:
@@ -64,8 +67,7 @@ def search(plan: SearchPlan, queries: DataFrame, columns: list[str], limit: int
     """Filtered keyword and vector candidates, fused, reranked, first ``limit`` rows per query."""
 
     def run(block: DataFrame, n: int) -> DataFrame:
-        final = plan.reranked(block, n, fuse(plan.keyword(block), plan.vector(block)))
-        return hydrate(final, plan.catalogue.items, columns, limit, n, plan.catalogue.buckets)
+        return plan.reranked(block, n, fuse(plan.keyword(block), plan.vector(block)), columns, limit)
 
     return by_query_block(queries, run)
 
@@ -93,25 +95,47 @@ def understood_queries(
 
 
 def search_summary(plan: SearchPlan, queries: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Per query: candidates on each path, distinct fused ids and results; zeros included."""
+    """Per query: candidates on each path, distinct fused ids and results; zeros included.
 
-    def run(block: DataFrame, _: int) -> DataFrame:
-        found = tag_lists(plan.keyword(block), plan.vector(block))
+    Results are the fused ids within the cut for reranking that the catalogue still has, up to ``limit``.
+    """
+
+    def run(block: DataFrame, n: int) -> DataFrame:
+        found = cut_lineage(tag_lists(plan.keyword(block), plan.vector(block)), "candidates")
+        lists = [found.where(F.col("list_ix") == i) for i in range(2)]
+        cut = fuse(*lists).where(F.col("rank") <= plan.rerank_top).select("query_id", "doc_id")
+        ids = plan.catalogue.items.select("doc_id")
+        kept = rows_of_ids(ids, cut, "doc_id", n * plan.rerank_top, plan.catalogue.buckets)
+        shown = kept.groupBy("query_id").agg(F.least(F.count("*"), F.lit(limit)).alias("result_count"))
         counts = found.groupBy("query_id").agg(
             F.count_if(F.col("list_ix") == 0).alias("keyword_candidate_count"),
             F.count_if(F.col("list_ix") == 1).alias("vector_candidate_count"),
             F.count_distinct("doc_id").alias("fused_count"),
         )
-        names = ["keyword_candidate_count", "vector_candidate_count", "fused_count"]
-        joined = block.select("query_id").join(counts, "query_id", "left")
-        filled = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in names]
-        return joined.select("query_id", *filled).withColumn(
-            "result_count", F.least("fused_count", F.lit(plan.rerank_top), F.lit(limit)).cast("bigint")
-        )
+        names = ["keyword_candidate_count", "vector_candidate_count", "fused_count", "result_count"]
+        joined = block.select("query_id").join(counts, "query_id", "left").join(shown, "query_id", "left")
+        return joined.select("query_id", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in names])
 
     return by_query_block(queries, run)
 
 
+def search_cards(plan: SearchPlan, queries: DataFrame, title: str, meta: list[str], limit: int = LIMIT) -> DataFrame:
+    """One text per query: the cards of its results in order, or a fixed sentence where it has none.
+
+    ``title`` and ``meta`` are item columns; a query has at most ``limit`` cards.
+    """
+    wanted = dict.fromkeys([title, *meta, "points", "price", "description"])
+    columns = [c for c in wanted if c != "doc_id"]
+    found = search(plan, queries, columns, limit)
+    card = result_card(
+        F.col("rank"), F.col(title).cast("string"), F.col("points"), meta_line(*[F.col(c) for c in meta]),
+        F.col("price"), F.col("description"),
+    )
+    cards = found.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", card.alias("card")))).alias("_c"))
+    shown = F.coalesce(F.array_join("_c.card", "\n\n"), F.lit(NO_MATCH))
+    return queries.select("query_id").join(cards, "query_id", "left").select("query_id", shown.alias("cards"))
+
+
 def compare_variants(exact: SearchPlan, approximate: SearchPlan, queries: DataFrame) -> DataFrame:
     """Ranked lists of both variants at every stage, stacked as (variant, stage, query_id, doc_id, rank).
 

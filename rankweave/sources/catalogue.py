@@ -5,13 +5,16 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankweave.functions.text import with_term_counts
 from rankweave.session import scratch_path
 
 
+SUMMARY = "n_docs long, avgdl double, buckets int"
+
+
 @dataclass(frozen=True)
 class Catalogue:
     """``items`` carries facets, text, vector, ``dl`` and ``postings: array<struct<term, tf>>`` per row."""
@@ -21,6 +24,7 @@ class Catalogue:
     n_docs: int
     avgdl: float
     buckets: int
+    path: str
 
 
 def term_statistics(items: DataFrame) -> DataFrame:
@@ -38,17 +42,37 @@ def corpus_statistics(items: DataFrame) -> DataFrame:
     )
 
 
-def _write_bucketed(rows: DataFrame, n: int) -> DataFrame:
-    """Write ``rows``, already placed by ``doc_id`` over ``n`` tasks, as a bucketed table."""
+def _write_bucketed(rows: DataFrame, n: int, path: str) -> DataFrame:
+    """Write ``rows``, already placed by ``doc_id`` over ``n`` tasks, as a bucketed table below ``path``."""
     spark = rows.sparkSession
     name = f"rankweave_{uuid.uuid4().hex}"
     writer = rows.write.bucketBy(n, "doc_id").sortBy("doc_id")
-    writer.option("path", scratch_path(spark, "catalogue")).saveAsTable(name)
+    writer.option("path", f"{path}/items").saveAsTable(name)
     return spark.table(name)
 
 
-def build_catalogue(items: DataFrame, buckets: int | None = None) -> Catalogue:
-    """Index the item text and write everything as a table bucketed by ``doc_id``.
+def _write_summary(catalogue: Catalogue) -> Catalogue:
+    row = [(catalogue.n_docs, catalogue.avgdl, catalogue.buckets)]
+    spark = catalogue.items.sparkSession
+    spark.createDataFrame(row, SUMMARY).coalesce(1).write.parquet(f"{catalogue.path}/summary")
+    return catalogue
+
+
+def open_catalogue(spark: SparkSession, path: str) -> Catalogue:
+    """A catalogue that :func:`build_catalogue` wrote to ``path``, in this session or an earlier one."""
+    n_docs, avgdl, buckets = spark.read.schema(SUMMARY).parquet(f"{path}/summary").first()
+    fields = spark.read.parquet(f"{path}/items").schema.fields
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    name = f"rankweave_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (doc_id) SORTED BY (doc_id) "
+        f"INTO {buckets} BUCKETS LOCATION '{path}/items'"
+    )
+    return Catalogue(spark.table(name), spark.read.parquet(f"{path}/term_df"), n_docs, avgdl, buckets, path)
+
+
+def build_catalogue(items: DataFrame, buckets: int | None = None, path: str | None = None) -> Catalogue:
+    """Index the item text and write everything below ``path``, as a table bucketed by ``doc_id``.
 
     Postings stay with their document, so all terms of a document are in one bucket: scoring groups by
     document without a shuffle, joins on ``doc_id`` move only the other side, and a frequent term is
@@ -57,15 +81,19 @@ def build_catalogue(items: DataFrame, buckets: int | None = None) -> Catalogue:
     """
     spark = items.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = _write_bucketed(with_term_counts(items.repartition(n, "doc_id"), "description"), n)
-    df_path = scratch_path(spark, "term_df")
-    term_statistics(table).write.parquet(df_path)
+    path = path or scratch_path(spark, "catalogue")
+    table = _write_bucketed(with_term_counts(items.repartition(n, "doc_id"), "description"), n, path)
+    term_statistics(table).write.parquet(f"{path}/term_df")
     stats = corpus_statistics(table).first()
-    return Catalogue(table, spark.read.parquet(df_path), stats["n_docs"], stats["avgdl"] or 0.0, n)
+    term_df = spark.read.parquet(f"{path}/term_df")
+    return _write_summary(Catalogue(table, term_df, stats["n_docs"], stats["avgdl"] or 0.0, n, path))
 
 
 def with_vectors(catalogue: Catalogue, vectors: DataFrame) -> Catalogue:
     """The same catalogue with other vectors, given as (doc_id, embedding)."""
     n = catalogue.buckets
+    path = scratch_path(catalogue.items.sparkSession, "catalogue")
     rows = catalogue.items.drop("embedding").join(vectors, "doc_id", "left").repartition(n, "doc_id")
-    return replace(catalogue, items=_write_bucketed(rows, n))
+    table = _write_bucketed(rows, n, path)
+    catalogue.term_df.write.parquet(f"{path}/term_df")
+    return _write_summary(replace(catalogue, items=table, path=path))

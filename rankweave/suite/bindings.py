@@ -11,6 +11,7 @@ from rankweave.operators.encode import QUERY_PREFIX, hashed_vectors
 from rankweave.operators.enrich import enrich
 from rankweave.operators.filters import FILTER_COLUMNS, value_domain
 from rankweave.operators.nearest import InvertedFile, build_inverted_file, group_centroids
+from rankweave.operators.present import RATING_BANDS
 from rankweave.operators.understand import (
     COLOR_KEYWORDS,
     Vocabulary,
@@ -183,6 +184,11 @@ def sql_labelled(name: str, label: str) -> str:
     return f"'**{label}:** ' || {shown}"
 
 
+def sql_band(points: str) -> str:
+    """The rating ladder from its fixed values."""
+    return "CASE " + " ".join(f"WHEN {points} >= {low} THEN '{label}'" for low, label in RATING_BANDS) + " ELSE '' END"
+
+
 def ctes(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
@@ -491,7 +497,7 @@ def understood(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = document_vocabulary(spark, folder)
     return understood_queries(
         asked_queries(spark, folder),
-        understand=lambda asked: extract_once(asked, lambda once: extract_by_rules(once, vocabulary)),
+        understand=lambda asked: extract_once(asked, lambda once: extract_by_rules(once, vocabulary), "rules", None),
         encode=lambda texts: hashed_vectors(with_term_counts(texts, "query"), "query_id").withColumnRenamed(
             "embedding", "qv"
         ),

@@ -9,9 +9,10 @@ from rankweave.functions.vectors import l2_norm
 from rankweave.operators import encode, fusion, nearest, rerank
 from rankweave.operators.filters import FILTER_COLUMNS
 from rankweave.operators.keyword import keyword_top_k
-from rankweave.operators.present import FILTER_LABELS, filter_summary
+from rankweave.operators.present import FILTER_LABELS, NO_MATCH, filter_summary
 from rankweave.plans import search
 from rankweave.session import cut_lineage
+from rankweave.sources.catalogue import open_catalogue
 from rankweave.sources.tables import read_table
 from rankweave.suite import bindings as b
 from rankweave.suite.registry import query
@@ -24,6 +25,13 @@ def bm25_topk(spark, folder):
     return keyword_top_k(b.catalogue(spark, folder), b.queries(spark, folder), 100, filtered=False)
 
 
+@query("catalogue_reopen", b.ctes(*b.KEYWORD, b.sql_top("kw_scores", 100, "best")) + f"SELECT {RANKED} FROM best")
+def catalogue_reopen(spark, folder):
+    """Keyword ranking over a catalogue opened from its folder alone."""
+    opened = open_catalogue(spark, b.catalogue(spark, folder).path)
+    return keyword_top_k(opened, b.queries(spark, folder), 100, filtered=False)
+
+
 @query("bm25_topk_filtered", b.ctes(*b.KEYWORD, b.KW_CTE) + f"SELECT {RANKED} FROM kw")
 def bm25_topk_filtered(spark, folder):
     return keyword_top_k(b.catalogue(spark, folder), b.queries(spark, folder), 100)
@@ -114,6 +122,13 @@ def ann_topk_filtered(spark, folder):
     return nearest.ann_top_k(b.inverted_file(spark, folder), b.queries(spark, folder), 100, 2)
 
 
+@query("ivf_reopen", _ann(f"{b.IN_ELIGIBLE} AND probe <= 2", 100))
+def ivf_reopen(spark, folder):
+    """Vector ranking over an inverted file opened from its folder alone."""
+    opened = nearest.open_inverted_file(spark, b.inverted_file(spark, folder).path)
+    return nearest.ann_top_k(opened, b.queries(spark, folder), 100, 2)
+
+
 # --- encoder stand-in ----------------------------------------------------------------------------
 
 
@@ -238,6 +253,24 @@ def search_summary(spark, folder):
     return search.search_summary(b.exact_plan(spark, folder), b.queries(spark, folder))
 
 
+@query(
+    "search_cards",
+    b.ctes(*b.SEARCHED)
+    + f"""SELECT q.query_id, coalesce(c.cards, '{NO_MATCH}') AS cards FROM queries q LEFT JOIN (
+      SELECT r.query_id, string_agg('**' || r.rank || '. ' || i.doc_id || '**' || chr(10) || '`' || i.points || '/100 '
+         || {b.sql_band('i.points')} || '` · ' || concat_ws(' · ', nullif(i.variety, ''), nullif(i.color, ''), nullif(i.country, '')) || ' · '
+         || CASE WHEN i.price IS NULL THEN 'price not listed' ELSE '$' || printf('%g', i.price) END
+         || chr(10) || i.description, chr(10) || chr(10) ORDER BY r.rank) AS cards
+      FROM reranked r JOIN items i USING (doc_id) WHERE r.rank <= 10 GROUP BY r.query_id
+    ) c USING (query_id)""",
+)
+def search_cards(spark, folder):
+    """Searched items as cards, and a sentence for queries that find nothing."""
+    return search.search_cards(
+        b.exact_plan(spark, folder), b.queries(spark, folder), "doc_id", ["variety", "color", "country"]
+    )
+
+
 ASKED = b.ctes(*b.asked_ctes())
 
 
@@ -260,15 +293,15 @@ def search_from_text(spark, folder):
        coalesce(nullif(concat_ws(' · ', {', '.join(b.sql_labelled(n, lab) for n, lab in FILTER_LABELS)}), ''), 'No hard filters'),
        CASE WHEN e.query <> '' THEN 'Meaning: ' || e.query END,
        (SELECT count(*) FROM kw WHERE kw.query_id = e.query_id) || ' on keywords, '
-         || (SELECT count(*) FROM vec WHERE vec.query_id = e.query_id) || ' on meaning') AS summary
+         || (SELECT count(*) FROM vec WHERE vec.query_id = e.query_id) || ' on meaning', 'Filters extracted without the model (rules)') AS summary
     FROM ext e""",
 )
 def search_interpretation(spark, folder):
-    """How each text was read and how much either path found. The rules stand in for the model here."""
+    """How each text was read and how much either path found."""
     queries = b.understood(spark, folder)
     counts = search.search_summary(search.SearchPlan(b.hashed_catalogue(spark, folder)), queries)
     records = queries.select("query_id", "query", *[F.col(f"f_{c}").alias(c) for c in FILTER_COLUMNS])
     summary = filter_summary(
-        F.col("keyword_candidate_count"), F.col("vector_candidate_count"), F.col("query"), F.lit("llm")
+        F.col("keyword_candidate_count"), F.col("vector_candidate_count"), F.col("query"), F.lit("rules")
     )
     return records.join(counts, "query_id").select("query_id", summary.alias("summary"))

@@ -119,6 +119,24 @@ def qu_fallback(spark, folder):
     )
 
 
+NO_RECORD = "p_brand IN ('Brand#4', 'Brand#5')"
+
+
+@query(
+    "qu_fallback_raw",
+    b.ctes(*b.EXTRACTED_CTES)
+    + "SELECT e.query_id, "
+    + ", ".join(f"CASE WHEN {NO_RECORD} THEN NULL ELSE e.{c} END AS {c}" for c in filters.FILTER_COLUMNS)
+    + f""", e.query, CASE WHEN {NO_RECORD} THEN 'raw' ELSE 'rules' END AS _source
+    FROM ext e JOIN part p ON p.p_partkey = e.query_id""",
+)
+def qu_fallback_raw(spark, folder):
+    """Where no tier gives a record, the text itself is the query and no filter is set."""
+    brands = read_table(spark, folder, "part").select(F.col("p_partkey").alias("query_id"), "p_brand")
+    some = _extracted(spark, folder).join(brands, "query_id").where(f"NOT ({NO_RECORD})")
+    return understand.resolve(b.part_queries(spark, folder), rules=some.drop("p_brand"))
+
+
 def _frozen(spark, folder):
     """Query set over the documents, written as JSON."""
     queries = b.queries(spark, folder)
@@ -171,9 +189,7 @@ def queryset_load(spark, folder):
 
 @query(
     "rating_band",
-    """SELECT p_partkey, p_size + 55 AS points, CASE WHEN p_size + 55 >= 98 THEN 'Classic' WHEN p_size + 55 >= 94 THEN 'Superb'
-       WHEN p_size + 55 >= 90 THEN 'Excellent' WHEN p_size + 55 >= 87 THEN 'Very Good' WHEN p_size + 55 >= 83 THEN 'Good'
-       WHEN p_size + 55 >= 80 THEN 'Acceptable' ELSE '' END AS band FROM part""",
+    f"SELECT p_partkey, p_size + 55 AS points, {b.sql_band('(p_size + 55)')} AS band FROM part",
 )
 def rating_band(spark, folder):
     part = read_table(spark, folder, "part").select("p_partkey", (F.col("p_size") + 55).alias("points"))
@@ -188,8 +204,7 @@ CARD_PLACE = "CASE WHEN p_size > 45 THEN NULL WHEN p_size > 40 THEN '' ELSE p_br
     "result_cards",
     f"""WITH c AS (SELECT p_partkey, p_name, p_size + 55 AS points, {CARD_PRICE} AS price, {CARD_PLACE} AS place, p_type FROM part)
     SELECT p_partkey, '**' || p_partkey || '. ' || p_name || '**' || chr(10) || '`' || points || '/100 '
-       || CASE WHEN points >= 98 THEN 'Classic' WHEN points >= 94 THEN 'Superb' WHEN points >= 90 THEN 'Excellent'
-               WHEN points >= 87 THEN 'Very Good' WHEN points >= 83 THEN 'Good' WHEN points >= 80 THEN 'Acceptable' ELSE '' END
+       || {b.sql_band('points')}
        || '` · ' || concat_ws(' · ', p_type, nullif(place, '')) || ' · '
        || CASE WHEN price IS NULL THEN 'price not listed' ELSE '$' || printf('%g', price) END || chr(10) || p_type AS card
     FROM c""",

@@ -8,9 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from rankweave.operators import enrich, filters, nearest
-from rankweave.operators.keyword import keyword_scores, keyword_top_k
-from rankweave.plans import bounds
+from rankweave.operators import enrich, filters, nearest, rerank
+from rankweave.operators.keyword import keyword_hits, keyword_top_k
+from rankweave.plans import bounds, search
 from rankweave.sources.catalogue import build_catalogue
 from rankweave.plans.ordered import rank_in_groups, running_total
 
@@ -30,9 +30,24 @@ def test_no_pairwise_join(spark, sf, name):
 
 
 def test_scoring_needs_no_shuffle(catalogue, queries):
-    plan = plan_of(keyword_scores(catalogue, queries, True))
-    assert "Bucketed: true" in plan
-    assert not re.findall(r"(?<!Broadcast)Exchange hashpartitioning", plan)
+    plan = plan_of(keyword_hits(catalogue, queries, 10, True))
+    assert "Exchange" not in plan and "Join" not in plan and "Generate" not in plan
+    assert "embedding" not in plan.split("ReadSchema")[1] and "description" not in plan.split("ReadSchema")[1]
+
+
+def test_search_reads_the_text_once(catalogue, queries, monkeypatch):
+    reads = []
+    read = rerank.rows_of_ids
+    monkeypatch.setattr(rerank, "rows_of_ids", lambda table, *rest: reads.append(table.columns) or read(table, *rest))
+    found = search.search(search.SearchPlan(catalogue), queries, ["description", "country"])
+    assert found.count() and reads == [["doc_id", "_text", "_item"]]
+    # what is ranked and joined afterwards comes from the written scores
+    assert "postings" not in plan_of(found) and "rankweave_" not in plan_of(found)
+
+
+def test_range_only_records_make_no_pairs(catalogue, queries):
+    plan = plan_of(filters.match_counts(catalogue.items, queries.where("f_country IS NULL AND f_variety IS NULL AND f_color IS NULL")))
+    assert "Generate" not in plan and "MapInArrow" in plan
 
 
 def test_filters_reach_the_scan(catalogue):

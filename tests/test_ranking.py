@@ -1,5 +1,7 @@
 """Fusion, reranking, hydration, whole search and evaluation."""
 
+from dataclasses import replace
+
 import pytest
 from conftest import QUERIES, ranked
 from pyspark.sql import functions as F
@@ -125,6 +127,36 @@ def test_search_summary_keeps_empty_queries(catalogue, queries):
     assert got[6]["vector_candidate_count"] == 0 and got[6]["keyword_candidate_count"] > 0
 
 
+def test_search_summary_counts_what_the_catalogue_still_has(catalogue, queries):
+    full = search.SearchPlan(catalogue)
+
+    class Stale(search.SearchPlan):
+        """Candidates still name an item that is gone."""
+
+        def keyword(self, block):
+            return full.keyword(block)
+
+        def vector(self, block):
+            return full.vector(block)
+
+    plan = Stale(replace(catalogue, items=catalogue.items.where("doc_id <> 0")))
+    whole = {r["query_id"]: r["result_count"] for r in search.search_summary(full, queries).collect()}
+    kept = {r["query_id"]: r["result_count"] for r in search.search_summary(plan, queries).collect()}
+    assert any(kept[q] == whole[q] - 1 for q in whole) and all(whole[q] - kept[q] in (0, 1) for q in whole)
+
+
+def test_cards_follow_the_search(catalogue, queries):
+    plan = search.SearchPlan(catalogue)
+    found = ranked(search.search(plan, queries, ["country"]), "doc_id")
+    cards = {r["query_id"]: r["cards"] for r in search.search_cards(plan, queries, "doc_id", ["country"]).collect()}
+    assert len(cards) == len(QUERIES)
+    for query_id, text in cards.items():
+        ids = [doc_id for doc_id, *_ in found.get(query_id, [])]
+        heads = [line for line in text.split("\n") if line.startswith("**")]
+        assert heads == [f"**{i}. {doc_id}**" for i, doc_id in enumerate(ids, 1)]
+        assert ids or text == "No item satisfies every filter."
+
+
 def test_overlap(spark):
     queries = spark.createDataFrame([(1,), (2,), (3,)], "query_id long")
     a = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (1, 3)], "query_id long, doc_id long")

@@ -115,6 +115,25 @@ def test_repeats_are_extracted_once(spark, vocabulary):
     assert [r["country"] for r in rows] == ["France", "France", "Italy", "France"]
 
 
+def test_rules_are_not_served_from_a_cache(spark, vocabulary):
+    queries = spark.createDataFrame([(0, "French red"), (1, "french red")], "query_id long, query string")
+    rows = understand.extract_once(queries, lambda once: understand.extract_by_rules(once, vocabulary), "rules", None)
+    assert [r["_source"] for r in rows.collect()] == ["rules", "rules"]
+
+
+def test_one_long_phrase_does_not_make_queries_emit_every_length(spark, monkeypatch):
+    long = " ".join(f"w{i}" for i in range(500))
+    phrases = spark.createDataFrame([("malbec", 0), (long, 1)], "phrase string, priority int")
+    queries = spark.createDataFrame([(0, "x malbec y " + long), (1, "w0 w1 w2")], "query_id long, query string")
+    sent = []
+    join = understand.lookup_join
+    monkeypatch.setattr(understand, "lookup_join", lambda large, *rest, **more: sent.append(large) or join(large, *rest, **more))
+    found = understand.phrase_matches(queries, phrases)
+    assert sorted((r["query_id"], r["priority"]) for r in found.collect()) == [(0, 0), (0, 1)]
+    # 503 single words and 4 sequences of 500 words; 3 words of the short text
+    assert sent[0].count() == 503 + 4 + 3
+
+
 def test_tiers_choose_whole_records(spark):
     schema = "query_id long, country string, variety string, color string, price_min double, price_max double, points_min double, points_max double, query string"
     rules = spark.createDataFrame([(i, "R", "rv", None, None, None, None, None, "raw") for i in range(3)], schema)
