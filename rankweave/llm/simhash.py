@@ -255,16 +255,20 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:
-    """(id, digest, bits, component, n_docs, leader) of every document.
+    """(id, digest, bits, component, n_docs, leader) of every document; see ``grouped``."""
+    prints = cut_lineage(fingerprints(docs, id_col, text, shingle), "prints")
+    return grouped(prints, edges(cut_lineage(prints.select("bits").distinct(), "entries"), radius))
+
+
+def grouped(prints: DataFrame, links: DataFrame) -> DataFrame:
+    """Documents (id, digest, bits) with the components that ``links`` between their ``bits`` make.
 
     ``component`` is the smallest id reached, ``n_docs`` the size of the component. Its leader is the document with the
     smallest (id, digest), null ids last; rows that repeat the leader are leaders too.
     """
-    prints = cut_lineage(fingerprints(docs, id_col, text, shingle), "prints")
     place = F.struct(F.col("id").isNull().alias("unknown"), "id", "digest")
     entries = prints.groupBy("bits").agg(F.min(place).alias("least"), F.count("*").alias("n"))
-    entries = cut_lineage(entries, "entries")
-    roots = connected(edges(entries.select("bits"), radius))
+    roots = connected(links)
     rooted = entries.join(roots, entries["bits"] == roots["node"], "left").select(
         "bits", F.coalesce("root", "bits").alias("root"), "least", "n"
     )

@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rankweave.llm import licenses, line_frequency, merkle, mixing, ngram_lm, ordinal, packing, queries, simhash
+from rankweave.llm import licenses, line_frequency, merkle, mixing, ngram_lm, ordinal, packing, queries, simhash, wide_simhash
 from rankweave.llm import substring_dedup, url_filter, words
 
 WS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -618,6 +618,7 @@ def test_empty_tables(spark, empty):
     assert merkle.edited(empty).count() == 0
     assert substring_dedup.dedup(empty).count() == 0
     assert simhash.near_duplicates(empty).count() == 0
+    assert wide_simhash.near_duplicates(empty).count() == 0
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     assert url_filter.judged(spark.createDataFrame([], "page_id long, url string, html string"), rules).count() == 0
 

@@ -3,7 +3,7 @@
 import collections
 
 import corpus_pipeline
-from rankweave.llm import queries, simhash
+from rankweave.llm import queries, wide_simhash
 from rankweave.session import cut_lineage
 from test_operators import WS, without_repeats
 
@@ -22,7 +22,7 @@ def test_stages(spark, sf):
     assert 0 < after.count() <= before.count() and after.exceptAll(before).isEmpty()
 
     before, after = kept["simhash near-dedup"]
-    found = simhash.near_duplicates(before, shingle=5, radius=corpus_pipeline.NEAR_BITS)
+    found = wide_simhash.near_duplicates(before)
     assert {r["doc_id"] for r in after.collect()} == {r["component"] for r in found.collect()}
     texts = [r["text"] for r in after.collect()]
     assert len(texts) == len(set(texts))
