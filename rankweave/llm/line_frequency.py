@@ -1,9 +1,9 @@
 """Quality rules from how many documents of a host share a line, with Spark functions only.
 
 Lines are split at line feeds and normalised: lower case, runs of digits as 0, runs of white space as one
-space, ends trimmed. Each document counts once per distinct line of at least ``min_chars`` characters. A
-line is boilerplate where more than ``max_docs`` documents of its host hold it and these are more than
-``max_share`` of the host's documents. Boilerplate lines are removed; a document is rejected where less
+space, ends trimmed. Each document counts once per distinct line of any length that is not blank. A line is
+boilerplate where more than ``max_share`` of its host's documents hold it, which must be more than ``max_docs``:
+the share decides, and the few documents only keep a line of a small host from counting as shared by chance. Boilerplate lines are removed; a document is rejected where less
 than ``min_left`` of its words remain.
 
 Only (host, line hash) pairs are shuffled, never lines. Counts are added up before the shuffle, so a line in
@@ -28,9 +28,8 @@ from rankweave.session import cut_lineage
 SPACES = r"[\x20\x09-\x0D]+"
 MIN_WORDS = 50
 MAX_REPEATED = 50
-MAX_DOCS = 100
+MAX_DOCS = 3
 MAX_SHARE = 0.02
-MIN_CHARS = 12
 MIN_LEFT = 0.3
 
 
@@ -112,7 +111,7 @@ def counted(docs: DataFrame, text: str) -> DataFrame:
 
 
 def normalised_lines(text: Column) -> Column:
-    """(hash, words) of each distinct long line... as structs, in no particular order."""
+    """(hash, words) of each line that is not blank, as structs."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n")
     plain = F.transform(
         lines, lambda x: F.trim(F.regexp_replace(F.regexp_replace(F.lower(x), "[0-9]+", "0"), SPACES, " "))
@@ -122,7 +121,6 @@ def normalised_lines(text: Column) -> Column:
         lambda x: F.struct(
             F.xxhash64(x).alias("line"),
             (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("words"),
-            (F.length(x) >= MIN_CHARS).alias("long"),
         ),
     )
 
@@ -149,10 +147,10 @@ def judged(
         counted(slim.withColumn("digest", F.coalesce(F.xxhash64("text"), F.lit(0))), "text").drop("text"), "measured"
     )
     lined = slim.select("id", "host", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("digest"), normalised_lines(F.col("text")).alias("lines"))
-    once = lined.select("host", F.explode(F.array_distinct(F.transform(F.filter("lines", lambda x: x["long"]), lambda x: x["line"]))).alias("line"))
+    once = lined.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
     hosts = measured.groupBy("host").agg(F.count("*").alias("n_docs"))
     common = boilerplate(once, hosts, max_docs, max_share)
-    each = lined.select("id", "host", "digest", F.explode(F.filter("lines", lambda x: x["long"])).alias("x")).select(
+    each = lined.select("id", "host", "digest", F.explode("lines").alias("x")).select(
         "id", "host", "digest", F.col("x.line").alias("line"), F.col("x.words").alias("words")
     )
     # equal rows find each other's lines too: their sum is shared among them below

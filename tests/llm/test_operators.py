@@ -401,6 +401,22 @@ def test_line_frequency(spark):
     assert not got[100]["kept"] and got[200]["kept"] == (not got[200]["base_failed"])
 
 
+def test_line_limits_as_used(spark):
+    """The defaults: a small host loses its shared lines, short ones too, and a line of a few documents or a small share stays."""
+    own = lambda k: " ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j)}" for j in range(20)) + " " + " ".join(f"{chr(97 + j)}{j}" for j in range(40))
+    rows = [(k, f"Menu {k}\n{own(k)}\nAll rights reserved {2000 + k}", "small") for k in range(8)]
+    rows += [(10 + k, own(10 + k) + ("\nseen in three places" if k < 3 else ""), "few") for k in range(8)]
+    rows += [(100 + k, own(100 + k) + ("\nseen in four of 250" if k < 4 else ""), "large") for k in range(250)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    lost = {r["id"]: r["n_words"] - r["n_words_left"] for r in line_frequency.judged(docs).collect()}
+    assert all(lost[k] == 6 for k in range(8)) and not any(n for k, n in lost.items() if k >= 10)
+
+
+def test_line_limits_reach_given_lines(spark, sf):
+    docs = queries.table(spark, sf.replace("0.001", "0.01"), "documents")
+    assert line_frequency.judged(docs).where("n_words_left < n_words").count() > 0
+
+
 # 7
 
 
