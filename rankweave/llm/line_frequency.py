@@ -3,12 +3,13 @@
 Lines are split at line feeds and normalised: lower case, runs of digits as 0, runs of white space as one
 space, ends trimmed. Each document counts once per distinct line of any length that is not blank. A line is
 boilerplate where more than ``max_share`` of its host's documents hold it, which must be more than ``max_docs``:
-the share decides, and the few documents only keep a line of a small host from counting as shared by chance. Boilerplate lines are removed; a document is rejected where less
-than ``min_left`` of its words remain.
+the share decides, and the few documents only keep a line of a small host from counting as shared by chance. Boilerplate lines are removed and the other lines keep their order (``cleaned``); a
+document is rejected where less than ``min_left`` of its words remain.
 
 Only (host, line hash) pairs are shuffled, never lines. Counts are added up before the shuffle, so a line in
-a third of all documents is one row per task. Boilerplate lines come back to documents by a join on line
-hash that broadcasts them only if counted to be few and otherwise splits each host and line over salts.
+a third of all documents is one row per task. Boilerplate comes back to documents as one list of line hashes per
+host, which the share bounds: at 2 %, to 50 times the lines of the host's average document. Lists are broadcast only
+if counted to be small; otherwise texts are shuffled once, each host split over salts.
 
 Base rules per document are counted inside its row. A 3-word window counts as repeated where its hash is
 found again in the same text; hash and position share 64 bits, so for 20,000 words 49 bits tell windows apart.
@@ -23,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.plans.bounds import lookup_join
-from rankweave.session import cut_lineage
 
 SPACES = r"[\x20\x09-\x0D]+"
 MIN_WORDS = 50
@@ -110,19 +110,13 @@ def counted(docs: DataFrame, text: str) -> DataFrame:
     return df.select(*keep, *measures, covered.alias("n_repeat_words"))
 
 
-def normalised_lines(text: Column) -> Column:
-    """(hash, words) of each line that is not blank, as structs."""
+def line_hashes(text: Column) -> Column:
+    """Hash of each normalised line in order, null where it is blank."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n")
     plain = F.transform(
         lines, lambda x: F.trim(F.regexp_replace(F.regexp_replace(F.lower(x), "[0-9]+", "0"), SPACES, " "))
     )
-    return F.transform(
-        F.filter(plain, lambda x: x != ""),
-        lambda x: F.struct(
-            F.xxhash64(x).alias("line"),
-            (F.length(x) - F.length(F.translate(x, " ", "")) + 1).alias("words"),
-        ),
-    )
+    return F.transform(plain, lambda x: F.when(x != "", F.xxhash64(x)))
 
 
 def boilerplate(lines: DataFrame, hosts: DataFrame, max_docs: int, max_share: float) -> DataFrame:
@@ -131,42 +125,51 @@ def boilerplate(lines: DataFrame, hosts: DataFrame, max_docs: int, max_share: fl
     return lookup_join(held, hosts, ["host"]).where(F.col("n") > F.col("n_docs") * max_share).select("host", "line")
 
 
-def judged(
+def cleaned(
     docs: DataFrame,
     id_col: str = "doc_id",
     host_col: str = "source",
     text: str = "text",
     max_docs: int = MAX_DOCS,
     max_share: float = MAX_SHARE,
-    min_left: float = MIN_LEFT,
 ) -> DataFrame:
-    """(id, base measures, n_words_left, base_failed, kept), one row per document."""
+    """(id, text, cleaned), one row per document: its text, and that without the boilerplate lines of its host.
+
+    Null texts stay null; a text that is all boilerplate becomes empty.
+    """
     host = F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit(""))
     slim = docs.select(F.col(id_col).alias("id"), host.alias("host"), F.col(text).alias("text"))
-    measured = cut_lineage(
-        counted(slim.withColumn("digest", F.coalesce(F.xxhash64("text"), F.lit(0))), "text").drop("text"), "measured"
-    )
-    lined = slim.select("id", "host", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("digest"), normalised_lines(F.col("text")).alias("lines"))
-    once = lined.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
-    hosts = measured.groupBy("host").agg(F.count("*").alias("n_docs"))
-    common = boilerplate(once, hosts, max_docs, max_share)
-    each = lined.select("id", "host", "digest", F.explode("lines").alias("x")).select(
-        "id", "host", "digest", F.col("x.line").alias("line"), F.col("x.words").alias("words")
-    )
-    # equal rows find each other's lines too: their sum is shared among them below
-    gone = lookup_join(each, common, ["host", "line"]).groupBy("id", "host", "digest").agg(F.sum("words").alias("_gone"))
-    equal = measured.groupBy("id", "host", "digest").agg(F.count("*").alias("_equal"))
-    lost = gone.join(equal, (gone["id"].eqNullSafe(equal["id"])) & (gone["host"] == equal["host"]) & (gone["digest"] == equal["digest"])).select(
-        gone["id"].alias("_id"), gone["host"].alias("_host"), gone["digest"].alias("_digest"), (F.col("_gone") / F.col("_equal")).cast("long").alias("_gone")
-    )
-    joined = measured.join(
-        lost, measured["id"].eqNullSafe(F.col("_id")) & (measured["host"] == F.col("_host")) & (measured["digest"] == F.col("_digest")), "left"
-    )
-    left = F.col("n_words") - F.coalesce("_gone", F.lit(0))
+    once = slim.select("host", F.explode(F.array_distinct(line_hashes(F.col("text")))).alias("line")).where("line is not null")
+    hosts = slim.groupBy("host").agg(F.count("*").alias("n_docs"))
+    lists = boilerplate(once, hosts, max_docs, max_share).groupBy("host").agg(F.collect_list("line").alias("_common"))
+    found = lookup_join(slim, lists, ["host"], "left").select("id", "text", "_common", F.when(F.col("_common").isNotNull(), line_hashes(F.col("text"))).alias("_lines"))
+    # the few boilerplate lines that the text has
+    gone = found.select("id", "text", "_lines", F.array_intersect("_common", "_lines").alias("_gone"))
+    kept = F.filter(F.split("text", "\n"), lambda x, k: ~F.coalesce(F.array_contains("_gone", F.get("_lines", k)), F.lit(False)))
+    return gone.select("id", "text", F.when(F.size("_gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("cleaned"))
+
+
+def judged(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    host_col: str = "source",
+    text: str = "text",
+    max_docs: int = MAX_DOCS,
+    max_share: float = MAX_SHARE,
+    min_left: float = MIN_LEFT,
+) -> DataFrame:
+    """(id, base measures, n_words_left, base_failed, kept, cleaned), one row per document."""
+    texts = cleaned(docs, id_col, host_col, text, max_docs, max_share)
+    measured = counted(texts, "text")
+    left = F.size(split_words(F.coalesce("cleaned", F.lit("")))).cast("long")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    return joined.select(
+    return measured.select(
         "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         left.alias("n_words_left"),
         failed.alias("base_failed"),
-        (~failed & (left >= min_left * F.col("n_words"))).alias("kept"),
+        "cleaned",
+    ).select(
+        "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_words_left", "base_failed",
+        (~F.col("base_failed") & (F.col("n_words_left") >= min_left * F.col("n_words"))).alias("kept"),
+        "cleaned",
     )

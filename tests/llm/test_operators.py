@@ -417,6 +417,24 @@ def test_line_limits_reach_given_lines(spark, sf):
     assert line_frequency.judged(docs).where("n_words_left < n_words").count() > 0
 
 
+def normal_line(line):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", re.sub("[0-9]+", "0", line.lower())).strip(" ")
+
+
+def test_cleaned_texts(case):
+    frame, docs = case
+    of_host, held = collections.Counter(s for _, _, s in docs), collections.Counter()
+    for _, t, s in docs:
+        held.update({(s, normal_line(x)) for x in (t or "").split("\n")})
+    common = {k for k, n in held.items() if k[1] and n > 1 and n > 0.02 * of_host[k[0]]}
+    clean = lambda t, s: t and "\n".join(x for x in t.split("\n") if (s, normal_line(x)) not in common)
+    want = [(i, t, clean(t, s)) for i, t, s in docs]
+    assert any(t != c for _, t, c in want)
+    same([tuple(r) for r in line_frequency.cleaned(frame, max_docs=1).collect()], want)
+    got = [(r["id"], r["cleaned"], r["n_words_left"]) for r in line_frequency.judged(frame, max_docs=1).collect()]
+    same(got, [(i, c, len(WS.findall(c or ""))) for i, _, c in want])
+
+
 # 7
 
 
