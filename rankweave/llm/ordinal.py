@@ -8,16 +8,21 @@ P(grade > g), the tail probability P(grade >= tail).
 
 Fitting. About ``sample`` labelled documents are used, those with the smallest hashes of their ids: a stated bound
 for fitting only, so their ids can be broadcast and no text is shuffled to find them. Cells in less than
-``least_share`` of them are left out. The features are written once, in ``TASKS`` files; every evaluation
+``least_docs`` of them are left out. The features are written once, in ``TASKS`` files; every evaluation
 broadcasts the weights of the cells left and adds up the loss and its gradient in tasks, and L-BFGS takes its
 steps on the driver (vectors of fixed size). Scoring is one pass over all documents.
 
+The limit for keeping comes from labels held out of the fit (``fit_with_limit``): the least tail probability that
+rejects a wanted share of grade 0. P(grade > 0) rises with the tail probability, both follow from the same x.w, so a
+limit on one is a limit on the other.
+
 Null and empty texts have no features and get the grade of the thresholds alone. Without labelled documents of two
 different grades every text gets tail probability 1: nothing is known against it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -36,6 +41,7 @@ ECHO = CELLS - 1
 SAMPLE = 20_000
 STEPS = 30
 TASKS = 8
+HELD_OUT = 5
 WORD_SCALE, TRIPLE_SCALE, ECHO_SCALE = 0.3, 10.0, 3.0
 
 
@@ -143,7 +149,7 @@ def graded_rows(
     return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(few), "id")
 
 
-def fit(graded: DataFrame, grades: int, steps: int = STEPS, balance: float = 0.5, decay: float = 1e-3, least_share: float = 0.003) -> Grader | None:
+def fit(graded: DataFrame, grades: int, steps: int = STEPS, balance: float = 0.5, decay: float = 1e-3, least_docs: int = 5) -> Grader | None:
     """Fit on all rows of ``graded`` (text, grade from 0 to ``grades`` - 1).
 
     A grade's rows count as (rows / (grades x rows of it)) ** ``balance`` each.
@@ -167,7 +173,7 @@ def fit(graded: DataFrame, grades: int, steps: int = STEPS, balance: float = 0.5
         return None
     n = sum(count.values())
     # one row per cell at most
-    held = rows.select(F.explode("cell").alias("cell")).groupBy("cell").count().where(F.col("count") >= max(5, least_share * n))
+    held = rows.select(F.explode("cell").alias("cell")).groupBy("cell").count().where(F.col("count") >= least_docs)
     cells = np.array(sorted((r["cell"], r["count"]) for r in held.collect()), np.int64).reshape(-1, 2)
     scale = np.where(cells[:, 0] < WORD_CELLS, WORD_SCALE * np.log(n / np.maximum(cells[:, 1], 1)), TRIPLE_SCALE)
     scale[cells[:, 0] == ECHO] = ECHO_SCALE
@@ -231,5 +237,25 @@ def scored(docs: DataFrame, grader: Grader | None, tail: int, grades: int, text:
     return source.mapInArrow(kernel, f"doc {kind}, expected double, tail double")
 
 
+def limit_for(tails: np.ndarray, recall: float, least: float) -> float:
+    """The lowest limit, ``least`` or more, below which this share of ``tails`` is."""
+    passing = math.floor((1 - recall) * len(tails) + 1e-9)
+    return max(least, float(np.nextafter(np.sort(tails)[::-1][passing], np.inf))) if passing < len(tails) else least
+
+
+def fit_with_limit(graded: DataFrame, grades: int, tail: int, recall: float, least: float) -> tuple[Grader | None, float]:
+    """A fit on all but one in ``HELD_OUT`` rows of ``graded`` (id, text, grade), and the limit that rejects ``recall`` of grade 0 among those.
+
+    Rows too few to fit on without the others are all fitted on, and ``least`` is the limit.
+    """
+    fold = graded.withColumn("_out", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(HELD_OUT)) == 0)
+    grader = fit(fold.where("not _out"), grades)
+    if grader is None:
+        return fit(graded, grades), least
+    # the sample bounds these rows
+    worst = scored(fold.where("_out and grade = 0").select("id", "text"), grader, tail, grades, keep=["id"]).select("tail").collect()
+    return grader, limit_for(np.array([r["tail"] for r in worst]), recall, least)
+
+
 def selected(tail: Column, least: float) -> Column:
     return tail >= least

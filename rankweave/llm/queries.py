@@ -24,9 +24,11 @@ from rankweave.llm import (
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# grades: 0 toxic, 1 poor, 2 good; kept where good enough is likelier than this
+# grades: 0 toxic, 1 poor, 2 good; kept where good enough is at least as likely as this, and as a limit that
+# rejects this share of held-out toxic documents
 GRADES = 3
 KEEP_TAIL = 0.4
+TOXIC_RECALL = 0.95
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -72,13 +74,14 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    grader = ordinal.fit(ordinal.graded_rows(docs, table(spark, folder, "labels")), GRADES)
+    graded = ordinal.graded_rows(docs, table(spark, folder, "labels"))
+    grader, limit = ordinal.fit_with_limit(graded, GRADES, GRADES - 1, TOXIC_RECALL, KEEP_TAIL)
     scored = ordinal.scored(docs, grader, GRADES - 1, GRADES, keep=["doc_id"])
     return scored.select(
         "doc.doc_id",
         F.col("expected").alias("expected_grade"),
         F.col("tail").alias("tail_probability"),
-        ordinal.selected(F.col("tail"), KEEP_TAIL).alias("kept"),
+        ordinal.selected(F.col("tail"), limit).alias("kept"),
     )
 
 

@@ -280,6 +280,24 @@ def test_ordinal_regression(spark):
     assert means == sorted(means)
 
 
+def test_limit_from_held_out_toxic(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
+    graded = ordinal.graded_rows(docs, queries.table(spark, "/root/testdata/sf0.1", "labels")).withColumn("fold", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) == 0)
+    grader, limit = ordinal.fit_with_limit(graded.where("not fold").drop("fold"), 3, 2, queries.TOXIC_RECALL, queries.KEEP_TAIL)
+    scored = ordinal.scored(graded.where("fold"), grader, 2, 3, keep=["id", "grade"]).select("doc.grade", "tail").collect()
+    toxic = np.array([r["tail"] < limit for r in scored if r["grade"] == 0])
+    good = np.array([r["tail"] >= limit for r in scored if r["grade"] == 2])
+    print(f"limit {limit:.3f}: toxic rejected {toxic.mean():.3f} of {len(toxic)}, good kept {good.mean():.3f}")
+    assert toxic.mean() > 0.9 and good.mean() > 0.8
+
+
+def test_limit_rejects_the_wanted_share():
+    tails = np.arange(100) / 100
+    assert (tails < ordinal.limit_for(tails, 0.95, 0.4)).sum() == 95
+    assert ordinal.limit_for(tails / 10, 0.95, 0.4) == 0.4 and ordinal.limit_for(tails[:0], 0.95, 0.4) == 0.4
+    assert ordinal.limit_for(tails[-3:], 0.95, 0.4) > tails[-1]
+
+
 def test_slope_is_the_gradient():
     rng = np.random.default_rng(1)
     n, cells = 40, 12
