@@ -27,8 +27,8 @@ def running_total(df: DataFrame, key: str, weight: str | None = None, out: str =
     return joined.withColumn(out, F.col("_before") + inside).drop("_range", "_before")
 
 
-def rank_in_groups(df: DataFrame, key: str, order: list[Column], out: str = "rank") -> DataFrame:
-    """``row_number`` per key for groups of any size.
+def rank_in_groups(df: DataFrame, key: str, order: list[Column], out: str = "rank", kind: str = "int") -> DataFrame:
+    """``row_number`` per key for groups of any size; ``kind`` is its type, long for groups beyond 2**31 rows.
 
     Rows are ranged by (key, order), so a key that holds a third of all rows lies across many tasks. Each
     stretch of a key inside one range is numbered by itself and raised by the rows of that key in earlier
@@ -46,5 +46,5 @@ def rank_in_groups(df: DataFrame, key: str, order: list[Column], out: str = "ran
         "left",
     )
     inside = F.row_number().over(Window.partitionBy("_range", key).orderBy(*order))
-    rank = (F.coalesce("_before", F.lit(0)) + inside).cast("int")
+    rank = (F.coalesce("_before", F.lit(0)) + inside).cast(kind)
     return joined.withColumn(out, rank).drop("_range", "_from", "_key", "_before")
