@@ -51,7 +51,7 @@ def rotated(vectors: np.ndarray) -> np.ndarray:
         out *= sign[turn]
         half = 1
         while half < width:
-            pair = out.reshape(len(out), -1, 2, half)
+            pair = out.reshape(len(out), width // (2 * half), 2, half)
             pair[:, :, 0], pair[:, :, 1] = pair[:, :, 0] + pair[:, :, 1], pair[:, :, 0] - pair[:, :, 1]
             half *= 2
         out /= np.sqrt(width)
@@ -182,6 +182,8 @@ def positives_task(shared, k: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(shared.value)
+        if not len(anchors.ids):
+            return
         best = Best(len(anchors.ids), k)
         for piece in steps(batches, len(anchors.ids)):
             ids, vectors, same, _, low, high = anchors.of(piece)
@@ -200,6 +202,8 @@ def negatives_task(shared, k: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(shared.value)
+        if not len(anchors.ids):
+            return
         offers = anchors.table["positives"].combine_chunks()
         count = offers.value_lengths().to_numpy(zero_copy_only=False)
         flat = offers.flatten()
