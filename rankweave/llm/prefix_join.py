@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankweave.llm import words
@@ -40,6 +40,8 @@ BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
 # Groups of one shingle that are compared with all others of it in one task.
 CELL = 2048
+# Shared shingles under which a group looks for neighbours in the first round.
+FIRST = 3
 SLICE_BYTES = 1 << 20
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
@@ -93,14 +95,23 @@ def counts(docs: DataFrame, text: str) -> np.ndarray:
     return total
 
 
-def sets(docs: DataFrame, id_col: str, text: str, share: tuple[int, int] = SHARE) -> DataFrame:
-    """(id, size, name, grp, hashes): a document's set in the common order, the set's name and that of its group."""
-    total = docs.sparkSession.sparkContext.broadcast(counts(docs, text))
+def texts_of(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
 
-    def named(value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """A hash of the members of each run, whatever their order."""
-        upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words.mix(value ^ STEPS[0]), dtype=np.uint64)))
-        return upto[end] - upto[begin]
+
+def named(value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the members of each run, whatever their order."""
+    upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words.mix(value ^ STEPS[0]), dtype=np.uint64)))
+    return words.mix(upto[end] - upto[begin] + (end - begin).astype(np.uint64))
+
+
+def list_of(value: np.ndarray, cut: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(cut.astype(np.int32), pa.array(value.view(np.int64)))
+
+
+def prefixes(texts: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
+    """(id, digest, size, name, grp, prefix): the name of a document's set, its prefix, and the name of its group."""
+    total = texts.sparkSession.sparkContext.broadcast(counts(texts, "text"))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,27 +120,40 @@ def sets(docs: DataFrame, id_col: str, text: str, share: tuple[int, int] = SHARE
                 owner, value = distinct(owner, value, total.value[bucket(value)])
                 cut = np.searchsorted(owner, np.arange(part.num_rows + 1))
                 size = np.diff(cut)
-                own = words.mix(named(value, cut[:-1], cut[1:]) + size.astype(np.uint64))
-                prefix = named(value, cut[:-1], cut[:-1] + prefix_of(size, share))
-                group = words.mix(prefix ^ (size.astype(np.uint64) * STEPS[1]))
+                length = prefix_of(size, share)
+                group = words.mix(named(value, cut[:-1], cut[:-1] + length) ^ (size.astype(np.uint64) * STEPS[1]))
+                inside = np.arange(len(owner)) - cut[owner] < length[owner]
+                upto = np.concatenate(([0], np.cumsum(length)))
+                own = named(value, cut[:-1], cut[1:])
                 yield pa.record_batch(
                     [
-                        part.column("id"), pa.array(size), pa.array(own.view(np.int64)), pa.array(group.view(np.int64)),
-                        pa.ListArray.from_arrays(cut.astype(np.int32), pa.array(value.view(np.int64))),
+                        part.column("id"), part.column("digest"), pa.array(size), pa.array(own.view(np.int64)),
+                        pa.array(group.view(np.int64)), list_of(value[inside], upto),
                     ],
-                    ["id", "size", "name", "grp", "hashes"],
+                    ["id", "digest", "size", "name", "grp", "prefix"],
                 )
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(kernel, f"id {kind}, size long, name long, grp long, hashes array<long>")
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.mapInArrow(kernel, f"id {kind}, digest long, size long, name long, grp long, prefix array<long>")
 
 
-def prefix_of(size, share: tuple[int, int]):
-    """Length of the prefix, for arrays of numbers and for columns."""
+def sets(texts: DataFrame) -> DataFrame:
+    """(name, hashes): the whole set of each text that has one."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.slices(batch, "text", SLICE_BYTES):
+                owner, value = distinct(*shingles(part.column("text")))
+                cut = np.searchsorted(owner, np.arange(part.num_rows + 1))
+                own = named(value, cut[:-1], cut[1:])
+                yield pa.record_batch([pa.array(own.view(np.int64)), list_of(value, cut)], ["name", "hashes"])
+
+    return texts.select("text").mapInArrow(kernel, "name long, hashes array<long>")
+
+
+def prefix_of(size: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """Length of the prefix of sets of these sizes."""
     part, whole = share
-    if isinstance(size, Column):
-        return F.when(size > 0, size - F.ceil(size * part / F.lit(whole)) + 1).otherwise(0).cast("int")
     return np.where(size > 0, size - -(-size * part // whole) + 1, 0)
 
 
@@ -142,12 +166,18 @@ def fitting(a: str, b: str, share: tuple[int, int]) -> Column:
     return sizes & (most * (part + whole) >= (size_a + size_b) * part)
 
 
-def shared_prefixes(found: DataFrame, share: tuple[int, int]) -> DataFrame:
+def shared_prefixes(found: DataFrame) -> DataFrame:
     """(token, place from 1, grp, size): each group under the shingles of its prefix that another group has in its own."""
-    prefix = F.posexplode(F.slice("hashes", F.lit(1), prefix_of(F.col("size"), share))).alias("place", "token")
-    every = found.where("size > 0").select("grp", "size", prefix).withColumn("place", F.col("place") + 1)
+    every = found.select("grp", "size", F.posexplode("prefix").alias("place", "token")).withColumn("place", F.col("place") + 1)
     tokens = every.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high").select("token")
-    return lookup_join(every, tokens, ["token"], "left_semi").dropDuplicates(["token", "grp"])
+    # a token of many groups is one row on its right side: its partition can be split as a skewed one
+    return every.join(tokens, "token", "left_semi").dropDuplicates(["token", "grp"])
+
+
+def first_of(entries: DataFrame, n: int = FIRST) -> DataFrame:
+    """The entries of each group under its first ``n`` shared shingles, the rarest ones."""
+    window = Window.partitionBy("grp").orderBy("place", "token")
+    return entries.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= n).drop("_n")
 
 
 def neighbours(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -213,47 +243,53 @@ def expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return apart.select(F.least("name_a", "name_b").alias("a"), F.greatest("name_a", "name_b").alias("b"))
 
 
-def checked(pairs: DataFrame, found: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """The pairs of classes whose sets are similar enough. One row of each set that is needed is read."""
+def checked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The pairs of classes whose sets are similar enough. One text of each class that is needed is read again."""
     nodes = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
-    unknown = F.col("id").isNull()
-    wanted = classes.join(nodes, "name", "left_semi").select("name", unknown.alias("unknown"), F.xxhash64("id").alias("of"))
-    rows = found.select("name", "hashes", unknown.alias("unknown"), F.xxhash64("id").alias("of"))
-    rows = lookup_join(rows, wanted, ["name", "unknown", "of"], "left_semi").groupBy("name").agg(F.first("hashes").alias("hashes"))
-    return verified(pairs, cut_lineage(rows.select(F.col("name").alias("bits"), "hashes"), "sets"), share[0] / share[1])
+    wanted = classes.join(nodes, "name", "left_semi").select("sample.*")
+    rows = texts.select(*sample_of(), "text")
+    made = sets(lookup_join(rows, wanted, ["unknown", "of", "digest"], "left_semi"))
+    held = made.groupBy("name").agg(F.first("hashes").alias("hashes")).select(F.col("name").alias("bits"), "hashes")
+    return verified(pairs, cut_lineage(held, "sets"), share[0] / share[1])
+
+
+def sample_of() -> list[Column]:
+    """What tells a row from all others, but for rows that repeat it."""
+    return [F.col("id").isNull().alias("unknown"), F.xxhash64("id").alias("of"), F.col("digest")]
 
 
-def joined(found: DataFrame, share: tuple[int, int] = SHARE, every: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(classes, links (a, b)) of written ``sets``; links enough to connect what is linked, or ``every`` one."""
+def joined(found: DataFrame, texts: DataFrame, share: tuple[int, int] = SHARE, every: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(classes, links (a, b)) of written ``prefixes`` of ``texts``; links enough to connect what is linked, or ``every`` one."""
     classes = found.where("size > 0").groupBy("name").agg(
-        F.min("id").alias("id"), F.first("size").alias("size"), F.first("grp").alias("grp"), F.count("*").alias("n")
-    )
+        F.min("id").alias("id"), F.first("size").alias("size"), F.first("grp").alias("grp"), F.count("*").alias("n"),
+        F.min(F.struct(*sample_of())).alias("sample"),
+    )
     classes = cut_lineage(classes, "classes")
     groups = classes.groupBy("grp").agg(F.min("name").alias("lead"), F.first("size").alias("size"), F.count("*").alias("members"))
     groups = cut_lineage(groups, "groups")
-    entries = cut_lineage(shared_prefixes(found, share), "prefixes")
+    entries = cut_lineage(shared_prefixes(found), "prefixes")
     # members of one group are entries under their group's name, at the first place
     crowds = lookup_join(classes, groups.where("members > 1").select("grp"), ["grp"], "left_semi")
     inner = crowds.select(F.col("grp").alias("token"), F.lit(1).alias("place"), F.col("name").alias("grp"), "size")
     links = classes.select(F.col("name").alias("a"), F.col("name").alias("b")).limit(0)
     if not every:
-        near = neighbours(entries, share)
+        near = neighbours(first_of(entries), share)
         for end in ("a", "b"):
             near = near.join(groups.select(F.col("grp").alias(end), F.col("lead").alias(f"lead_{end}")), end)
         near = near.select(F.least("lead_a", "lead_b").alias("a"), F.greatest("lead_a", "lead_b").alias("b"))
         near = cut_lineage(near.unionByName(neighbours(inner, share)).distinct(), "pairs")
-        links = cut_lineage(checked(near, found, classes, share), "links")
+        links = cut_lineage(checked(near, texts, classes, share), "links")
     members = rooted(classes, links).select("grp", "name", "root")
     members = cut_lineage(members, "members")
     bounds = members.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     held = cut_lineage(entries.join(bounds, "grp"), "bounds")
-    open_ = held.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("token")
-    outer = across(lookup_join(held, open_, ["token"], "left_semi"), share)
+    apart = held.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("token")
+    outer = across(held.join(apart, "token", "left_semi"), share)
     alone = members.select(F.col("name").alias("grp"), F.col("root").alias("low"), F.col("root").alias("high"))
     unlike = bounds.where("low <> high").select(F.col("grp").alias("token"))
     inside = across(lookup_join(inner, unlike, ["token"], "left_semi").join(alone, "grp"), share)
     pairs = cut_lineage(expanded(outer, members).unionByName(inside).distinct(), "pairs")
-    return classes, links.unionByName(cut_lineage(checked(pairs, found, classes, share), "links"))
+    return classes, links.unionByName(cut_lineage(checked(pairs, texts, classes, share), "links"))
 
 
 def rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -264,15 +300,17 @@ def rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text: str = "text", share: tuple[int, int] = SHARE) -> tuple[DataFrame, DataFrame]:
     """(membership (id, size, name), links (a, b)): each document's class, and all links between different classes."""
-    found = cut_lineage(sets(docs, id_col, text, share), "sets")
-    _, links = joined(found, share, every=True)
+    texts = texts_of(docs, id_col, text)
+    found = cut_lineage(prefixes(texts, share), "named")
+    _, links = joined(found, texts, share, every=True)
     return found.select("id", "size", "name"), links
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", share: tuple[int, int] = SHARE) -> DataFrame:
     """(id, size, component, n_copies) of every document: the smallest id reachable by links, the documents with the same set."""
-    found = cut_lineage(sets(docs, id_col, text, share), "sets")
-    classes, links = joined(found, share)
+    texts = texts_of(docs, id_col, text)
+    found = cut_lineage(prefixes(texts, share), "named")
+    classes, links = joined(found, texts, share)
     named = cut_lineage(rooted(classes, links).select("name", "id", "root", "n"), "rooted")
     least = named.groupBy("root").agg(F.min("id").alias("component"))
     by_name = lookup_join(named.select("name", "root", F.col("n").alias("n_copies")), least, ["root"]).drop("root")

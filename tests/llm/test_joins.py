@@ -209,9 +209,9 @@ def test_prefix_join_query(spark, sf):
 def test_common_shingles_come_last(spark):
     rows = [(k, f"one common passage of words in all texts and own{k} words{k} of{k} it{k}") for k in range(40)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    found = prefix_join.sets(frame, "doc_id", "text").collect()
-    total = collections.Counter(h for r in found for h in r["hashes"])
-    assert all(total[r["hashes"][0]] == 1 and total[r["hashes"][-1]] == 40 for r in found)
+    found = prefix_join.prefixes(prefix_join.texts_of(frame, "doc_id", "text"), (10, 100)).collect()
+    total = collections.Counter(h for r in found for h in r["prefix"])
+    assert all(total[r["prefix"][0]] == 1 and total[r["prefix"][-1]] == 40 for r in found)
 
 
 # manifest
