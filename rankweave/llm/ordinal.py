@@ -40,6 +40,9 @@ CELLS = WORD_CELLS + TRIPLE_CELLS + 1
 ECHO = CELLS - 1
 SAMPLE = 20_000
 STEPS = 30
+# Text whose features, and rows whose gradient, are held at once.
+SLICE_BYTES = 1 << 20
+SLICE_ROWS = 256
 TASKS = 8
 HELD_OUT = 5
 WORD_SCALE, TRIPLE_SCALE, ECHO_SCALE = 0.3, 10.0, 3.0
@@ -158,7 +161,7 @@ def fit(graded: DataFrame, grades: int, steps: int = STEPS, balance: float = 0.5
 
     def to_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.slices(batch, "text"):
+            for part in words.slices(batch, "text", SLICE_BYTES):
                 row, cell, value = features(part, "text")
                 cuts = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
                 cells = pa.ListArray.from_arrays(cuts, pa.array(cell.astype(np.int32)))
@@ -190,16 +193,19 @@ def fit(graded: DataFrame, grades: int, steps: int = STEPS, balance: float = 0.5
             known, by, w, t = sent.value
             sums = np.zeros(len(known) + len(t) + 1)
             for batch in batches:
-                lists = batch.column("cell")
-                row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-                cell = lists.flatten().to_numpy()
-                at = np.minimum(np.searchsorted(known, cell), max(len(known) - 1, 0))
-                keep = known[at] == cell if len(known) else np.zeros(len(cell), bool)
-                row, at = row[keep], at[keep]
-                value = batch.column("value").flatten().to_numpy()[keep] * by[at]
-                g = batch.column("grade").to_numpy()
-                gw, gt, total = slope(w, t, row, at, value, g, weight_of[g])
-                sums += np.concatenate((gw, gt, [total]))
+                for at_row in range(0, batch.num_rows, SLICE_ROWS):
+                    some = batch.slice(at_row, SLICE_ROWS)
+                    lists = some.column("cell")
+                    row = np.repeat(np.arange(some.num_rows), np.diff(lists.offsets.to_numpy()))
+                    cell = lists.flatten().to_numpy()
+                    at = np.minimum(np.searchsorted(known, cell), max(len(known) - 1, 0))
+                    keep = known[at] == cell if len(known) else np.zeros(len(cell), bool)
+                    row, at = row[keep], at[keep]
+                    value = some.column("value").flatten().to_numpy()[keep] * by[at]
+                    g = some.column("grade").to_numpy()
+                    gw, gt, total = slope(w, t, row, at, value, g, weight_of[g])
+                    sums[: len(known)] += gw
+                    sums[len(known) :] += np.concatenate((gt, [total]))
             yield pa.record_batch([pa.array([sums.tobytes()], pa.binary())], ["sums"])
 
         # one vector per file, TASKS at most
@@ -228,7 +234,7 @@ def scored(docs: DataFrame, grader: Grader | None, tail: int, grades: int, text:
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.slices(batch, place):
+            for part in words.slices(batch, place, SLICE_BYTES):
                 above = sent.value.above(part, place)
                 yield pa.record_batch(
                     [part.column("doc"), pa.array(above.sum(1)), pa.array(above[:, tail - 1])], ["doc", "expected", "tail"]

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,42 +49,73 @@ class Capacity:
 
 
 class WordIds:
-    """Token ids of texts as little-endian 32-bit bytes, with the ids of frequent words kept.
+    """Token ids of texts as one array of 32-bit ids and its cuts, with the ids of frequent words kept.
 
     The tokenizer starts a new token at a single space between two other characters, so such a text's ids
     are those of its words, each with its space. A text with other white space beside a space, or at its
-    ends, is encoded whole.
+    ends, is encoded whole. Words are told apart and put together by Arrow and numpy; Python sees each
+    distinct word of a slice once.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, np.ndarray] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
         for at in range(0, len(texts), ENCODED_AT_ONCE):
             encoded = self.tokenizer.encode_batch_fast(texts[at : at + ENCODED_AT_ONCE], add_special_tokens=False)
-            out += [np.array(x.ids, "<u4").tobytes() for x in encoded]
+            out += [np.array(x.ids, "<u4") for x in encoded]
         return out
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [text.split(" ") for text in texts]
-        plain = [all(parts) and not any(p[0].isspace() or p[-1].isspace() for p in parts) for parts in cut]
-        whole = [text for text, ok in zip(texts, plain) if not ok]
-        heads = [parts[0] for parts, ok in zip(cut, plain) if ok]
+    def of_words(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of words that follow a space."""
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new = {w for parts, ok in zip(cut, plain) if ok for w in parts[1:]}.difference(self.known)
-        asked = list(new)
-        self.known.update(zip(asked, self.encode([" " + w for w in asked])))
-        others = iter(self.encode(whole))
-        first = iter(self.encode(heads))
-        look = self.known.__getitem__
-        return [
-            next(first) + b"".join(map(look, parts[1:])) if ok else next(others) for parts, ok in zip(cut, plain)
-        ]
+        new = [w for w in words if w not in self.known]
+        self.known.update(zip(new, self.encode([" " + w for w in new])))
+        return [self.known[w] for w in words]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, cuts): the ids of text k are ``ids[cuts[k]:cuts[k + 1]]``."""
+        n = len(texts)
+        texts = pc.fill_null(texts, "")
+        parts = pc.split_pattern(texts, " ")
+        begin = parts.offsets.to_numpy().astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        word = coded.indices.to_numpy().astype(np.int64)
+        words = coded.dictionary.to_pylist()
+        odd = np.array([not w or w[0].isspace() or w[-1].isspace() for w in words], bool)
+        owner = np.repeat(np.arange(n), np.diff(begin))
+        whole = np.bincount(owner, odd[word], n) > 0
+        head = np.zeros(len(word), bool)
+        head[begin[:-1]] = True
+        inner = ~head & ~whole[owner]
+        # a table of id runs: words behind a space, first words, whole texts; and which run each place of the slice takes
+        plain_head = head & ~whole[owner]
+        used = np.flatnonzero(np.bincount(word[inner], minlength=len(words)))
+        first = np.flatnonzero(np.bincount(word[plain_head], minlength=len(words)))
+        odd_texts = np.flatnonzero(whole)
+        runs = self.of_words([words[k] for k in used]) + self.encode([words[k] for k in first])
+        runs += self.encode(texts.take(pa.array(odd_texts)).to_pylist())
+        run = np.full(len(word), -1, np.int64)
+        place = np.zeros(len(words), np.int64)
+        place[used] = np.arange(len(used))
+        run[inner] = place[word[inner]]
+        run[plain_head] = len(used) + np.searchsorted(first, word[plain_head])
+        run[begin[:-1][odd_texts]] = len(used) + len(first) + np.arange(len(odd_texts))
+        taken = run >= 0
+        run, owner = run[taken], owner[taken]
+        length = np.array([len(x) for x in runs], np.int64)
+        start = np.cumsum(length) - length
+        flat = np.concatenate(runs) if runs else np.zeros(0, "<u4")
+        each = length[run]
+        upto = np.cumsum(each)
+        ids = flat[np.arange(each.sum()) + np.repeat(start[run] - (upto - each), each)]
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(owner, each, n)))).astype(np.int64)
+        return ids, cuts
 
 
 _word_ids: dict[str, WordIds] = {}
@@ -99,32 +131,27 @@ def word_ids(path: str) -> WordIds:
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", tokens: int = 1024) -> DataFrame:
     """(id, piece, start, length, ids): the token ids of each text and its end, in pieces of ``tokens``."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    end = np.array([END_ID], "<u4").tobytes()
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(tokenizer)
         for batch in batches:
             for part in words.slices(batch, "text", STEP_BYTES):
-                row, piece, start, ids = [], [], [], []
-                for k, data in enumerate(encode([x or "" for x in part.column("text").to_pylist()])):
-                    data += end
-                    n = len(data) // 4
-                    at = 0
-                    stop = n % tokens or tokens
-                    number = 0
-                    while at < n:
-                        row.append(k)
-                        piece.append(number)
-                        start.append(at)
-                        ids.append(data[4 * at : 4 * stop])
-                        at, stop, number = stop, stop + tokens, number + 1
+                found, cuts = encode(part.column("text"))
+                ends = cuts[1:] + np.arange(1, part.num_rows + 1)  # behind the end of each text
+                ids = np.insert(found, cuts[1:], END_ID).astype("<u4", copy=False)
+                n = np.diff(ends, prepend=0)
+                many = -(-n // tokens)
+                row = np.repeat(np.arange(part.num_rows), many)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                first = n - (many - 1) * tokens  # of each text's first piece
+                start = np.where(piece > 0, first[row] + (piece - 1) * tokens, 0)
+                length = np.where(piece > 0, tokens, first[row])
+                bounds = np.append((ends - n)[row] + start, len(ids)).astype(np.int32) * 4
+                held = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(bounds), pa.py_buffer(ids)])
                 yield pa.record_batch(
                     [
-                        part.column("id").take(pa.array(row, pa.int64())),
-                        pa.array(piece, pa.int32()),
-                        pa.array(start, pa.int64()),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array(ids, pa.binary()),
+                        part.column("id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start),
+                        pa.array(length), held,
                     ],
                     ["id", "piece", "start", "length", "ids"],
                 )

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,8 @@ WIDTH = 50
 ROWS = 2
 BLOCK_CELLS = 1 << 24
 MAX_CELLS = 1 << 29
+# Text that is cut into words as Python objects at once.
+CUT_BYTES = 1 << 20
 LAST = (1 << 63) - 1
 WORD_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -227,30 +230,59 @@ def dedup(
     block_cells = min(block_cells, n_cells)
     sketch(slim.select("id", "text"), store, n_cells, block_cells, width)
     spans = covered_spans(candidates(slim, store, n_cells, block_cells, width), width)
-    gathered = spans.groupBy("id", "digest").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    # touching spans of a text become one before they meet its rows; one row per text, however often it is repeated
+    joined = spans.repartition("id", "digest").sortWithinPartitions("id", "digest", "start", "end").mapInArrow(touching, SPANS)
+    packed = F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(F.col("end").cast("long"))
+    gathered = joined.groupBy("id", "digest").agg(F.sort_array(F.collect_set(packed)).alias("spans"))
     return cut(keyed.join(gathered, ["id", "digest"], "left").select("doc", "spans"), place)
 
 
+def touching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans in order of (text, start), those joined that touch or overlap within a batch."""
+    for batch in batches:
+        doc, digest, start, end = [batch.column(k).to_numpy() for k in range(4)]
+        if not len(doc):
+            continue
+        text = np.concatenate(([True], (doc[1:] != doc[:-1]) | (digest[1:] != digest[:-1])))
+        # the furthest end so far in the same text, by adding a step per text that no position reaches
+        shift = np.cumsum(text).astype(np.int64) << 33
+        reach = np.maximum.accumulate(end + shift) - shift
+        new = text.copy()
+        new[1:] |= start[1:] > reach[:-1]
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(doc)) - 1
+        yield pa.record_batch(
+            [pa.array(doc[first]), pa.array(digest[first]), pa.array(start[first]), pa.array(reach[last].astype(np.int32))],
+            ["id", "digest", "start", "end"],
+        )
+
+
 def cut(df: DataFrame, place: tuple[str, str]) -> DataFrame:
     """Take the words inside ``spans`` out of each text."""
     kind = df.schema["doc"].dataType.simpleString()
 
-    def one(value: bytes | None, spans: list | None) -> tuple[int, int, bytes]:
+    def one(value: bytes | None, spans: np.ndarray) -> tuple[int, int, bytes]:
         found = (value or b"").split()
-        if not spans:
+        if not len(spans):
             return len(found), 0, b" ".join(found)
         change = np.zeros(len(found) + 1, np.int64)
-        np.add.at(change, [s["start"] for s in spans], 1)
-        np.add.at(change, [s["end"] for s in spans], -1)
+        np.add.at(change, spans >> 32, 1)
+        np.add.at(change, spans & 0xFFFFFFFF, -1)
         keep = np.cumsum(change)[:-1] == 0
         left = [w for w, k in zip(found, keep.tolist()) if k]
         return len(found), len(found) - len(left), b" ".join(left)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in words.slices(batch, place):
+            for part in words.slices(batch, place, CUT_BYTES):
                 texts = words.column(part, place).cast(pa.binary()).to_pylist()
-                n, gone, left = zip(*(one(*x) for x in zip(texts, part.column("spans").to_pylist())))
+                spans = part.column("spans")
+                flat, at = spans.flatten().to_numpy(), 0
+                made = []
+                for value, many in zip(texts, pc.fill_null(pc.list_value_length(spans), 0).to_pylist()):
+                    made.append(one(value, flat[at : at + many]))
+                    at += many
+                n, gone, left = zip(*made)
                 yield pa.record_batch(
                     [part.column("doc"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(left, pa.binary()).cast(pa.string())],
                     ["doc", "n_words", "n_removed", "kept"],
