@@ -15,6 +15,7 @@ each for itself.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -58,25 +59,35 @@ class WordIds:
     """
 
     def __init__(self, path: str):
+        # a task has one core; threads of the tokenizer would only take turns on it
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
         for at in range(0, len(texts), ENCODED_AT_ONCE):
             encoded = self.tokenizer.encode_batch_fast(texts[at : at + ENCODED_AT_ONCE], add_special_tokens=False)
-            out += [np.array(x.ids, "<u4") for x in encoded]
+            out += [np.array(x.ids, "<u4").tobytes() for x in encoded]
         return out
 
-    def of_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words that follow a space."""
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that follow a space. Words used since the last two generations began are kept."""
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, self.encode([" " + w for w in new])))
-        return [self.known[w] for w in words]
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for w in words:
+            if w not in known:
+                if w in older:
+                    known[w] = older[w]
+                else:
+                    new.append(w)
+        known.update(zip(new, self.encode([" " + w for w in new])))
+        return [known[w] for w in words]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, cuts): the ids of text k are ``ids[cuts[k]:cuts[k + 1]]``."""
@@ -108,9 +119,9 @@ class WordIds:
         run[begin[:-1][odd_texts]] = len(used) + len(first) + np.arange(len(odd_texts))
         taken = run >= 0
         run, owner = run[taken], owner[taken]
-        length = np.array([len(x) for x in runs], np.int64)
+        length = np.array([len(x) >> 2 for x in runs], np.int64)
         start = np.cumsum(length) - length
-        flat = np.concatenate(runs) if runs else np.zeros(0, "<u4")
+        flat = np.frombuffer(b"".join(runs), "<u4")
         each = length[run]
         upto = np.cumsum(each)
         ids = flat[np.arange(each.sum()) + np.repeat(start[run] - (upto - each), each)]

@@ -5,7 +5,8 @@
 2. A document's shingles in that order are its set. Documents with one set are one class, and classes of one size with the
    same prefix (the first ``size - ceil(share * size) + 1`` shingles) are one group. Linked sets share a shingle of their prefixes.
 3. Groups are filtered in pairs under each shared prefix shingle, by size and by the position of the shingle. A pair of groups
-   that is left is expanded to its members, and these are verified by intersecting their sets.
+   that is left is expanded to its members. Members whose 1024 parity bits differ too often are apart; the others are verified
+   by intersecting their sets.
 4. Verification runs in two rounds. The first takes neighbours only: under each shingle the groups in order of size, within a
    group its members in a row, which links a large group of near copies by few pairs. The second takes every pair of
    members of different components that pass the filters, so no link is lost, and copies are never expanded into all pairs.
@@ -43,6 +44,7 @@ CELL = 2048
 # Shared shingles under which a group looks for neighbours in the first round.
 FIRST = 3
 SLICE_BYTES = 1 << 20
+MARK_BITS = 1024
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -105,12 +107,21 @@ def named(value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return words.mix(upto[end] - upto[begin] + (end - begin).astype(np.uint64))
 
 
+def marks(owner: np.ndarray, value: np.ndarray, n: int) -> pa.Array:
+    """Per text ``MARK_BITS`` parities: how many of its shingles fall on a bit, odd or even, as a list of longs."""
+    key, count = np.unique(owner * MARK_BITS + (value & np.uint64(MARK_BITS - 1)).astype(np.int64), return_counts=True)
+    key = key[count & 1 == 1]
+    out = np.zeros(n * MARK_BITS // 64, np.uint64)
+    np.bitwise_or.at(out, key >> 6, np.uint64(1) << (key & 63).astype(np.uint64))
+    return list_of(out, np.arange(n + 1) * (MARK_BITS // 64))
+
+
 def list_of(value: np.ndarray, cut: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(cut.astype(np.int32), pa.array(value.view(np.int64)))
 
 
 def prefixes(texts: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
-    """(id, digest, size, name, grp, prefix): the name of a document's set, its prefix, and the name of its group."""
+    """(id, digest, size, name, grp, prefix, mark): the name of a document's set, its prefix and marks, and the name of its group."""
     total = texts.sparkSession.sparkContext.broadcast(counts(texts, "text"))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,13 +139,13 @@ def prefixes(texts: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
                 yield pa.record_batch(
                     [
                         part.column("id"), part.column("digest"), pa.array(size), pa.array(own.view(np.int64)),
-                        pa.array(group.view(np.int64)), list_of(value[inside], upto),
+                        pa.array(group.view(np.int64)), list_of(value[inside], upto), marks(owner, value, part.num_rows),
                     ],
-                    ["id", "digest", "size", "name", "grp", "prefix"],
+                    ["id", "digest", "size", "name", "grp", "prefix", "mark"],
                 )
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(kernel, f"id {kind}, digest long, size long, name long, grp long, prefix array<long>")
+    return texts.mapInArrow(kernel, f"id {kind}, digest long, size long, name long, grp long, prefix array<long>, mark array<long>")
 
 
 def sets(texts: DataFrame) -> DataFrame:
@@ -243,8 +254,23 @@ def expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return apart.select(F.least("name_a", "name_b").alias("a"), F.greatest("name_a", "name_b").alias("b"))
 
 
+def plausible(pairs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Pairs whose marks differ in no more bits than sets that are similar enough have members apart.
+
+    A member that only one set has turns one bit, so the sets differ in at least as many members as bits differ.
+    """
+    part, whole = share
+    for end in ("a", "b"):
+        own = classes.select(F.col("name").alias(end), F.col("mark").alias(f"mark_{end}"), F.col("size").alias(f"size_{end}"))
+        pairs = lookup_join(pairs, own, [end])
+    bits = F.zip_with("mark_a", "mark_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+    return pairs.where(apart * (part + whole) <= (F.col("size_a") + F.col("size_b")) * (whole - part)).select("a", "b")
+
+
 def checked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
     """The pairs of classes whose sets are similar enough. One text of each class that is needed is read again."""
+    pairs = cut_lineage(plausible(pairs, classes, share), "plausible")
     nodes = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
     wanted = classes.join(nodes, "name", "left_semi").select("sample.*")
     rows = texts.select(*sample_of(), "text")
@@ -262,7 +288,7 @@ def joined(found: DataFrame, texts: DataFrame, share: tuple[int, int] = SHARE, e
     """(classes, links (a, b)) of written ``prefixes`` of ``texts``; links enough to connect what is linked, or ``every`` one."""
     classes = found.where("size > 0").groupBy("name").agg(
         F.min("id").alias("id"), F.first("size").alias("size"), F.first("grp").alias("grp"), F.count("*").alias("n"),
-        F.min(F.struct(*sample_of())).alias("sample"),
+        F.min(F.struct(*sample_of())).alias("sample"), F.first("mark").alias("mark"),
     )
     classes = cut_lineage(classes, "classes")
     groups = classes.groupBy("grp").agg(F.min("name").alias("lead"), F.first("size").alias("size"), F.count("*").alias("members"))
