@@ -232,7 +232,7 @@ def across(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
     cells = cells.select("token", "main", F.ceil(F.col("n") / F.lit(CELL)).cast("int").alias("cells"))
     # a step slightly wider than the ratio, so that sizes that fit are in the same step or the next
     step = F.floor(F.log(F.col("size").cast("double")) / F.lit(math.log(whole / part) * 1.0001 if part < whole else 1.0)).cast("int")
-    marked = lookup_join(entries, cells, ["token"]).withColumn("step", step)
+    marked = entries.join(cells, "token").withColumn("step", step)
     minor = ~F.coalesce(one & (F.col("low") == F.col("main")), F.lit(False))
     marked = cut_lineage(marked.withColumn("minor", minor).withColumn("cell", F.pmod(F.xxhash64("grp"), F.col("cells")).cast("int")), "cells")
     some = marked.where("minor").withColumn("step", F.explode(F.array([F.col("step") + k for k in (-1, 0, 1)])))
@@ -262,7 +262,7 @@ def plausible(pairs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> D
     part, whole = share
     for end in ("a", "b"):
         own = classes.select(F.col("name").alias(end), F.col("mark").alias(f"mark_{end}"), F.col("size").alias(f"size_{end}"))
-        pairs = lookup_join(pairs, own, [end])
+        pairs = pairs.join(own, end)
     bits = F.zip_with("mark_a", "mark_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     apart = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
     return pairs.where(apart * (part + whole) <= (F.col("size_a") + F.col("size_b")) * (whole - part)).select("a", "b")
@@ -339,7 +339,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shar
     classes, links = joined(found, texts, share)
     named = cut_lineage(rooted(classes, links).select("name", "id", "root", "n"), "rooted")
     least = named.groupBy("root").agg(F.min("id").alias("component"))
-    by_name = lookup_join(named.select("name", "root", F.col("n").alias("n_copies")), least, ["root"]).drop("root")
-    some = lookup_join(found.where("size > 0").select("id", "size", "name"), by_name, ["name"])
+    # both lookups grow with the corpus; a component or a set that a third of all rows have is split as a skewed partition
+    by_name = named.select("name", "root", F.col("n").alias("n_copies")).join(least, "root").drop("root")
+    some = found.where("size > 0").select("id", "size", "name").join(by_name, "name")
     none = found.where("size = 0").select("id", "size", F.col("id").alias("component"), F.lit(1).cast("long").alias("n_copies"))
     return some.select("id", "size", "component", "n_copies").unionByName(none)
