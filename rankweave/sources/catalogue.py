@@ -89,6 +89,24 @@ def build_catalogue(items: DataFrame, buckets: int | None = None, path: str | No
     return _write_summary(Catalogue(table, term_df, stats["n_docs"], stats["avgdl"] or 0.0, n, path))
 
 
+def catalogue_of_postings(
+    items: DataFrame, postings: DataFrame, buckets: int | None = None, path: str | None = None
+) -> Catalogue:
+    """Like :func:`build_catalogue`, with the postings given as (doc_id, postings, dl); items without any have none."""
+    spark = items.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = path or scratch_path(spark, "catalogue")
+    none = F.array().cast(postings.schema["postings"].dataType)
+    rows = items.join(postings, "doc_id", "left").withColumns(
+        {"postings": F.coalesce("postings", none), "dl": F.coalesce("dl", F.lit(0))}
+    )
+    table = _write_bucketed(rows.repartition(n, "doc_id"), n, path)
+    term_statistics(table).write.parquet(f"{path}/term_df")
+    stats = corpus_statistics(table).first()
+    term_df = spark.read.parquet(f"{path}/term_df")
+    return _write_summary(Catalogue(table, term_df, stats["n_docs"], stats["avgdl"] or 0.0, n, path))
+
+
 def with_vectors(catalogue: Catalogue, vectors: DataFrame) -> Catalogue:
     """The same catalogue with other vectors, given as (doc_id, embedding)."""
     n = catalogue.buckets

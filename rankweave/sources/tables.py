@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankweave.sources.records import read_records
+
 FILTER_FIELDS = [
     T.StructField("country", T.StringType()),
     T.StructField("variety", T.StringType()),
@@ -40,13 +42,16 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool = True
 ) -> DataFrame:
-    """CSV with a header and doubled quotes; types are inferred without a schema, by a read of their own.
+    """CSV with a header and doubled quotes; types are inferred without a schema. A file is split over tasks.
 
-    A file is split over tasks. ``line_breaks`` allows quoted line breaks, which makes each file one task.
+    Quoted line breaks are part of their field. Without ``line_breaks`` every line is a record, which saves writing the lines
+    once, and is wrong for files that have such breaks.
     """
-    reader = spark.read.option("header", True).option("multiLine", line_breaks).option("escape", '"')
+    if line_breaks:
+        return read_records(spark, path, schema)
+    reader = spark.read.option("header", True).option("escape", '"')
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
