@@ -52,7 +52,7 @@ class QueryBlock:
     matrix: np.ndarray
     facets: dict = field(default_factory=dict)  # name -> (value set, code per query; -1 is unset)
     bounds: dict = field(default_factory=dict)  # name -> float per query; NaN is unset
-    probes: np.ndarray | None = None  # query x list_id -> bool
+    probes: tuple[np.ndarray, np.ndarray] | None = None  # (list, query) pairs in order of list
 
     @classmethod
     def read(cls, payload: bytes, filtered: bool, n_lists: int = 0) -> QueryBlock:
@@ -72,9 +72,11 @@ class QueryBlock:
                 column = table[f"f_{name}"].cast(pa.float64())
                 block.bounds[name] = pc.fill_null(column, float("nan")).to_numpy()
         if n_lists:
-            block.probes = np.zeros((len(block.ids), n_lists), dtype=bool)
-            for row, lists in enumerate(table["probes"].to_pylist()):
-                block.probes[row, lists] = True
+            lists = table["probes"].combine_chunks()
+            visited = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            query = np.repeat(np.arange(table.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+            order = np.argsort(visited, kind="stable")
+            block.probes = visited[order], query[order]
         return block
 
     def eligible(self, batch: pa.Table) -> np.ndarray:
@@ -92,6 +94,18 @@ class QueryBlock:
                 mask &= np.isnan(bound)[:, None] | within
         return mask
 
+    def probed(self, list_ids: np.ndarray) -> np.ndarray:
+        """query x item mask of the lists that queries visit; only lists that the items are in take any room."""
+        visited, query = self.probes
+        present, at = np.unique(list_ids, return_inverse=True)
+        begin, end = np.searchsorted(visited, present), np.searchsorted(visited, present, side="right")
+        count = end - begin
+        column = np.repeat(np.arange(len(present)), count)
+        pair = np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
+        mask = np.zeros((len(self.ids), len(present)), dtype=bool)
+        mask[query[pair], column] = True
+        return mask[:, at]
+
     def scores(self, batch: pa.Table) -> np.ndarray:
         """query x item scores; ineligible or unprobed pairs are -inf.
 
@@ -99,7 +113,7 @@ class QueryBlock:
         """
         mask = self.eligible(batch)
         if self.probes is not None:
-            mask &= self.probes[:, batch["list_id"].to_numpy()]
+            mask &= self.probed(batch["list_id"].to_numpy())
         out = np.full(mask.shape, -np.inf)
         rows, cols = np.flatnonzero(mask.any(axis=1)), np.flatnonzero(mask.any(axis=0))
         if len(rows) and len(cols):

@@ -18,6 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankweave.session import cut_lineage
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OK, FAILED, MISSING = "ok", "failed", "missing"
@@ -59,7 +61,8 @@ def call_rows(
 ) -> DataFrame:
     """(key, answer, status, error, calls) for every row: ``fn`` is called on the executors with up to ``size`` values at a time.
 
-    ``status`` is ok, failed or missing (no answer, or no value to ask with). A failing call never fails the task.
+    ``status`` is ok, failed or missing (no answer, or no value to ask with). A failing call never fails the task. Answers are
+    written before they are used, so that each value is asked for once however often they are read.
     """
     source = rows.select(F.col(key).alias("key"), F.col(value).alias("value"))
     answer_type = _arrow_type(rows, kind)
@@ -84,7 +87,7 @@ def call_rows(
 
     key_type = source.schema["key"].dataType.simpleString()
     out = source.mapInArrow(run, f"key {key_type}, answer {kind}, status string, error string, calls int")
-    return out.withColumnRenamed("key", key)
+    return cut_lineage(out.withColumnRenamed("key", key), "answers")
 
 
 def _arrow_type(rows: DataFrame, kind: str) -> pa.DataType:
