@@ -7,9 +7,10 @@
 3. Groups are filtered in pairs under each shared prefix shingle, by size and by the position of the shingle. A pair of groups
    that is left is expanded to its members. Members whose 1024 parity bits differ too often are apart; the others are verified
    by intersecting their sets.
-4. Verification runs in two rounds. The first takes neighbours only: under each shingle the groups in order of size, within a
-   group its members in a row, which links a large group of near copies by few pairs. The second takes every pair of
-   members of different components that pass the filters, so no link is lost, and copies are never expanded into all pairs.
+4. Verification runs in rounds. All but the last take neighbours of different components only: groups under their rarest
+   shared shingles, members of one group in a row, by size and then in shuffled orders. That links a large group of near copies by
+   few pairs. The last takes every pair of members of different components that passes the filters, so no link is lost, and
+   copies are never expanded into all pairs.
 
 ``linked`` gives all links between classes, without the shortcut of round one. Shingles, prefixes and sets go by 64-bit hashes.
 
@@ -43,6 +44,8 @@ BUCKETS = 1 << BUCKET_BITS
 CELL = 2048
 # Shared shingles under which a group looks for neighbours in the first round.
 FIRST = 3
+# Rounds that compare neighbours only, each in another order, before all pairs that are left.
+ROUNDS = 3
 SLICE_BYTES = 1 << 20
 MARK_BITS = 1024
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -191,14 +194,17 @@ def first_of(entries: DataFrame, n: int = FIRST) -> DataFrame:
     return entries.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= n).drop("_n")
 
 
-def neighbours(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(a, b), a < b: groups (or members, column ``grp``) next to each other under a token, in order of size, that pass the filters.
+def neighbours(entries: DataFrame, share: tuple[int, int], turn: int) -> DataFrame:
+    """(a, b), a < b: groups (or members, column ``grp``) of different components next to each other under a token that pass the filters.
 
-    Entries are ranged over tasks, so a token that a third of all groups have lies across many.
+    The first turn has them in order of size, each later one in another shuffled order. Entries are ranged over tasks, so a
+    token that a third of all groups have lies across many.
     """
     part, whole = share
-    columns = ["token", "size", "grp", "place"]
-    ranged = entries.select(columns).repartitionByRange("token", "size", "grp").sortWithinPartitions("token", "size", "grp")
+    columns = ["token", "size", "grp", "place", "low", "high"]
+    order = F.col("size") if turn == 0 else F.xxhash64("grp", F.lit(turn))
+    placed = entries.select(*columns, order.alias("by"))
+    ranged = placed.repartitionByRange("token", "by", "grp").sortWithinPartitions("token", "by", "grp").select(columns)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
@@ -208,10 +214,12 @@ def neighbours(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
                 continue
             now = now if before is None else np.concatenate((before, now), axis=1)
             before = now[:, -1:]
-            (token, size, group, place), (next_token, next_size, next_group, next_place) = now[:, :-1], now[:, 1:]
+            token, size, group, place, low, high = now[:, :-1]
+            next_token, next_size, next_group, next_place, next_low, next_high = now[:, 1:]
             most = 1 + np.minimum(size - place, next_size - next_place)
-            fits = (token == next_token) & (size * whole >= next_size * part)
+            fits = (token == next_token) & (np.minimum(size, next_size) * whole >= np.maximum(size, next_size) * part)
             fits &= most * (part + whole) >= (size + next_size) * part
+            fits &= (low != high) | (next_low != next_high) | (low != next_low)
             a, b = group[fits], next_group[fits]
             yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -298,22 +306,28 @@ def joined(found: DataFrame, texts: DataFrame, share: tuple[int, int] = SHARE, e
     crowds = lookup_join(classes, groups.where("members > 1").select("grp"), ["grp"], "left_semi")
     inner = crowds.select(F.col("grp").alias("token"), F.lit(1).alias("place"), F.col("name").alias("grp"), "size")
     links = classes.select(F.col("name").alias("a"), F.col("name").alias("b")).limit(0)
-    if not every:
-        near = neighbours(first_of(entries), share)
+    first = cut_lineage(first_of(entries), "first")
+    for turn in range(ROUNDS + 1):
+        members = cut_lineage(rooted(classes, links).select("grp", "name", "root"), "members")
+        bounds = members.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        alone = members.select(F.col("name").alias("grp"), F.col("root").alias("low"), F.col("root").alias("high"))
+        within = inner.join(alone, "grp")
+        if every or turn == ROUNDS:
+            break
+        near = neighbours(first.join(bounds, "grp"), share, turn)
         for end in ("a", "b"):
             near = near.join(groups.select(F.col("grp").alias(end), F.col("lead").alias(f"lead_{end}")), end)
         near = near.select(F.least("lead_a", "lead_b").alias("a"), F.greatest("lead_a", "lead_b").alias("b"))
-        near = cut_lineage(near.unionByName(neighbours(inner, share)).distinct(), "pairs")
-        links = cut_lineage(checked(near, texts, classes, share), "links")
-    members = rooted(classes, links).select("grp", "name", "root")
-    members = cut_lineage(members, "members")
-    bounds = members.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        near = cut_lineage(near.unionByName(neighbours(within, share, turn)).distinct(), "pairs")
+        found_links = cut_lineage(checked(near, texts, classes, share), "links")
+        if found_links.isEmpty():
+            break
+        links = links.unionByName(found_links)
     held = cut_lineage(entries.join(bounds, "grp"), "bounds")
     apart = held.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("token")
     outer = across(held.join(apart, "token", "left_semi"), share)
-    alone = members.select(F.col("name").alias("grp"), F.col("root").alias("low"), F.col("root").alias("high"))
     unlike = bounds.where("low <> high").select(F.col("grp").alias("token"))
-    inside = across(lookup_join(inner, unlike, ["token"], "left_semi").join(alone, "grp"), share)
+    inside = across(within.join(unlike, "token", "left_semi"), share)
     pairs = cut_lineage(expanded(outer, members).unionByName(inside).distinct(), "pairs")
     return classes, links.unionByName(cut_lineage(checked(pairs, texts, classes, share), "links"))
 
