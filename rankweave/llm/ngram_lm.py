@@ -1,7 +1,8 @@
 """Interpolated modified Kneser-Ney bigram model, counted by Spark and kept as sorted hash arrays.
 
-Counting. Tasks hash words to 64 bits, count the pairs of a slice of documents and send (context, word,
-count) to the shard of the context; the followers of very frequent contexts are spread over ``HOT_WAYS``
+Counting. Tasks hash words to 64 bits, count the pairs of a slice of documents and send them to the shard of the
+context, those of one slice and shard as one row of packed arrays (contexts, how many followers each has, followers,
+counts); the followers of very frequent contexts are spread over ``HOT_WAYS``
 shards. A shard's task reads its pairs in order, adds equal ones up and writes two files: sorted 64-bit pair
 hashes and one count byte each (larger counts in a short side table). What it learns of single words (how
 often, after how many different words, how many different followers seen once, twice, more) is added up by a
@@ -45,7 +46,7 @@ HOT_WAYS = 16
 SAMPLE_SHARE = 0.01
 PAIRS_PER_SHARD = 400_000
 
-COUNTED = "shard int, u long, v long, n long"
+COUNTED = "shard int, u binary, followers binary, v binary, n binary"
 LEARNT = "kind int, shard int, word long, n0 long, n1 long, n2 long, n3 long, n4 long"
 
 
@@ -212,17 +213,43 @@ def count_pairs(docs: DataFrame, text: str, hot: np.ndarray, shards: int) -> Dat
                 u, v, _ = with_ends(part, text)
                 _, at, n = np.unique(pair_hash(u, v), return_index=True, return_counts=True)
                 u, v = u[at], v[at]
-                order = np.argsort(u, kind="stable")  # equal contexts together: less to shuffle
-                u, v, n = u[order], v[order], n[order]
-                del at, order  # a batch's temporaries need not outlive it while its rows are sent
                 shard = spread(u, v, hot, shards)
-                yield pa.record_batch(
-                    [pa.array(shard), pa.array(signed(u)), pa.array(signed(v)), pa.array(n)], ["shard", "u", "v", "n"]
-                )
+                order = np.lexsort((u, shard))
+                shard, u, v, n = shard[order], u[order], v[order], n[order]
+                del at, order  # a batch's temporaries need not outlive it while its rows are sent
+                yield packed(shard, u, v, n)
 
     return docs.select(text).mapInArrow(kernel, COUNTED)
 
 
+def packed(shard: np.ndarray, u: np.ndarray, v: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """One row per shard of pairs that come by shard and context: each context once, with the number of its followers."""
+    new_shard = np.concatenate(([True], np.diff(shard) != 0))[: len(shard)]
+    new = np.flatnonzero(new_shard | np.concatenate(([True], np.diff(u) != 0))[: len(u)])
+    followers = np.diff(np.append(new, len(u))).astype(np.uint32)
+    begin = np.flatnonzero(new_shard)
+    pairs = np.append(begin, len(u))
+    contexts = np.searchsorted(new, pairs)
+
+    def cut(values: np.ndarray, at: np.ndarray) -> pa.Array:
+        values = np.ascontiguousarray(values)
+        offsets = pa.py_buffer((at * values.itemsize).astype(np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, offsets, pa.py_buffer(values)])
+
+    columns = [pa.array(shard[begin]), cut(u[new], contexts), cut(followers, contexts), cut(v, pairs), cut(n.astype(np.uint32), pairs)]
+    return pa.record_batch(columns, ["shard", "u", "followers", "v", "n"])
+
+
+def unpacked(rows: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, follower, count) of all pairs of rows of ``packed``."""
+
+    def whole(name: str, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(x.as_py() for row in rows for x in row.column(name)), kind)
+
+    u = np.repeat(whole("u", np.uint64), whole("followers", np.uint32))
+    return u, whole("v", np.uint64), whole("n", np.uint32).astype(np.int64)
+
+
 def write_pairs(counted: DataFrame, store: Shards, shards: int) -> DataFrame:
     """Write the pair arrays of each shard; return what the shards know of single words, and counts of counts."""
 
@@ -250,8 +277,7 @@ def write_pairs(counted: DataFrame, store: Shards, shards: int) -> DataFrame:
         current = None
 
         def done():
-            columns = [np.concatenate([x.column(k).to_numpy() for x in held]) for k in (1, 2, 3)]
-            return finish(current, columns[0].view(np.uint64), columns[1].view(np.uint64), columns[2])
+            return finish(current, *unpacked(held))
 
         for batch in batches:
             shard = batch.column(0).to_numpy()
