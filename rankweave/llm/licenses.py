@@ -7,12 +7,19 @@ each piece the stretch that the notice could fill is checked by the ``regex`` li
 k errors, which also gives the span. Overlapping stretches of a notice are joined first, so a notice repeated
 a thousand times is one search over its stretch of text. Phrases with k = 0 are whole words in a row.
 
-Null and empty texts have no words and no labels. The work is one pass per document; nothing is shuffled.
+Edits may not fall on what tells licences apart: the words that name a notice's licence must stand in a row, unchanged
+and as whole words, in the words that the match touches. Of matches that overlap and have different labels the one
+with the smallest share of edits stays, the longer one of a tie. Base phrases are not part of that.
+
+Null and empty texts have no words and no labels; texts of any length are scanned whole; repeated rows get equal
+results; other columns are not read, whatever their names; an empty table gives no rows. The work is one pass per
+document; nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,20 +37,35 @@ PHRASES = (
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 )
-# Short notices as published, searched with edits, and their labels.
+# Short notices as published, searched with edits: (words, label, the words that name the licence).
 NOTICES = (
-    ("released under the mit license", "mit"),
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit"),
-    ("licensed under the apache license version 2 0", "apache-2"),
-    ("licensed under cc by nc 4 0", "cc-by-nc"),
-    ("creative commons attribution noncommercial", "cc-by-nc"),
-    ("licensed under the gnu general public license", "gpl"),
-    ("gnu lesser general public license", "lgpl"),
-    ("gnu affero general public license", "agpl"),
-    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
-    ("subject to the terms of the mozilla public license", "mpl"),
-    ("creative commons attribution sharealike", "cc-by-sa"),
-    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("released under the mit license", "mit", "mit"),
+    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit", "any person obtaining"),
+    ("spdx license identifier mit", "mit", "mit"),
+    ("licensed under the apache license version 2 0", "apache-2", "apache license version 2"),
+    ("licensed under the apache license version 1 1", "apache-1", "apache license version 1"),
+    ("spdx license identifier apache 2 0", "apache-2", "apache 2"),
+    ("licensed under cc by 4 0", "cc-by", "cc by"),
+    ("licensed under cc by nc 4 0", "cc-by-nc", "cc by nc"),
+    ("licensed under cc by sa 4 0", "cc-by-sa", "cc by sa"),
+    ("licensed under cc by nd 4 0", "cc-by-nd", "cc by nd"),
+    ("licensed under cc by nc sa 4 0", "cc-by-nc-sa", "cc by nc sa"),
+    ("licensed under cc by nc nd 4 0", "cc-by-nc-nd", "cc by nc nd"),
+    ("creative commons attribution noncommercial", "cc-by-nc", "attribution noncommercial"),
+    ("creative commons attribution noncommercial sharealike", "cc-by-nc-sa", "attribution noncommercial sharealike"),
+    ("creative commons attribution sharealike", "cc-by-sa", "attribution sharealike"),
+    ("licensed under the gnu general public license", "gpl", "gnu general"),
+    ("gnu lesser general public license", "lgpl", "lesser"),
+    ("gnu affero general public license", "agpl", "affero"),
+    ("released under the gpl license", "gpl", "gpl"),
+    ("released under the bsd license", "bsd", "bsd"),
+    ("released under the mpl license", "mpl", "mpl"),
+    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd", "redistribution"),
+    ("subject to the terms of the mozilla public license", "mpl", "mozilla"),
+    ("permission to use copy modify and or distribute this software for any purpose", "isc", "permission to use"),
+    ("made available under the terms of the eclipse public license", "epl", "eclipse"),
+    ("distributed under the boost software license", "bsl", "boost"),
+    ("this is free and unencumbered software released into the public domain", "unlicense", "unencumbered"),
 )
 # One edit per so many characters of a notice, and at most so many.
 CHARS_PER_EDIT = 12
@@ -56,6 +78,11 @@ class Notice:
     label: str
     edits: int
     base: bool
+    names: str = ""
+
+    def named_in(self, found: str) -> bool:
+        """Whether the words that name the licence stand in a row in ``found``, words with one space between."""
+        return f" {self.names} " in f" {found} "
 
     def pieces(self) -> list[tuple[int, str]]:
         """``edits`` + 1 pieces of nearly equal length with their places; a phrase is one piece with its limits."""
@@ -69,7 +96,7 @@ class Notice:
 def catalogue(phrases=PHRASES, notices=NOTICES) -> list[Notice]:
     exact = [Notice(text, label, 0, True) for text, label in phrases]
     return exact + [
-        Notice(text, label, max(1, min(MOST_EDITS, len(text) // CHARS_PER_EDIT)), False) for text, label in notices
+        Notice(text, label, max(1, min(MOST_EDITS, len(text) // CHARS_PER_EDIT)), False, names) for text, label, names in notices
     ]
 
 
@@ -114,13 +141,32 @@ class Scanner:
         for number, stretches in near.items():
             for a, b in stretches:
                 for found in self.patterns[number].finditer(plain, a, b):
-                    yield number, found.start(), found.end(), sum(found.fuzzy_counts)
+                    begin, end = found.span()
+                    # the words that the match touches, to their ends
+                    first, last = plain.rfind(" ", 0, begin + 1) + 1, plain.find(" ", max(end - 1, 0))
+                    if self.notices[number].named_in(plain[first:last]):
+                        yield number, begin, end, sum(found.fuzzy_counts)
+
+    def closest(self, spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+        """``spans`` without those that overlap a closer one of another label; base phrases all stay."""
+        kept = [h for h in spans if self.notices[h[0]].base]
+        share = lambda h: (h[3] / len(self.notices[h[0]].words), h[1] - h[2], h[1], h[0])
+        taken: list[tuple[int, int, str]] = []  # by start; those of one label may overlap
+        longest = max((h[2] - h[1] for h in spans), default=0)
+        for hit in sorted((h for h in spans if not self.notices[h[0]].base), key=share):
+            number, begin, end, _ = hit
+            label = self.notices[number].label
+            low, high = bisect_left(taken, (begin - longest,)), bisect_left(taken, (end,))
+            if all(b <= begin or other == label for _, b, other in taken[low:high]):
+                insort(taken, (begin, end, label))
+                kept.append(hit)
+        return kept
 
     def scan(self, text: str | None) -> dict:
         found = WORD.findall((text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
         plain = f" {' '.join(found)} "
         out, at, spaces, best = [], 0, 0, 0.0
-        for number, begin, end, edits in sorted(self.spans(plain), key=lambda h: h[1]):
+        for number, begin, end, edits in sorted(self.closest(list(self.spans(plain))), key=lambda h: h[1]):
             begin += plain[begin] == " "
             spaces += plain.count(" ", at, begin)
             at = begin
