@@ -4,7 +4,8 @@ Lines are split at line feeds and normalised: lower case, runs of digits as 0, r
 space, ends trimmed. Each document counts once per distinct line of any length that is not blank. A line is
 boilerplate where more than ``max_share`` of its host's documents hold it, which must be more than ``max_docs``:
 the share decides, and the few documents only keep a line of a small host from counting as shared by chance. Boilerplate lines are removed and the other lines keep their order (``cleaned``); a
-document is rejected where less than ``min_left`` of its words remain.
+document is rejected as depleted where less than ``min_left`` of its words remain, or fewer than the ``MIN_WORDS`` that
+every document needs.
 
 Only (host, line hash) pairs are shuffled, never lines. Counts are added up before the shuffle, so a line in
 a third of all documents is one row per task. Boilerplate comes back to documents as one list of line hashes per
@@ -170,6 +171,6 @@ def judged(
         "cleaned",
     ).select(
         "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_words_left", "base_failed",
-        (~F.col("base_failed") & (F.col("n_words_left") >= min_left * F.col("n_words"))).alias("kept"),
+        (~F.col("base_failed") & (F.col("n_words_left") >= F.greatest(min_left * F.col("n_words"), F.lit(float(MIN_WORDS))))).alias("kept"),
         "cleaned",
     )
