@@ -45,6 +45,8 @@ SLICE_BYTES = 1 << 20
 SLICE_ROWS = 256
 TASKS = 8
 HELD_OUT = 5
+# Share of the held-out rows of the best grade that a limit must keep.
+GOOD_RECALL = 0.97
 WORD_SCALE, TRIPLE_SCALE, ECHO_SCALE = 0.3, 10.0, 3.0
 
 
@@ -249,9 +251,19 @@ def limit_for(tails: np.ndarray, recall: float, least: float) -> float:
     return max(least, float(np.nextafter(np.sort(tails)[::-1][passing], np.inf))) if passing < len(tails) else least
 
 
-def fit_with_limit(graded: DataFrame, grades: int, tail: int, recall: float, least: float) -> tuple[Grader | None, float]:
-    """A fit on all but one in ``HELD_OUT`` rows of ``graded`` (id, text, grade), and the limit that rejects ``recall`` of grade 0 among those.
+def limit_keeping(tails: np.ndarray, recall: float, limit: float, least: float) -> float:
+    """``limit``, lowered as far as this share of ``tails`` needs to reach it, but not below ``least``."""
+    lost = math.floor((1 - recall) * len(tails) + 1e-9)
+    return max(least, min(limit, float(np.sort(tails)[lost]))) if len(tails) else limit
 
+
+def fit_with_limit(
+    graded: DataFrame, grades: int, tail: int, recall: float, least: float, good_recall: float = GOOD_RECALL
+) -> tuple[Grader | None, float]:
+    """A fit on all but one in ``HELD_OUT`` rows of ``graded`` (id, text, grade), and a limit chosen by the others.
+
+    The limit rejects ``recall`` of those of grade 0, unless fewer than ``good_recall`` of those of the best grade would
+    reach it: few rows of grade 0 say little about where their upper end is, and the limit gives way down to ``least``.
     Rows too few to fit on without the others are all fitted on, and ``least`` is the limit.
     """
     fold = graded.withColumn("_out", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(HELD_OUT)) == 0)
@@ -259,8 +271,11 @@ def fit_with_limit(graded: DataFrame, grades: int, tail: int, recall: float, lea
     if grader is None:
         return fit(graded, grades), least
     # the sample bounds these rows
-    worst = scored(fold.where("_out and grade = 0").select("id", "text"), grader, tail, grades, keep=["id"]).select("tail").collect()
-    return grader, limit_for(np.array([r["tail"] for r in worst]), recall, least)
+    ends = fold.where("_out").where(F.col("grade").isin(0, grades - 1)).select("id", "text", "grade")
+    rows = scored(ends, grader, tail, grades, keep=["grade"]).select("doc.grade", "tail").collect()
+    worst = np.array([r["tail"] for r in rows if r["grade"] == 0])
+    best = np.array([r["tail"] for r in rows if r["grade"] == grades - 1])
+    return grader, limit_keeping(best, good_recall, limit_for(worst, recall, least), least)
 
 
 def selected(tail: Column, least: float) -> Column:
