@@ -1,16 +1,19 @@
 """URL verdicts: the longest fitting rule, else naive Bayes on words that hosts and paths are made of.
 
 Host words. The letter runs of a host are split into words by the most probable segmentation (Viterbi) under
-word counts of the pages themselves. Every stretch of a run of up to ``LONGEST`` letters that is a counted word
-is found by a join of stretches with the counts, so the vocabulary is never sent whole to a worker; a
-stretch that is no word costs more per letter. Each distinct run is split once.
+word counts of the pages themselves. Every stretch of a run that is a counted word is found by a join of stretches
+with the counts, so the vocabulary is never sent whole to a worker; a stretch that is no word costs more per
+letter. Words have no greatest length: stretches of up to ``HEAD`` letters are joined as they are, and one of
+``HEAD`` letters that begins longer words is lengthened to the lengths these have. Each distinct run is split once.
 
-Bayes. URLs whose host or path words include a seed word count as bad, all others as good; counts of their
-distinct words over distinct URLs give each word's log odds (multinomial, add-one). A URL without a rule is
+Bayes. URLs whose host or path words include a seed word count as bad, all others as good. Each word of a distinct
+URL counts as often as it occurs, and its log odds (multinomial, add-one) are added as often. A URL without a rule is
 blocked where the prior and its words' odds add up to more than ``threshold``. Odds come to URLs by a join as well.
 
 Null URLs and those without ``://`` have an empty host and path, no words and the prior alone. Repeated
-rows and tied rules: all rows are kept; of rules of one length the first in code point order wins.
+rows and tied rules: all rows are kept; of rules of one length the first in code point order wins. URLs of any length
+are taken whole: a run of n letters makes at most ``HEAD`` * n stretches and those of longer words. An empty table
+gives no rows; columns that are not named in the call are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from rankweave.plans.bounds import lookup_join
 from rankweave.session import cut_lineage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LONGEST = 20
+# Letters of the longest stretches that are joined without knowing of a longer word.
+HEAD = 20
 # Words that mark a URL as bad when they stand alone.
 SEEDS = (
     "adult", "bet", "bets", "betting", "casino", "gambling", "jackpot", "malware", "payday", "phishing",
@@ -66,7 +70,7 @@ def word_counts(pages: DataFrame, text: str) -> DataFrame:
     """(word, n): letter runs of the pages' texts and paths, and the seeds."""
     spark = pages.sparkSession
     runs = F.concat(letter_runs(F.lower(F.coalesce(F.col(text), F.lit("")))), letter_runs(F.lower(F.col("path"))))
-    found = pages.select(F.explode(runs).alias("word")).where(F.length("word") <= LONGEST).groupBy("word").agg(F.count("*").alias("n"))
+    found = pages.select(F.explode(runs).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     seeds = spark.createDataFrame([(s, SEED_COUNT) for s in SEEDS], "word string, n long")
     return found.unionByName(seeds).groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -74,14 +78,18 @@ def word_counts(pages: DataFrame, text: str) -> DataFrame:
 def best_split(run: str, words: list[tuple[int, int, float]], total: float) -> list[str]:
     """The most probable words of ``run``; ``words`` are (start, length, count) of the counted ones in it."""
     log_total = math.log10(max(total, 1.0))
-    gain = {(s, n): math.log10(c) - log_total for s, n, c in words}
+    ending: dict[int, list[tuple[int, float]]] = {}
+    for start, n, count in words:
+        ending.setdefault(start + n, []).append((start, math.log10(count) - log_total))
     best = [0.0] + [-math.inf] * len(run)
     came = [0] * (len(run) + 1)
+    unknown, since = -math.inf, 0  # the best that ends here with a stretch that is no word, and where that begins
     for end in range(1, len(run) + 1):
-        for start in range(max(0, end - LONGEST), end):
-            value = gain.get((start, end - start), 1.0 - log_total - (end - start))
-            if best[start] + value > best[end]:
-                best[end], came[end] = best[start] + value, start
+        new = best[end - 1] + 1.0 - log_total
+        if new > unknown:
+            unknown, since = new, end - 1
+        unknown -= 1.0
+        best[end], came[end] = max([(unknown, since)] + [(best[s] + gain, s) for s, gain in ending.get(end, [])])
     out, end = [], len(run)
     while end:
         out.append(run[came[end] : end])
@@ -93,18 +101,18 @@ def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
     """(run, words) for distinct ``runs``."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     size = F.length("run")
-    stretches = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), size),
-            lambda s: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(LONGEST), size - s + 1)),
-                lambda n: F.struct((s - 1).alias("start"), n.alias("n"), F.substring(F.col("run"), s, n).alias("word")),
-            ),
-        )
-    )
-    each = runs.select("run", F.explode(stretches).alias("x")).select("run", "x.*")
+    starts = runs.select("run", F.explode(F.sequence(F.lit(1), size)).alias("s"))
+    lengths = F.sequence(F.lit(1), F.least(F.lit(HEAD), size - F.col("s") + 1))
+    short = starts.select("run", "s", F.explode(lengths).alias("n")).withColumn("word", F.substring("run", F.col("s"), F.col("n")))
+    short = short.select("run", (F.col("s") - 1).alias("start"), "n", "word")
+    # longer words: where their first letters stand, the lengths that words with these have
+    head = F.substring("word", 1, HEAD)
+    longer = counts.where(F.length("word") > HEAD).select(head.alias("word"), F.length("word").alias("full")).distinct()
+    far = lookup_join(short.where(F.col("n") == HEAD), longer, ["word"]).where(F.col("start") + F.col("full") <= size)
+    far = far.select("run", "start", F.col("full").alias("n"), F.substring("run", F.col("start") + 1, F.col("full")).alias("word"))
+    each = short.unionByName(far)
     counted = lookup_join(each, counts.withColumnRenamed("n", "c"), ["word"])
-    # at most run length x LONGEST stretches per run
+    # at most HEAD words a letter of the run, and the longer ones
     found = counted.groupBy("run").agg(F.collect_list(F.struct("start", "n", F.col("c").cast("double").alias("c"))).alias("found"))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,10 +144,10 @@ def url_words(urls: DataFrame, counts: DataFrame) -> DataFrame:
 
 def log_odds(words: DataFrame) -> tuple[DataFrame, float, float]:
     """((word, odds), odds of an unseen word, prior) from (host, path, words, bad)."""
-    classes = {r["bad"]: r for r in words.groupBy("bad").agg(F.count("*").alias("n"), F.sum(F.size(F.array_distinct("words"))).alias("w")).collect()}
+    classes = {r["bad"]: r for r in words.groupBy("bad").agg(F.count("*").alias("n"), F.sum(F.size("words")).alias("w")).collect()}
     n = {k: classes[k]["n"] if k in classes else 0 for k in (False, True)}
     w = {k: classes[k]["w"] if k in classes else 0 for k in (False, True)}
-    each = words.select("bad", F.explode(F.array_distinct("words")).alias("word"))
+    each = words.select("bad", F.explode("words").alias("word"))
     by_word = cut_lineage(
         each.groupBy("word").agg(
             F.sum(F.col("bad").cast("long")).alias("b"), F.sum((~F.col("bad")).cast("long")).alias("g")
