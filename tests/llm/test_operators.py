@@ -116,9 +116,12 @@ def test_notices_with_edits_are_found():
         if notice.base:
             continue
         for _ in range(10):
+            # edits anywhere but in the words that name the licence, which must stay as they are
+            named = f" {notice.words} ".index(f" {notice.names} ")
             text = list(notice.words)
-            for _ in range(rng.randint(0, notice.edits)):
-                k = rng.randrange(1, len(text) - 1)
+            held = set(range(named - 1, named + len(notice.names) + 1))
+            places = [k for k in range(1, len(text) - 1) if k not in held]
+            for k in sorted(rng.sample(places, rng.randint(0, min(notice.edits, len(places)))), reverse=True):
                 text[k : k + 1] = rng.choice([[], ["q"], [text[k], "q"]])
             text = "".join(text)
             assert edit_distance(text, notice.words) <= notice.edits
@@ -129,6 +132,30 @@ def test_notices_with_edits_are_found():
     assert {(s["word"], s["n_words"]) for s in spans if s["base"]} == {(3, 4)}
 
 
+@pytest.mark.parametrize(
+    "text,labels",
+    [
+        ("released under the mpl license", "mpl"), ("released under the mut license", ""), ("released under the limit license", ""),
+        ("licensed under CC BY-SA 4.0", "cc-by-sa"), ("licensed under CC BY-ND 4.0", "cc-by-nd"), ("licensed under CC BY 4.0", "cc-by"),
+        ("licensed under CC-BY-NC-SA 4.0", "cc-by-nc,cc-by-nc-sa"), ("licenced under cc by sa 3 0", "cc-by-sa"),
+        ("licensed under the Apache License, Version 1.0", "apache-1"), ("licenced under the apache license version 2 0", "apache-2"),
+        ("licensed under the apache license version 3 0", ""), ("gnu lesser general public license", "lgpl"),
+        ("SPDX-License-Identifier: MIT", "mit"), ("SPDX-License-Identifier: ISC", ""), ("released undr the MIT licence", "mit"),
+        ("released under the mit license and released under the bsd license", "bsd,mit"), ("", ""), (None, ""),
+    ],
+)
+def test_neighbouring_licences_keep_their_names(text, labels):
+    scanner = licenses.Scanner(licenses.catalogue())
+    assert scanner.scan(text)["labels"] == labels
+    if text:
+        assert scanner.scan(f"before it {text} and after")["labels"] == labels
+
+
+def test_long_text_of_notices():
+    found = licenses.Scanner(licenses.catalogue()).scan("released under the mit licence x " * 4000)
+    assert len([h for h in found["spans"] if not h["base"]]) == 4000 and found["labels"] == "mit"
+
+
 # 2
 
 
@@ -291,6 +318,26 @@ def test_limit_from_held_out_toxic(spark):
     assert toxic.mean() > 0.9 and good.mean() > 0.8
 
 
+def test_limit_with_few_toxic_rows(spark):
+    """Some ten held-out toxic rows must not set a limit that good documents fail."""
+    folder = "/root/testdata/sf0.01"
+    docs = queries.table(spark, folder, "documents").select("doc_id", "text")
+    got = queries.op4_ordinal_quality(spark, folder).select("doc_id", "kept")
+    graded = ordinal.graded_rows(docs, queries.table(spark, folder, "labels")).select("id", "grade")
+    rows = graded.join(got, graded["id"] == got["doc_id"]).collect()
+    good = np.array([r["kept"] for r in rows if r["grade"] == 2])
+    toxic = np.array([not r["kept"] for r in rows if r["grade"] == 0])
+    print(f"good kept {good.mean():.3f} of {len(good)}, toxic rejected {toxic.mean():.3f} of {len(toxic)}")
+    assert good.mean() > 0.9
+
+
+def test_limit_gives_way_to_good_rows():
+    good = np.arange(100) / 100
+    assert (good >= ordinal.limit_keeping(good, 0.97, 0.9, 0.01)).sum() == 97
+    assert ordinal.limit_keeping(good, 0.97, 0.02, 0.01) == 0.02 and ordinal.limit_keeping(good, 0.97, 0.9, 0.4) == 0.4
+    assert ordinal.limit_keeping(good[:0], 0.97, 0.9, 0.4) == 0.9
+
+
 def test_limit_rejects_the_wanted_share():
     tails = np.arange(100) / 100
     assert (tails < ordinal.limit_for(tails, 0.95, 0.4)).sum() == 95
@@ -430,6 +477,16 @@ def test_line_limits_as_used(spark):
     assert all(lost[k] == 6 for k in range(8)) and not any(n for k, n in lost.items() if k >= 10)
 
 
+def test_depleted_documents_are_rejected(spark):
+    """The defaults: a document whose own lines are too short is rejected, whatever it had with the shared ones."""
+    own = lambda k, n: " ".join(f"w{chr(97 + k)}{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(n))
+    rows = [(k, "a menu of eight words on every page\n" + own(k, 45 if k < 3 else 70), "h") for k in range(8)]
+    got = {r["id"]: r for r in line_frequency.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    for k in range(8):
+        assert (got[k]["n_words"], got[k]["n_words_left"]) == ((53, 45) if k < 3 else (78, 70))
+        assert not got[k]["base_failed"] and got[k]["kept"] == (k >= 3)
+
+
 def test_line_limits_reach_given_lines(spark, sf):
     docs = queries.table(spark, sf.replace("0.001", "0.01"), "documents")
     assert line_frequency.judged(docs).where("n_words_left < n_words").count() > 0
@@ -657,6 +714,40 @@ def test_best_split():
 
     assert split("spamfarm") == ["spam", "farm"]
     assert split("") == [] and "".join(split("zzspamqq")) == "zzspamqq"
+    assert split("q" * 50) == ["q" * 50]
+
+    def plain(run):
+        """The best value over all splits, each stretch a word or not."""
+        total, best = math.log10(sum(counts.values())), [0.0]
+        for end in range(1, len(run) + 1):
+            value = lambda x: max([1 - total - len(x)] + [math.log10(counts.get(x, 1)) - total] * (x in counts))
+            best.append(max(best[s] + value(run[s:end]) for s in range(end)))
+        return best[-1]
+
+    rng, total = random.Random(4), math.log10(sum(counts.values()))
+    for _ in range(300):
+        run = "".join(rng.choice(["spam", "farm", "a", "s", "m", "f"]) for _ in range(rng.randint(1, 12)))
+        made = sum(max([1 - total - len(x)] + [math.log10(counts.get(x, 1)) - total] * (x in counts)) for x in split(run))
+        assert made == pytest.approx(plain(run))
+
+
+def test_long_words_and_scores(spark):
+    """Words above the joined length split whole, and odds are those of a multinomial over every occurrence."""
+    long = "internationalisationservices"
+    rows = [(k, f"http://{long}{'casino' if k % 4 == 0 else 'shop'}.com/buy/buy/{'x' * 300 if k == 2 else 'a'}", f"{long} shop {long}") for k in range(10)]
+    rows += [(20, f"http://{long}.org/{long}/{'ab' * 500}", None), (20, f"http://{long}.org/{long}/{'ab' * 500}", None)]
+    rules = spark.createDataFrame([], "host string, path string, verdict string")
+    got = url_filter.judged(spark.createDataFrame(rows, "page_id long, url string, html string"), rules).collect()
+    assert len(got) == 12
+    by_url = {(r["host"], r["path"]): (r["words"], r["score"]) for r in got}
+    assert all(words[0] == long for words, _ in by_url.values())
+    bad = {u: any(x in url_filter.SEEDS for x in words) for u, (words, _) in by_url.items()}
+    count = {b: collections.Counter(x for u, (words, _) in by_url.items() if bad[u] == b for x in words) for b in (False, True)}
+    v = len(set(count[False]) | set(count[True]))
+    odds = lambda x: math.log((count[True][x] + 1) / (sum(count[True].values()) + v + 1)) - math.log((count[False][x] + 1) / (sum(count[False].values()) + v + 1))
+    prior = math.log((sum(bad.values()) + 1) / (len(bad) - sum(bad.values()) + 1))
+    for words, score in by_url.values():
+        assert score == pytest.approx(prior + sum(map(odds, words)))
 
 
 # all
