@@ -111,7 +111,9 @@ def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
     far = lookup_join(short.where(F.col("n") == HEAD), longer, ["word"]).where(F.col("start") + F.col("full") <= size)
     far = far.select("run", "start", F.col("full").alias("n"), F.substring("run", F.col("start") + 1, F.col("full")).alias("word"))
     each = short.unionByName(far)
-    counted = lookup_join(each, counts.withColumnRenamed("n", "c"), ["word"])
+    # the vocabulary is cut down to words of these runs first: it moves once at most, unsalted, for its words are distinct
+    met = counts.join(each.select("word").distinct(), "word", "left_semi")
+    counted = lookup_join(each, met.withColumnRenamed("n", "c"), ["word"])
     # at most HEAD words a letter of the run, and the longer ones
     found = counted.groupBy("run").agg(F.collect_list(F.struct("start", "n", F.col("c").cast("double").alias("c"))).alias("found"))
 
