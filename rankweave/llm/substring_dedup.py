@@ -6,8 +6,10 @@ words as a window of a document with a smaller id. Windows are compared by 96 ha
 1. Sketch. Each slice of documents lists the sketch cells of its windows (a window of two documents of the
    slice counts twice) as packed gaps; tasks merge the lists per block of cells and keep one bit per cell,
    "counted at least twice", in a file that workers map. A window's estimate is the least of its cells, so
-   it can only be too high: no repeated window is lost. The sketch has two cells per expected window up to
-   ``max_cells`` per row; beyond that more single windows pass the filter, with the same result.
+   it can only be too high: no repeated window is lost. The sketch has two cells per expected window in each
+   row at every size of the corpus: blocks of cells grow in number, and a slice visits those it has windows
+   in, one after the other. ``max_cells`` bounds a row for a caller who has less room; more single windows
+   then pass the filter, with the same result.
 2. Exact pass. Windows estimated as repeated are resolved inside their slice first: only the earliest
    document of the slice still has to be compared, so a window that millions of documents share sends one
    row per slice and no key is hot. Rows meet by hash, sorted by document; all but the earliest are covered.
@@ -35,7 +37,6 @@ from rankweave.session import scratch_path
 WIDTH = 50
 ROWS = 2
 BLOCK_CELLS = 1 << 24
-MAX_CELLS = 1 << 29
 # Text that is cut into words as Python objects at once.
 CUT_BYTES = 1 << 20
 LAST = (1 << 63) - 1
@@ -130,15 +131,22 @@ def sketch(docs: DataFrame, store: Shards, n_cells: int, block_cells: int, width
 
 def estimated_repeated(window: np.ndarray, store: Shards, n_cells: int, block_cells: int) -> np.ndarray:
     blocks = n_cells // block_cells
-    found = np.ones(len(window), bool)
+    held = np.arange(len(window))  # windows that all rows so far estimate as repeated
     for row in range(ROWS):
-        cell = cells(window, row, n_cells)
+        cell = cells(window[held], row, n_cells)
+        order = np.argsort(cell)
+        held, cell = held[order], cell[order]
         block = cell // block_cells
-        for b in range(blocks):
-            bits = store.read(f"block/{row * blocks + b}", np.uint8)
-            at = np.flatnonzero(block == b) if blocks > 1 else slice(None)
-            inside = cell[at] - b * block_cells
-            found[at] &= ((bits[inside >> 3] >> (inside & 7).astype(np.uint8)) & 1).astype(bool) if len(bits) else False
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(cell)] if len(cell) else [0]
+        again = np.zeros(len(cell), bool)
+        for a, b in zip(cuts, cuts[1:]):
+            bits = store.read(f"block/{row * blocks + int(block[a])}", np.uint8)
+            inside = cell[a:b] - block[a] * block_cells
+            if len(bits):
+                again[a:b] = (bits[inside >> 3] >> (inside & 7).astype(np.uint8)) & 1
+        held = held[again]
+    found = np.zeros(len(window), bool)
+    found[held] = True
     return found
 
 
@@ -212,7 +220,7 @@ def covered_spans(rows: DataFrame, width: int) -> DataFrame:
 
 def dedup(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH,
-    max_cells: int = MAX_CELLS, block_cells: int = BLOCK_CELLS,
+    max_cells: int | None = None, block_cells: int = BLOCK_CELLS,
 ) -> DataFrame:
     """(doc, n_words, n_removed, kept): all columns of ``docs`` as a struct, and its kept words joined by one space."""
     whole, place, _ = words.documents(docs, docs.columns, text)
@@ -223,8 +231,9 @@ def dedup(
     )
     slim = keyed.select("id", "digest", F.col("doc")[text].alias("text"))
     size = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    wanted = 2 * size / 6 if max_cells is None else min(2 * size / 6, max_cells)
     n_cells = 1 << 16
-    while n_cells < min(2 * size / 6, max_cells):
+    while n_cells < wanted:
         n_cells *= 2
     store = Shards(scratch_path(docs.sparkSession, "windows"))
     block_cells = min(block_cells, n_cells)
