@@ -8,7 +8,7 @@
    that is left is expanded to its members. Members whose 1024 parity bits differ too often are apart; the others are verified
    by intersecting their sets.
 4. Verification runs in rounds. All but the last take neighbours of different components only: groups under their rarest
-   shared shingles, members of one group in a row, by size and then in shuffled orders. That links a large group of near copies by
+   shared shingles, members of one group in a row, by size and then in a shuffled order. That links a large group of near copies by
    few pairs. The last takes every pair of members of different components that passes the filters, so no link is lost, and
    copies are never expanded into all pairs.
 
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from rankweave.llm import words
 from rankweave.llm.simhash import connected
-from rankweave.llm.wide_simhash import verified
 from rankweave.plans.bounds import lookup_join
 from rankweave.session import cut_lineage
 
@@ -44,8 +43,9 @@ BUCKETS = 1 << BUCKET_BITS
 CELL = 2048
 # Shared shingles under which a group looks for neighbours in the first round.
 FIRST = 3
-# Rounds that compare neighbours only, each in another order, before all pairs that are left.
-ROUNDS = 3
+# Places apart that neighbours are at most, and rounds that compare only those, each in another order, before all pairs that are left.
+NEXT = 4
+ROUNDS = 2
 SLICE_BYTES = 1 << 20
 MARK_BITS = 1024
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -180,12 +180,36 @@ def fitting(a: str, b: str, share: tuple[int, int]) -> Column:
     return sizes & (most * (part + whole) >= (size_a + size_b) * part)
 
 
-def shared_prefixes(found: DataFrame) -> DataFrame:
-    """(token, place from 1, grp, size): each group under the shingles of its prefix that another group has in its own."""
+def shared_prefixes(found: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
+    """(token, place from 1, grp, size): each group under the shingles of its prefix that a group of a fitting size has in its own.
+
+    In order of (token, size) the closest size is next to a group, so one pass over ranges finds the groups that none fits,
+    and rows of copies. Rows at the ends of a batch are kept: their neighbours are not seen. A token that a third of all
+    groups have lies across many ranges.
+    """
+    part, whole = share
+    columns = ["token", "size", "grp", "place"]
     every = found.select("grp", "size", F.posexplode("prefix").alias("place", "token")).withColumn("place", F.col("place") + 1)
-    tokens = every.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high").select("token")
-    # a token of many groups is one row on its right side: its partition can be split as a skewed one
-    return every.join(tokens, "token", "left_semi").dropDuplicates(["token", "grp"])
+    ranged = every.select(columns).repartitionByRange("token", "size", "grp").sortWithinPartitions("token", "size", "grp")
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token, size, group = (batch.column(c).to_numpy() for c in columns[:3])
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (group[1:] != group[:-1])
+            new[0] = before != (token[0], group[0])
+            before = token[-1], group[-1]
+            at = np.flatnonzero(new)
+            token, size = token[at], size[at].astype(np.int64)
+            fits = (token[1:] == token[:-1]) & (size[:-1] * whole >= size[1:] * part)
+            keep = np.ones(len(at), bool)
+            keep[1:-1] = fits[1:] | fits[:-1]
+            yield batch.take(pa.array(at[keep]))
+
+    return ranged.mapInArrow(kernel, ranged.schema).select("token", "place", "grp", "size")
 
 
 def first_of(entries: DataFrame, n: int = FIRST) -> DataFrame:
@@ -195,7 +219,7 @@ def first_of(entries: DataFrame, n: int = FIRST) -> DataFrame:
 
 
 def neighbours(entries: DataFrame, share: tuple[int, int], turn: int) -> DataFrame:
-    """(a, b), a < b: groups (or members, column ``grp``) of different components next to each other under a token that pass the filters.
+    """(a, b), a < b: groups (or members, column ``grp``) of different components within ``NEXT`` places of each other under a token that pass the filters.
 
     The first turn has them in order of size, each later one in another shuffled order. Entries are ranged over tasks, so a
     token that a third of all groups have lies across many.
@@ -210,18 +234,20 @@ def neighbours(entries: DataFrame, share: tuple[int, int], turn: int) -> DataFra
         before = None
         for batch in batches:
             now = np.stack([batch.column(c).to_numpy() for c in columns]).astype(np.int64)
-            if not now.shape[1]:
-                continue
             now = now if before is None else np.concatenate((before, now), axis=1)
-            before = now[:, -1:]
-            token, size, group, place, low, high = now[:, :-1]
-            next_token, next_size, next_group, next_place, next_low, next_high = now[:, 1:]
-            most = 1 + np.minimum(size - place, next_size - next_place)
-            fits = (token == next_token) & (np.minimum(size, next_size) * whole >= np.maximum(size, next_size) * part)
-            fits &= most * (part + whole) >= (size + next_size) * part
-            fits &= (low != high) | (next_low != next_high) | (low != next_low)
-            a, b = group[fits], next_group[fits]
-            yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            held = 0 if before is None else before.shape[1]
+            before = now[:, -NEXT:]
+            for step in range(1, min(NEXT, now.shape[1] - 1) + 1):
+                # pairs whose later one is of this batch
+                begin = max(0, held - step)
+                token, size, group, place, low, high = now[:, begin:-step]
+                next_token, next_size, next_group, next_place, next_low, next_high = now[:, begin + step :]
+                most = 1 + np.minimum(size - place, next_size - next_place)
+                fits = (token == next_token) & (np.minimum(size, next_size) * whole >= np.maximum(size, next_size) * part)
+                fits &= most * (part + whole) >= (size + next_size) * part
+                fits &= (low != high) | (next_low != next_high) | (low != next_low)
+                a, b = group[fits], next_group[fits]
+                yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return ranged.mapInArrow(kernel, "a long, b long").distinct()
 
@@ -283,8 +309,14 @@ def checked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, share: tuple
     wanted = classes.join(nodes, "name", "left_semi").select("sample.*")
     rows = texts.select(*sample_of(), "text")
     made = sets(lookup_join(rows, wanted, ["unknown", "of", "digest"], "left_semi"))
-    held = made.groupBy("name").agg(F.first("hashes").alias("hashes")).select(F.col("name").alias("bits"), "hashes")
-    return verified(pairs, cut_lineage(held, "sets"), share[0] / share[1])
+    held = made.groupBy("name").agg(F.first("hashes").alias("hashes")).withColumnRenamed("name", "of")
+    held = cut_lineage(held, "sets")
+    for end in ("a", "b"):
+        # a class of many pairs is a skewed partition of them, which its one set is joined to in parts
+        pairs = pairs.join(held.select(F.col("of").alias(end), F.col("hashes").alias(f"of_{end}")), end)
+    both = pairs.withColumn("shared", F.size(F.array_intersect("of_a", "of_b")).cast("long"))
+    either = F.size("of_a") + F.size("of_b") - F.col("shared")
+    return both.where(F.col("shared") * share[1] >= either * share[0]).select("a", "b")
 
 
 def sample_of() -> list[Column]:
@@ -301,7 +333,7 @@ def joined(found: DataFrame, texts: DataFrame, share: tuple[int, int] = SHARE, e
     classes = cut_lineage(classes, "classes")
     groups = classes.groupBy("grp").agg(F.min("name").alias("lead"), F.first("size").alias("size"), F.count("*").alias("members"))
     groups = cut_lineage(groups, "groups")
-    entries = cut_lineage(shared_prefixes(found), "prefixes")
+    entries = cut_lineage(shared_prefixes(found, share), "prefixes")
     # members of one group are entries under their group's name, at the first place
     crowds = lookup_join(classes, groups.where("members > 1").select("grp"), ["grp"], "left_semi")
     inner = crowds.select(F.col("grp").alias("token"), F.lit(1).alias("place"), F.col("name").alias("grp"), "size")
