@@ -12,6 +12,7 @@ from rankweave.functions import analysis
 from rankweave.operators import analyzed, calls, pruned
 from rankweave.operators.keyword import keyword_top_k
 from rankweave.operators.understand import resolve
+from rankweave.session import cut_lineage
 from rankweave.sources import records, tables
 from rankweave.sources.catalogue import build_catalogue
 from rankweave.sources.postings import open_postings
@@ -179,6 +180,22 @@ def test_pruned_ranking_is_keyword_ranking(spark, corpus):
     assert pruned.pruned_top_k(opened, asked, 5).count() == pruned.pruned_top_k(index, asked, 5).count()
 
 
+def test_scoring_blocks_repeats_nothing_per_query(spark, corpus):
+    index = pruned.postings_of(corpus, shift=4, parts=6)
+    asked = spark.createDataFrame([query(k, " ".join(f"c{j}" for j in range(30)), None) for k in range(60)], QUERY_SCHEMA)
+    terms = cut_lineage(pruned.asked_terms(index, asked), "terms")
+    parts = pruned.wanted_parts(index, terms)
+    chosen = cut_lineage(pruned.bounds_of(index, terms, parts).select("query_id", "block"), "chosen")
+    hits = pruned.scored_blocks(index, terms, parts, chosen, 5)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    # 30 terms x 60 queries x some 250 blocks were rows of a lookup, repeated per salt and broadcast by their size on disk
+    assert "_salt" not in plan and "explode" not in plan
+    assert max((row["count"] for row in hits.groupBy("query_id").count().collect())) <= 5 * index.heads.select("block").distinct().count()
+    got = pruned.pruned_top_k(index, asked, 5)
+    columns = ["query_id", "doc_id", "rank", "score"]
+    assert sorted(got.select(columns).collect()) == sorted(keyword_top_k(corpus, asked, 5, filtered=False).select(columns).collect())
+
+
 def test_only_ranges_of_wanted_terms_are_read(spark, corpus):
     index = pruned.postings_of(corpus, shift=4, parts=12)
     asked = spark.createDataFrame([query(0, "r1", None)], QUERY_SCHEMA)
