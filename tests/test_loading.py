@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 
 import pytest
 from conftest import ITEMS, QUERIES, passes
@@ -11,6 +12,7 @@ from rankweave.functions.text import normalized_key, strip, tokens, whole_word
 from rankweave.operators import enrich, filters, normalize, validate
 from rankweave.session import scratch_path
 from rankweave.sources import tables
+from rankweave.suite import loading
 
 
 def test_csv_round_trip_with_awkward_text(spark):
@@ -143,3 +145,8 @@ def test_spot_check(spark):
     lookup = spark.createDataFrame([("a", "red")], "variety string, color string")
     wanted = spark.createDataFrame([("a",), ("z",)], "variety string")
     assert sorted(map(tuple, enrich.spot_check(lookup, wanted, "variety").collect())) == [("a", "red"), ("z", "NOT FOUND")]
+
+
+def test_classes_are_counted_without_the_texts(spark, sf):
+    plan = loading.color_distribution(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema" in plan and not re.search(r"ReadSchema: struct<[^>]*\b(text|description|embedding|postings)\b", plan)
