@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,20 @@ def build_session(app: str = "rankweave", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """SQL settings for a write, named with ``__`` for dots; afterwards they are as before."""
+    names = {key.replace("__", "."): value for key, value in conf.items()}
+    before = {key: spark.conf.get(key, None) for key in names}
+    try:
+        for key, value in names.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 

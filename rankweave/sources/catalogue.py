@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankweave.functions.text import with_term_counts
-from rankweave.session import scratch_path
-
+from rankweave.session import scratch_path, settings
 
 SUMMARY = "n_docs long, avgdl double, buckets int"
 
@@ -42,15 +41,26 @@ def corpus_statistics(items: DataFrame) -> DataFrame:
     )
 
 
-def _write_bucketed(rows: DataFrame, n: int, path: str) -> DataFrame:
-    """Write ``rows``, already placed by ``doc_id`` over ``n`` tasks, as a bucketed table below ``path``."""
+def write_bucketed(rows: DataFrame, n: int, path: str) -> DataFrame:
+    """Write ``rows``, placed over ``n`` tasks by ``doc_id`` and in its order there, as a bucketed table below ``path``.
+
+    ``sortBy`` would sort the finished rows, whose postings are many times as large as their text, and spill most of
+    them. A task holds one bucket, so it writes one file in the order its rows already have.
+    """
     spark = rows.sparkSession
     name = f"rankweave_{uuid.uuid4().hex}"
-    writer = rows.write.bucketBy(n, "doc_id").sortBy("doc_id")
-    writer.option("path", f"{path}/items").saveAsTable(name)
+    writer = rows.write.bucketBy(n, "doc_id").option("path", f"{path}/items")
+    one_bucket_a_task = {"spark__sql__adaptive__coalescePartitions__enabled": "false", "spark__sql__maxConcurrentOutputFileWriters": "1"}
+    with settings(spark, **one_bucket_a_task):
+        writer.saveAsTable(name)
     return spark.table(name)
 
 
+def placed(rows: DataFrame, n: int) -> DataFrame:
+    """Rows over ``n`` tasks by ``doc_id`` and in its order; to be done before postings make them large."""
+    return rows.repartition(n, "doc_id").sortWithinPartitions("doc_id")
+
+
 def _write_summary(catalogue: Catalogue) -> Catalogue:
     row = [(catalogue.n_docs, catalogue.avgdl, catalogue.buckets)]
     spark = catalogue.items.sparkSession
@@ -82,7 +92,7 @@ def build_catalogue(items: DataFrame, buckets: int | None = None, path: str | No
     spark = items.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = path or scratch_path(spark, "catalogue")
-    table = _write_bucketed(with_term_counts(items.repartition(n, "doc_id"), "description"), n, path)
+    table = write_bucketed(with_term_counts(placed(items, n), "description"), n, path)
     term_statistics(table).write.parquet(f"{path}/term_df")
     stats = corpus_statistics(table).first()
     term_df = spark.read.parquet(f"{path}/term_df")
@@ -92,7 +102,10 @@ def build_catalogue(items: DataFrame, buckets: int | None = None, path: str | No
 def catalogue_of_postings(
     items: DataFrame, postings: DataFrame, buckets: int | None = None, path: str | None = None
 ) -> Catalogue:
-    """Like :func:`build_catalogue`, with the postings given as (doc_id, postings, dl); items without any have none."""
+    """Like :func:`build_catalogue`, with the postings given as (doc_id, postings, dl); items without any have none.
+
+    Items in as many buckets, and postings placed like them, are not shuffled.
+    """
     spark = items.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = path or scratch_path(spark, "catalogue")
@@ -100,18 +113,25 @@ def catalogue_of_postings(
     rows = items.join(postings, "doc_id", "left").withColumns(
         {"postings": F.coalesce("postings", none), "dl": F.coalesce("dl", F.lit(0))}
     )
-    table = _write_bucketed(rows.repartition(n, "doc_id"), n, path)
+    table = write_bucketed(placed(rows, n), n, path)
     term_statistics(table).write.parquet(f"{path}/term_df")
     stats = corpus_statistics(table).first()
     term_df = spark.read.parquet(f"{path}/term_df")
     return _write_summary(Catalogue(table, term_df, stats["n_docs"], stats["avgdl"] or 0.0, n, path))
 
 
+def rows_with_vectors(catalogue: Catalogue, vectors: DataFrame) -> DataFrame:
+    """Items with other vectors, in their buckets.
+
+    The vectors of a bucket are held while its items pass by: a sort of both would move rows with all their postings.
+    """
+    rows = catalogue.items.drop("embedding").join(vectors.hint("shuffle_hash"), "doc_id", "left")
+    return rows.repartition(catalogue.buckets, "doc_id")
+
+
 def with_vectors(catalogue: Catalogue, vectors: DataFrame) -> Catalogue:
     """The same catalogue with other vectors, given as (doc_id, embedding)."""
-    n = catalogue.buckets
     path = scratch_path(catalogue.items.sparkSession, "catalogue")
-    rows = catalogue.items.drop("embedding").join(vectors, "doc_id", "left").repartition(n, "doc_id")
-    table = _write_bucketed(rows, n, path)
+    table = write_bucketed(rows_with_vectors(catalogue, vectors), catalogue.buckets, path)
     catalogue.term_df.write.parquet(f"{path}/term_df")
     return _write_summary(replace(catalogue, items=table, path=path))

@@ -3,6 +3,7 @@
 import csv
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 
 from rankweave.functions import analysis
 from rankweave.operators import analyzed, calls, pruned
+from rankweave.operators.encode import hashed_vectors
 from rankweave.operators.keyword import keyword_top_k
 from rankweave.operators.understand import resolve
+from rankweave.plans import bounds
 from rankweave.session import cut_lineage
 from rankweave.sources import records, tables
-from rankweave.sources.catalogue import build_catalogue
+from rankweave.sources.catalogue import build_catalogue, rows_with_vectors
 from rankweave.sources.postings import open_postings
 
 from conftest import ITEM_SCHEMA, QUERY_SCHEMA, query, ranked
@@ -148,6 +151,41 @@ def test_stop_words_from_the_corpus(spark):
     assert [r[0] for r in made.stop_words.collect()] == ["the"]
 
 
+def test_only_frequent_terms_are_looked_up_in_place(spark, monkeypatch):
+    items = spark.createDataFrame(ITEMS, ITEM_SCHEMA)
+    asked = spark.createDataFrame([query(0, "Running cafés", None), query(1, "the", None), query(2, "run daily", None)], QUERY_SCHEMA)
+    whole = ranked(analyzed.analyzed_top_k(analyzed.analyze_catalogue(items, buckets=2), asked, filtered=False), "doc_id", "score")
+    monkeypatch.setattr(analyzed, "OFTEN_TERMS", 4)
+    split = analyzed.analyze_catalogue(items, buckets=2)
+    assert ranked(analyzed.analyzed_top_k(split, asked, filtered=False), "doc_id", "score") == whole and len(whole) == 3
+    counted = analyzed.occurrences(items, "doc_id", "description")
+    stems = counted.groupBy("term").agg(F.count("*").alias("df")).withColumn("stem", F.col("term"))
+    monkeypatch.setattr(bounds, "BROADCAST_ROWS", 4)
+    found = analyzed.with_stems(counted, stems, 2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # a dictionary beyond the bound used to be repeated for each of 32 salts
+    assert "_salt" not in plan and sorted(found.collect()) == sorted(counted.collect())
+
+
+def test_wide_rows_are_written_in_the_order_they_have(spark, corpus):
+    name = re.search(r"rankweave_[0-9a-f]{32}", corpus.items._jdf.queryExecution().analyzed().toString()).group(0)
+    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    files = corpus.items.inputFiles()
+    assert len(files) == 4
+    for name in files:
+        ids = [r[0] for r in spark.read.parquet(name).coalesce(1).select("doc_id").collect()]
+        assert ids == sorted(ids)
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+    # sort columns of the table would sort rows with their postings
+    assert not [c for c in details if c == "Sort Columns" and details[c] != "[]"]
+
+
+def test_new_vectors_leave_items_where_they_are(spark, corpus):
+    rows = rows_with_vectors(corpus, hashed_vectors(corpus.items))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+
+
 # --- pruned postings -------------------------------------------------------------------------------
 
 
