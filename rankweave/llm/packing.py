@@ -89,7 +89,12 @@ class WordIds:
         known.update(zip(new, self.encode([" " + w for w in new])))
         return [known[w] for w in words]
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as :meth:`encode` gives them."""
+        ids, cuts = self.joined(pa.array(texts, pa.string()))
+        return [ids[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])]
+
+    def joined(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, cuts): the ids of text k are ``ids[cuts[k]:cuts[k + 1]]``."""
         n = len(texts)
         texts = pc.fill_null(texts, "")
@@ -144,7 +149,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
     source = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_ids(tokenizer)
+        encode = word_ids(tokenizer).joined
         for batch in batches:
             for part in words.slices(batch, "text", STEP_BYTES):
                 found, cuts = encode(part.column("text"))

@@ -15,7 +15,11 @@ from rankweave.functions.analysis import terms, with_stem
 from rankweave.operators.keyword import keyword_top_k
 from rankweave.plans.bounds import lookup_join
 from rankweave.session import cut_lineage, scratch_path
-from rankweave.sources.catalogue import Catalogue, catalogue_of_postings, open_catalogue
+from rankweave.sources.catalogue import Catalogue, catalogue_of_postings, open_catalogue, placed, write_bucketed
+
+
+# At most so many terms are looked up in place: those with more than this part of all rows of the corpus.
+OFTEN_TERMS = 100_000
 
 
 @dataclass(frozen=True)
@@ -42,10 +46,31 @@ def frequent_terms(counted: DataFrame, n_docs: int, share: float) -> DataFrame:
 
 def dictionary(vocabulary: DataFrame, stop_words: DataFrame, stemmed: bool = True) -> DataFrame:
     """(term, stem) of each distinct term that is no stop word."""
-    kept = vocabulary.select("term").distinct().join(stop_words.select("term"), "term", "left_anti")
+    return stems_of(vocabulary.select("term").distinct(), stop_words, stemmed)
+
+
+def stems_of(distinct: DataFrame, stop_words: DataFrame, stemmed: bool) -> DataFrame:
+    """The dictionary of terms that are known to be distinct; their other columns stay."""
+    kept = distinct.join(stop_words.select("term"), "term", "left_anti")
     return with_stem(kept, "term") if stemmed else kept.withColumn("stem", F.col("term"))
 
 
+def with_stems(counted: DataFrame, stems: DataFrame, n: int) -> DataFrame:
+    """``counted`` with the ``stem`` of each term in the dictionary ``stems`` (term, stem, df), over ``n`` tasks by ``doc_id``.
+
+    Terms of many documents are few, whatever the corpus: they are looked up where the rows are. The others are too many to
+    be sent to every task, but none has enough rows to burden the task that it is shuffled to.
+    """
+    n_rows = stems.agg(F.sum("df")).first()[0] or 0
+    often = F.col("df") > n_rows // OFTEN_TERMS
+    heavy = cut_lineage(stems.where(often).select("term", "stem"), "often")
+    rare = stems.where(~often).select("term", "stem")
+    columns = ["doc_id", "stem", "tf"]
+    near = lookup_join(counted, heavy, ["term"]).select(columns)
+    far = lookup_join(counted, heavy.select("term"), ["term"], "left_anti").join(rare.hint("merge"), "term").select(columns)
+    return near.unionByName(far).repartition(n, "doc_id")
+
+
 def analyze_catalogue(
     items: DataFrame, stop_words: DataFrame | None = None, stop_share: float | None = None, stemmed: bool = True,
     buckets: int | None = None, path: str | None = None,
@@ -57,21 +82,24 @@ def analyze_catalogue(
     """
     spark = items.sparkSession
     path = path or scratch_path(spark, "analyzed")
-    counted = cut_lineage(occurrences(items, "doc_id", "description"), "occurrences")
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # items lie in the buckets that the catalogue will have, and their terms are counted there
+    items = write_bucketed(placed(items, n), n, scratch_path(spark, "source"))
+    counted = write_bucketed(occurrences(items, "doc_id", "description"), n, scratch_path(spark, "occurrences"))
+    vocabulary = cut_lineage(counted.groupBy("term").agg(F.count("*").alias("df")), "vocabulary")
     if stop_words is None:
-        none = spark.createDataFrame([], "term string")
-        stop_words = none if stop_share is None else frequent_terms(counted, items.count(), stop_share)
+        frequent = F.lit(False) if stop_share is None else F.col("df") > F.lit(stop_share) * items.count()
+        stop_words = vocabulary.where(frequent).select("term")
     folded = terms(F.col("term"))
     # words of the table are folded like the text; one that falls apart stands for each of its parts
     stop_words.select(F.explode(folded).alias("term")).distinct().write.parquet(f"{path}/stop_words")
     stop_words = spark.read.schema("term string").parquet(f"{path}/stop_words")
-    stems = cut_lineage(dictionary(counted, stop_words, stemmed), "dictionary")
-    # a frequent term is in every task: the dictionary is broadcast where it is small, and salted where it is not
-    placed = lookup_join(counted, stems, ["term"]).groupBy("doc_id", "stem").agg(F.sum("tf").cast("int").alias("tf"))
-    postings = placed.groupBy("doc_id").agg(
+    stems = cut_lineage(stems_of(vocabulary, stop_words, stemmed), "dictionary")
+    summed = with_stems(counted, stems, n).groupBy("doc_id", "stem").agg(F.sum("tf").cast("int").alias("tf"))
+    postings = summed.groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct(F.col("stem").alias("term"), "tf"))).alias("postings"), F.sum("tf").cast("int").alias("dl")
     )
-    catalogue = catalogue_of_postings(items, postings, buckets, f"{path}/catalogue")
+    catalogue = catalogue_of_postings(items, postings, n, f"{path}/catalogue")
     return Analyzed(catalogue, stop_words, stemmed, path)
 
 
