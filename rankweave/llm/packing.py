@@ -32,7 +32,7 @@ END_ID = 2
 CACHED_WORDS = 1 << 19
 # Words encoded in one call, and text cut in one step: they bound a worker's memory.
 ENCODED_AT_ONCE = 1 << 13
-STEP_BYTES = 1 << 20
+STEP_BYTES = 2 << 20
 PIECES_PER_BLOCK = 5_000
 
 
@@ -103,7 +103,7 @@ class WordIds:
         coded = parts.flatten().dictionary_encode()
         word = coded.indices.to_numpy().astype(np.int64)
         words = coded.dictionary.to_pylist()
-        odd = np.array([not w or w[0].isspace() or w[-1].isspace() for w in words], bool)
+        odd = np.array([not w or w.strip() != w for w in words], bool)
         owner = np.repeat(np.arange(n), np.diff(begin))
         whole = np.bincount(owner, odd[word], n) > 0
         head = np.zeros(len(word), bool)
