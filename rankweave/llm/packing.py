@@ -30,8 +30,9 @@ from rankweave.session import cut_lineage
 
 END_ID = 2
 CACHED_WORDS = 1 << 19
-# Words encoded in one call, and text cut in one step: they bound a worker's memory.
+# Texts encoded in one call, new words put into one of them, and text cut in one step: they bound a worker's memory.
 ENCODED_AT_ONCE = 1 << 13
+WORDS_PER_TEXT = 256
 STEP_BYTES = 2 << 20
 PIECES_PER_BLOCK = 5_000
 
@@ -55,7 +56,8 @@ class WordIds:
     The tokenizer starts a new token at a single space between two other characters, so such a text's ids
     are those of its words, each with its space. A text with other white space beside a space, or at its
     ends, is encoded whole. Words are told apart and put together by Arrow and numpy; Python sees each
-    distinct word of a slice once.
+    distinct word of a slice once. New words are encoded many to a text, which is cut at the tokens that
+    begin with a space: each word has one, at its head.
     """
 
     def __init__(self, path: str):
@@ -64,6 +66,10 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.heads = np.zeros(max(vocabulary.values()) + 1, bool)
+        # the byte-level alphabet writes a space as this letter
+        self.heads[[at for token, at in vocabulary.items() if token.startswith("\u0120")]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -74,6 +80,24 @@ class WordIds:
             out += [np.array(x.ids, "<u4").tobytes() for x in encoded]
         return out
 
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word behind a space, as :meth:`encode` gives them for the word and its space."""
+        out: list[bytes] = []
+        for at in range(0, len(words), ENCODED_AT_ONCE * 4):
+            some = words[at : at + ENCODED_AT_ONCE * 4]
+            texts = [" " + " ".join(some[k : k + WORDS_PER_TEXT]) for k in range(0, len(some), WORDS_PER_TEXT)]
+            found: list[int] = []
+            for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                found += x.ids
+            ids = np.array(found, "<u4")
+            begin = np.flatnonzero(self.heads[ids])
+            if len(begin) != len(some):  # a vocabulary with other rules for spaces
+                out += self.encode([" " + w for w in some])
+                continue
+            data, cuts = ids.tobytes(), (np.append(begin, len(ids)) * 4).tolist()
+            out += [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
+
     def of_words(self, words: list[str]) -> list[bytes]:
         """Ids of words that follow a space. Words used since the last two generations began are kept."""
         if len(self.known) > CACHED_WORDS:
@@ -86,7 +110,7 @@ class WordIds:
                     known[w] = older[w]
                 else:
                     new.append(w)
-        known.update(zip(new, self.encode([" " + w for w in new])))
+        known.update(zip(new, self.encode_words(new)))
         return [known[w] for w in words]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -103,7 +127,7 @@ class WordIds:
         coded = parts.flatten().dictionary_encode()
         word = coded.indices.to_numpy().astype(np.int64)
         words = coded.dictionary.to_pylist()
-        odd = np.array([not w or w.strip() != w for w in words], bool)
+        odd = spaced(coded.dictionary, words)
         owner = np.repeat(np.arange(n), np.diff(begin))
         whole = np.bincount(owner, odd[word], n) > 0
         head = np.zeros(len(word), bool)
@@ -134,6 +158,24 @@ class WordIds:
         return ids, cuts
 
 
+def spaced(array: pa.Array, words: list[str]) -> np.ndarray:
+    """Whether each of ``words``, the strings of ``array``, is empty or has white space at an end."""
+    odd = np.ones(len(array), bool)
+    if not len(array):
+        return odd
+    kind = np.int64 if pa.types.is_large_string(array.type) else np.int32
+    offsets = np.frombuffer(array.buffers()[1], kind)[array.offset : array.offset + len(array) + 1]
+    some = np.flatnonzero(offsets[1:] > offsets[:-1])
+    if len(some):
+        data = np.frombuffer(array.buffers()[2], np.uint8)
+        # no printing ASCII character is white space; the others are left to Python
+        plain = (data > 32) & (data < 127)
+        odd[some] = ~(plain[offsets[some]] & plain[offsets[some + 1] - 1])
+    unclear = np.flatnonzero(odd).tolist()
+    odd[unclear] = [not words[k] or words[k].strip() != words[k] for k in unclear]
+    return odd
+
+
 _word_ids: dict[str, WordIds] = {}
 
 

@@ -413,6 +413,30 @@ def test_word_ids_equal_whole_encoding():
     assert ids(texts) == ids.encode(texts)
 
 
+def test_new_words_are_encoded_many_to_a_text():
+    import pyarrow as pa
+
+    ids = packing.WordIds(queries.tokenizer_path())
+    rng = random.Random(5)
+    found = ["".join(rng.choice("abzé1'!.\n\u00a0\t") for _ in range(rng.randint(1, 12))) for _ in range(3_000)]
+    found += ["a<|endoftext|>b", "<|endoftext|>", "'s", "\u0120x", "\u3000x\u3000", "\x1fx", "x\x1f", "\u200bx"]
+    assert packing.spaced(pa.array(found + [""]), found + [""]).tolist() == [w.strip() != w or not w for w in found + [""]]
+    assert packing.spaced(pa.array(["", "a", " b"], pa.large_string())[1:], ["a", " b"]).tolist() == [False, True]
+    plain = [w for w in found if w.strip() == w]
+    alone, texts = ids.encode([" " + w for w in plain]), []
+
+    class Counting:
+        def encode_batch_fast(self, batch, add_special_tokens):
+            texts.extend(batch)
+            return inner.encode_batch_fast(batch, add_special_tokens=add_special_tokens)
+
+    inner, ids.tokenizer = ids.tokenizer, Counting()
+    assert ids.of_words(plain) == alone and ids.encode_words([]) == []
+    assert len(texts) <= -(-len(plain) // packing.WORDS_PER_TEXT)
+    ids.heads[:] = False  # words that can't be told apart by their heads are encoded one by one
+    assert ids.encode_words(plain) == alone
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_respects_every_capacity(rule):
     rng = random.Random(4)
