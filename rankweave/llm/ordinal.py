@@ -177,9 +177,10 @@ def fit(graded: DataFrame, grades: int, steps: int = STEPS, balance: float = 0.5
     if len(count) < 2:
         return None
     n = sum(count.values())
-    # one row per cell at most
-    held = rows.select(F.explode("cell").alias("cell")).groupBy("cell").count().where(F.col("count") >= least_docs)
-    cells = np.array(sorted((r["cell"], r["count"]) for r in held.collect()), np.int64).reshape(-1, 2)
+    # one row per cell at most, as arrays: a Python object for each would outweigh the fit itself
+    held = rows.select(F.explode("cell").alias("cell")).groupBy("cell").count().where(F.col("count") >= least_docs).toArrow()
+    cells = np.stack([held["cell"].to_numpy().astype(np.int64), held["count"].to_numpy()], axis=1)
+    cells = cells[np.argsort(cells[:, 0])]
     scale = np.where(cells[:, 0] < WORD_CELLS, WORD_SCALE * np.log(n / np.maximum(cells[:, 1], 1)), TRIPLE_SCALE)
     scale[cells[:, 0] == ECHO] = ECHO_SCALE
     cells, size = cells[:, 0], len(cells)
@@ -212,7 +213,7 @@ def fit(graded: DataFrame, grades: int, steps: int = STEPS, balance: float = 0.5
 
         # one vector per file, TASKS at most
         parts = rows.mapInArrow(gradient, "sums binary").collect()
-        sent.unpersist()
+        sent.destroy()  # the driver's copy too, or every evaluation leaves one
         total = sum(np.frombuffer(r["sums"], np.float64) for r in parts) / n
         by_step = np.cumsum(total[size:-1][::-1])[::-1].copy()  # a step moves every threshold behind it
         by_step[1:] *= np.exp(z[size + 1 :])
