@@ -4,13 +4,13 @@
    that many documents share come last. Any order gives right results; this one keeps common passages out of prefixes.
 2. A document's shingles in that order are its set. Documents with one set are one class, and classes of one size with the
    same prefix (the first ``size - ceil(share * size) + 1`` shingles) are one group. Linked sets share a shingle of their prefixes.
-3. Groups are filtered in pairs under each shared prefix shingle, by size and by the position of the shingle. A pair of groups
-   that is left is expanded to its members. Members whose 1024 parity bits differ too often are apart; the others are verified
-   by intersecting their sets.
-4. Verification runs in rounds. All but the last take neighbours of different components only: groups under their rarest
-   shared shingles, members of one group in a row, by size and then in a shuffled order. That links a large group of near copies by
-   few pairs. The last takes every pair of members of different components that passes the filters, so no link is lost, and
-   copies are never expanded into all pairs.
+3. Classes meet under each shared prefix shingle and are filtered where they meet: by size, by the position of the shingle and
+   by parity bits of their shingles, which two sets that are similar enough cannot differ in too often. Only pairs that pass
+   become rows; they are verified by intersecting their sets.
+4. Verification runs in rounds. All but the last take neighbours of different components only: a group's lead and the nearest that
+   passes before it under its rarest shared shingles, members of one group in a row, by size and then in a shuffled order. That
+   links a large group of near copies by few pairs. The last takes every pair of classes of different components that
+   passes the filters, in cells of bounded size, so no link is lost, and copies are never expanded into all pairs.
 
 ``linked`` gives all links between classes, without the shortcut of round one. Shingles, prefixes and sets go by 64-bit hashes.
 
@@ -21,7 +21,6 @@ of any ordered type; texts of any length are taken whole; an empty table gives n
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +38,9 @@ SHINGLE = 3
 SHARE = (90, 100)
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
-# Groups of one shingle that are compared with all others of it in one task.
-CELL = 2048
+# Classes of one shingle that are compared with as many others of it at once, and pairs of them that are looked at together.
+CELL = 1024
+PAIRS_AT_ONCE = 1 << 18
 # Shared shingles under which a group looks for neighbours in the first round.
 FIRST = 3
 # Places apart that neighbours are at most, and rounds that compare only those, each in another order, before all pairs that are left.
@@ -48,6 +48,8 @@ NEXT = 4
 ROUNDS = 2
 SLICE_BYTES = 1 << 20
 MARK_BITS = 1024
+# Parities that entries carry, so that pairs are filtered before they become rows.
+FOLD_BITS = 512
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -171,15 +173,6 @@ def prefix_of(size: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     return np.where(size > 0, size - -(-size * part // whole) + 1, 0)
 
 
-def fitting(a: str, b: str, share: tuple[int, int]) -> Column:
-    """Whether sets that first meet at this shingle can be similar enough, by their sizes and its places in them."""
-    part, whole = share
-    size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
-    most = 1 + F.least(size_a - F.col(f"{a}.place"), size_b - F.col(f"{b}.place"))
-    sizes = F.least(size_a, size_b) * whole >= F.greatest(size_a, size_b) * part
-    return sizes & (most * (part + whole) >= (size_a + size_b) * part)
-
-
 def shared_prefixes(found: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
     """(token, place from 1, grp, size): each group under the shingles of its prefix that a group of a fitting size has in its own.
 
@@ -218,74 +211,147 @@ def first_of(entries: DataFrame, n: int = FIRST) -> DataFrame:
     return entries.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= n).drop("_n")
 
 
+def folded(mark: str) -> Column:
+    """``FOLD_BITS`` parities of the shingles, each of two or more bits of a mark."""
+    words_, kept = MARK_BITS // 64, FOLD_BITS // 64
+    parts = [F.slice(mark, at + 1, kept) for at in range(0, words_, kept)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = F.zip_with(out, part, lambda x, y: x.bitwiseXOR(y))
+    return out
+
+
+def folds(batch: pa.RecordBatch) -> np.ndarray:
+    """The column ``mark`` of a batch, one row of words each."""
+    return batch.column("mark").flatten().to_numpy().view(np.uint64).reshape(-1, FOLD_BITS // 64)
+
+
+def similar(size: np.ndarray, place: np.ndarray, mark: np.ndarray, x: np.ndarray, y: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """Whether entries at ``x`` and ``y`` that first meet at a shingle can be similar enough, by their sizes, its places in them and
+    the parities: sets differ in at least as many members as parities differ."""
+    part, whole = share
+    one, other = size[x], size[y]
+    most = 1 + np.minimum(one - place[x], other - place[y])
+    fits = (np.minimum(one, other) * whole >= np.maximum(one, other) * part) & (most * (part + whole) >= (one + other) * part)
+    left = np.flatnonzero(fits)
+    apart = np.bitwise_count(mark[x[left]] ^ mark[y[left]]).sum(1, dtype=np.int64)
+    fits[left] = apart * (part + whole) <= (one + other)[left] * (whole - part)
+    return fits
+
+
 def neighbours(entries: DataFrame, share: tuple[int, int], turn: int) -> DataFrame:
-    """(a, b), a < b: groups (or members, column ``grp``) of different components within ``NEXT`` places of each other under a token that pass the filters.
+    """(a, b), a < b: for each group (or member, column ``grp``) and token the nearest before it, within ``NEXT`` places, that is of
+    another component and passes the filters.
 
-    The first turn has them in order of size, each later one in another shuffled order. Entries are ranged over tasks, so a
-    token that a third of all groups have lies across many.
+    ``mark`` holds the parities of the group's lead. The first turn has groups in order of size, each later one in another
+    shuffled order. Entries are ranged over tasks, so a token that a third of all groups have lies across many.
     """
-    part, whole = share
     columns = ["token", "size", "grp", "place", "low", "high"]
     order = F.col("size") if turn == 0 else F.xxhash64("grp", F.lit(turn))
-    placed = entries.select(*columns, order.alias("by"))
-    ranged = placed.repartitionByRange("token", "by", "grp").sortWithinPartitions("token", "by", "grp").select(columns)
+    placed = entries.select(*columns, "mark", order.alias("by"))
+    ranged = placed.repartitionByRange("token", "by", "grp").sortWithinPartitions("token", "by", "grp").select(*columns, "mark")
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
         for batch in batches:
-            now = np.stack([batch.column(c).to_numpy() for c in columns]).astype(np.int64)
-            now = now if before is None else np.concatenate((before, now), axis=1)
-            held = 0 if before is None else before.shape[1]
-            before = now[:, -NEXT:]
-            for step in range(1, min(NEXT, now.shape[1] - 1) + 1):
-                # pairs whose later one is of this batch
-                begin = max(0, held - step)
-                token, size, group, place, low, high = now[:, begin:-step]
-                next_token, next_size, next_group, next_place, next_low, next_high = now[:, begin + step :]
-                most = 1 + np.minimum(size - place, next_size - next_place)
-                fits = (token == next_token) & (np.minimum(size, next_size) * whole >= np.maximum(size, next_size) * part)
-                fits &= most * (part + whole) >= (size + next_size) * part
-                fits &= (low != high) | (next_low != next_high) | (low != next_low)
-                a, b = group[fits], next_group[fits]
+            now, mark = np.stack([batch.column(c).to_numpy() for c in columns]).astype(np.int64), folds(batch)
+            held = 0
+            if before is not None:
+                held = before[0].shape[1]
+                now, mark = np.concatenate((before[0], now), axis=1), np.concatenate((before[1], mark))
+            before = now[:, -NEXT:], mark[-NEXT:]
+            token, size, group, place, low, high = now
+            todo = np.arange(held, len(token))  # those of this batch that have no neighbour yet
+            for step in range(1, NEXT + 1):
+                todo = todo[todo >= step]
+                todo = todo[token[todo] == token[todo - step]]
+                x, y = todo - step, todo
+                fits = similar(size, place, mark, x, y, share) & ((low[x] != high[x]) | (low[y] != high[y]) | (low[x] != low[y]))
+                a, b = group[x[fits]], group[y[fits]]
                 yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                todo = todo[~fits]
 
     return ranged.mapInArrow(kernel, "a long, b long").distinct()
 
 
 def across(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(a, b), a < b: all pairs under a token that pass the filters, but for those known to be in one component.
+    """(a, b), a < b: all pairs under a token that pass the filters, but for those of one component.
 
-    ``entries`` has (token, place, grp, size, low, high): the smallest and largest component of the group. Under each token the
-    groups outside its largest component meet all others, in cells of ``CELL`` of them, sizes a step apart.
+    ``entries`` has (token, place, name, size, root, mark). Under each token the classes outside its largest component meet all
+    others, in cells of about ``CELL`` of either. Pairs are made and filtered inside a cell; only those that pass become rows.
     """
     part, whole = share
-    one = F.col("low") == F.col("high")
-    tally = entries.groupBy("token", F.when(one, F.col("low")).alias("of")).agg(F.count("*").alias("n"))
-    rank = F.struct(F.when(F.col("of").isNull(), 0).otherwise(F.col("n")), F.col("of"))
-    cells = tally.groupBy("token").agg(F.max(rank)["of"].alias("main"), F.sum("n").alias("n"))
-    cells = cells.select("token", "main", F.ceil(F.col("n") / F.lit(CELL)).cast("int").alias("cells"))
-    # a step slightly wider than the ratio, so that sizes that fit are in the same step or the next
-    step = F.floor(F.log(F.col("size").cast("double")) / F.lit(math.log(whole / part) * 1.0001 if part < whole else 1.0)).cast("int")
-    marked = entries.join(cells, "token").withColumn("step", step)
-    minor = ~F.coalesce(one & (F.col("low") == F.col("main")), F.lit(False))
-    marked = cut_lineage(marked.withColumn("minor", minor).withColumn("cell", F.pmod(F.xxhash64("grp"), F.col("cells")).cast("int")), "cells")
-    some = marked.where("minor").withColumn("step", F.explode(F.array([F.col("step") + k for k in (-1, 0, 1)])))
-    every = marked.withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    a, b = some.alias("x"), every.alias("y")
-    known = (F.col("x.low") == F.col("x.high")) & (F.col("y.low") == F.col("y.high")) & (F.col("x.low") == F.col("y.low"))
-    once = (F.col("x.grp") < F.col("y.grp")) | (~F.col("y.minor") & (F.col("x.grp") != F.col("y.grp")))
-    same = (F.col("x.token") == F.col("y.token")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.step") == F.col("y.step"))
-    met = a.join(b, same & once & ~known & fitting("x", "y", share))
-    return met.select(F.least("x.grp", "y.grp").alias("a"), F.greatest("x.grp", "y.grp").alias("b")).distinct()
-
-
-def expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b), a < b: the members of different components of each pair of groups."""
-    for end in ("a", "b"):
-        own = members.select(F.col("grp").alias(end), F.col("name").alias(f"name_{end}"), F.col("root").alias(f"root_{end}"))
-        pairs = pairs.join(own, end)
-    apart = pairs.where("root_a <> root_b")
-    return apart.select(F.least("name_a", "name_b").alias("a"), F.greatest("name_a", "name_b").alias("b"))
+    tally = entries.groupBy("token", "root").agg(F.count("*").alias("n"))
+    cells = tally.groupBy("token").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
+    minor = F.col("n") - F.col("main.n")
+    cells = cells.where(minor > 0).select(
+        "token", F.col("main.root").alias("main"),
+        F.ceil(minor / F.lit(CELL)).cast("int").alias("rows"), F.ceil(F.col("n") / F.lit(CELL)).cast("int").alias("columns"),
+    )
+    marked = entries.join(cells, "token").withColumn("minor", F.col("root") != F.col("main"))
+
+    def place(row: Column, column: Column, left: Column, right: bool) -> Column:
+        return F.struct(row.alias("row"), column.alias("column"), left.alias("left"), F.lit(right).alias("right"))
+
+    def upto(n: str) -> Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    # one cell: every entry once; else one of a row meets all columns, and one of a column all rows
+    row, column = (F.pmod(F.xxhash64("name", F.lit(k)), F.col(n)).cast("int") for k, n in enumerate(("rows", "columns")))
+    lefts = F.filter(F.transform(upto("columns"), lambda y: place(row, y, F.lit(True), False)), lambda _: F.col("minor"))
+    rights = F.transform(upto("rows"), lambda x: place(x, column, F.lit(False), True))
+    alone = F.array(place(F.lit(0), F.lit(0), F.col("minor"), True))
+    at = F.explode(F.when(F.col("columns") == 1, alone).otherwise(F.concat(lefts, rights))).alias("at")
+    key = ["token", "row", "column"]
+    columns = [*key, "size", "name", "place", "root"]
+    placed = marked.select("token", "size", "name", "place", "root", "mark", at).select(*columns[:1], "at.*", *columns[3:], "mark")
+    dealt = placed.repartition(*key).sortWithinPartitions(*key, "size").select(*columns, "left", "right", "mark")
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        now = {c: rows.column(c).to_numpy().astype(np.int64) for c in columns}
+        left, right = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
+        mark = np.concatenate([folds(x) for x in rows.to_batches()])
+        size, name, root = now["size"], now["name"], now["root"]
+        new = np.concatenate(([False], np.any([now[c][1:] != now[c][:-1] for c in key], axis=0)))
+        cell = np.cumsum(new) << 40
+        # sizes ascend in a cell: those that fit a size are a run of it
+        x = np.flatnonzero(left)
+        begin = np.searchsorted(cell + size, cell[x] - (-size[x] * part // whole), "left")
+        end = np.searchsorted(cell + size, cell[x] + np.minimum(size[x] * whole // part, (1 << 40) - 1), "right")
+        met = np.concatenate(([0], np.cumsum(end - begin)))
+        at = 0
+        while at < len(x):
+            to = max(at + 1, int(np.searchsorted(met, met[at] + PAIRS_AT_ONCE, "right")) - 1)
+            n = end[at:to] - begin[at:to]
+            one = np.repeat(x[at:to], n)
+            other = np.arange(met[to] - met[at]) + np.repeat(begin[at:to] - (met[at:to] - met[at]), n)
+            # entries that are both left and right meet from either side
+            keep = right[other] & (root[one] != root[other]) & ((one < other) | ~left[other])
+            one, other = one[keep], other[keep]
+            keep = similar(size, now["place"], mark, one, other, share)
+            a, b = name[one[keep]], name[other[keep]]
+            yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            at = to
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the last cell, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ends = [batch.column(c).to_numpy() for c in key]
+            changes = np.flatnonzero(np.any([x[1:] != x[:-1] for x in ends], axis=0))
+            if held and any(held[-1].column(c)[held[-1].num_rows - 1].as_py() != x[0] for c, x in zip(key, ends)):
+                yield from pairs(pa.Table.from_batches(held))
+                held = []
+            if len(changes):
+                cut = int(changes[-1]) + 1
+                yield from pairs(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held, batch = [], batch.slice(cut)
+            held.append(batch)
+        if held:
+            yield from pairs(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(kernel, "a long, b long").distinct()
 
 
 def plausible(pairs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -331,36 +397,39 @@ def joined(found: DataFrame, texts: DataFrame, share: tuple[int, int] = SHARE, e
         F.min(F.struct(*sample_of())).alias("sample"), F.first("mark").alias("mark"),
     )
     classes = cut_lineage(classes, "classes")
-    groups = classes.groupBy("grp").agg(F.min("name").alias("lead"), F.first("size").alias("size"), F.count("*").alias("members"))
+    groups = classes.groupBy("grp").agg(F.min("name").alias("lead"), F.count("*").alias("members"), F.min_by(folded("mark"), "name").alias("mark"))
     groups = cut_lineage(groups, "groups")
     entries = cut_lineage(shared_prefixes(found, share), "prefixes")
     # members of one group are entries under their group's name, at the first place
     crowds = lookup_join(classes, groups.where("members > 1").select("grp"), ["grp"], "left_semi")
-    inner = crowds.select(F.col("grp").alias("token"), F.lit(1).alias("place"), F.col("name").alias("grp"), "size")
+    inner = crowds.select(F.col("grp").alias("token"), F.lit(1).alias("place"), "name", "size", folded("mark").alias("mark"))
     links = classes.select(F.col("name").alias("a"), F.col("name").alias("b")).limit(0)
-    first = cut_lineage(first_of(entries), "first")
+    first = cut_lineage(first_of(entries).join(groups.select("grp", "mark"), "grp"), "first")
     for turn in range(ROUNDS + 1):
         members = cut_lineage(rooted(classes, links).select("grp", "name", "root"), "members")
         bounds = members.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        alone = members.select(F.col("name").alias("grp"), F.col("root").alias("low"), F.col("root").alias("high"))
-        within = inner.join(alone, "grp")
+        within = inner.join(members.select("name", "root"), "name")
         if every or turn == ROUNDS:
             break
         near = neighbours(first.join(bounds, "grp"), share, turn)
         for end in ("a", "b"):
             near = near.join(groups.select(F.col("grp").alias(end), F.col("lead").alias(f"lead_{end}")), end)
+        alone = within.withColumnsRenamed({"name": "grp", "root": "low"}).withColumn("high", F.col("low"))
         near = near.select(F.least("lead_a", "lead_b").alias("a"), F.greatest("lead_a", "lead_b").alias("b"))
-        near = cut_lineage(near.unionByName(neighbours(within, share, turn)).distinct(), "pairs")
+        near = cut_lineage(near.unionByName(neighbours(alone, share, turn)).distinct(), "pairs")
         found_links = cut_lineage(checked(near, texts, classes, share), "links")
         if found_links.isEmpty():
             break
         links = links.unionByName(found_links)
     held = cut_lineage(entries.join(bounds, "grp"), "bounds")
     apart = held.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("token")
-    outer = across(held.join(apart, "token", "left_semi"), share)
+    outer = held.join(apart, "token", "left_semi").select("token", "place", "grp", "size")
+    own = classes.select("name", folded("mark").alias("mark")).join(members, "name")
+    outer = outer.join(own, "grp").select("token", "place", "name", "size", "root", "mark")
+    # members of one group whose components differ meet under their group's name
     unlike = bounds.where("low <> high").select(F.col("grp").alias("token"))
-    inside = across(within.join(unlike, "token", "left_semi"), share)
-    pairs = cut_lineage(expanded(outer, members).unionByName(inside).distinct(), "pairs")
+    inside = within.join(unlike, "token", "left_semi").select("token", "place", "name", "size", "root", "mark")
+    pairs = cut_lineage(across(cut_lineage(outer.unionByName(inside), "met"), share), "pairs")
     return classes, links.unionByName(cut_lineage(checked(pairs, texts, classes, share), "links"))
 
 

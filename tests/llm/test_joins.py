@@ -193,6 +193,37 @@ def test_prefix_join_links(spark, share):
     assert set(got) == want and len(got) == len(want) and want
 
 
+def test_prefix_join_in_small_cells(spark, monkeypatch):
+    monkeypatch.setattr(prefix_join, "CELL", 5)
+    monkeypatch.setattr(prefix_join, "PAIRS_AT_ONCE", 16)
+    monkeypatch.setattr(prefix_join, "ROUNDS", 0)  # all pairs are left to the cells
+    rows = near_copies()
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    same(prefix_join.components(frame, share=(70, 100)).select("id", "size", "component").collect(), components_by_hand(rows, (70, 100)))
+
+
+def test_texts_that_cannot_link_make_no_rows(spark, monkeypatch):
+    """Variants of one text, pairs round a similarity of 0.85: they share shingles of their prefixes, but hardly one pair links."""
+    rng = random.Random(8)
+    base, rows = [f"w{rng.randrange(10**6)}" for _ in range(300)], []
+    for k in range(200):
+        body = list(base)
+        for at in rng.sample(range(300), 4):
+            body[at] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(body)))
+    given, inner = [], prefix_join.checked
+
+    def counted(pairs, *rest):
+        given.append(pairs.count())
+        return inner(pairs, *rest)
+
+    monkeypatch.setattr(prefix_join, "checked", counted)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    same(prefix_join.components(frame).select("id", "size", "component").collect(), components_by_hand(rows, (90, 100)))
+    links = len(links_by_hand(sorted({shingle_set(t) for _, t in rows}, key=sorted), (90, 100)))
+    assert sum(given) < 4 * links + 500  # of 19,900 pairs
+
+
 def test_prefix_join_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert prefix_join.components(empty).count() == 0
