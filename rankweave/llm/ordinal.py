@@ -41,7 +41,7 @@ ECHO = CELLS - 1
 SAMPLE = 20_000
 STEPS = 30
 # Text whose features, and rows whose gradient, are held at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SLICE_ROWS = 256
 TASKS = 8
 HELD_OUT = 5

@@ -16,7 +16,7 @@ each for itself.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -113,6 +113,11 @@ class WordIds:
         known.update(zip(new, self.encode_words(new)))
         return [known[w] for w in words]
 
+    def forget(self) -> None:
+        """Let go of the kept words, which would fill the worker during other stages."""
+        self.known, self.older = {}, {}
+        pa.default_memory_pool().release_unused()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as :meth:`encode` gives them."""
         ids, cuts = self.joined(pa.array(texts, pa.string()))
@@ -190,8 +195,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
     """(id, piece, start, length, ids): the token ids of each text and its end, in pieces of ``tokens``."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
 
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_ids(tokenizer).joined
+    def cut(batches: Iterator[pa.RecordBatch], encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in words.slices(batch, "text", STEP_BYTES):
                 found, cuts = encode(part.column("text"))
@@ -214,6 +218,13 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
                     ["id", "piece", "start", "length", "ids"],
                 )
 
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = word_ids(tokenizer)
+        try:
+            yield from cut(batches, ids.joined)
+        finally:
+            ids.forget()
+
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(kernel, f"id {kind}, piece int, start long, length long, ids binary")
 

@@ -431,7 +431,9 @@ def test_new_words_are_encoded_many_to_a_text():
             return inner.encode_batch_fast(batch, add_special_tokens=add_special_tokens)
 
     inner, ids.tokenizer = ids.tokenizer, Counting()
-    assert ids.of_words(plain) == alone and ids.encode_words([]) == []
+    assert ids.of_words(plain) == alone and ids.known
+    ids.forget()
+    assert not ids.known and not ids.older and ids.encode_words([]) == []
     assert len(texts) <= -(-len(plain) // packing.WORDS_PER_TEXT)
     ids.heads[:] = False  # words that can't be told apart by their heads are encoded one by one
     assert ids.encode_words(plain) == alone
