@@ -211,8 +211,8 @@ def fit(graded: DataFrame, grades: int, steps: int = STEPS, balance: float = 0.5
                     sums[len(known) :] += np.concatenate((gt, [total]))
             yield pa.record_batch([pa.array([sums.tobytes()], pa.binary())], ["sums"])
 
-        # one vector per file, TASKS at most
-        parts = rows.mapInArrow(gradient, "sums binary").collect()
+        # one vector per task, TASKS at most, however many parts the files are read in
+        parts = rows.coalesce(TASKS).mapInArrow(gradient, "sums binary").collect()
         sent.destroy()  # the driver's copy too, or every evaluation leaves one
         total = sum(np.frombuffer(r["sums"], np.float64) for r in parts) / n
         by_step = np.cumsum(total[size:-1][::-1])[::-1].copy()  # a step moves every threshold behind it

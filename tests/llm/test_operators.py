@@ -368,6 +368,32 @@ def test_the_sample_is_bounded(spark):
     assert ordinal.graded_rows(docs, labels, sample=5_000).count() == 4_000
 
 
+def test_partial_gradients_are_bounded(spark, monkeypatch):
+    """However small the parts that files are read in, an evaluation sends the driver at most ``TASKS`` vectors."""
+    kind, sent = type(spark.range(0)), []
+    collect = kind.collect
+
+    def counted(self):
+        out = collect(self)
+        if self.columns == ["sums"]:
+            sent.append(len(out))
+        return out
+
+    monkeypatch.setattr(kind, "collect", counted)
+    monkeypatch.setattr(ordinal, "TASKS", 2)
+    rows = [(f"good words {k} about a{k % 7}" if k % 2 else f"bad text {k} with b{k % 5}", k % 2) for k in range(400)]
+    frame = spark.createDataFrame(rows, "text string, grade int")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        assert ordinal.fit(frame, 2, steps=1) is not None
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sent and max(sent) <= 2
+
+
 def test_ordinal_awkward(spark, awkward, empty):
     labels = spark.createDataFrame([(k, k % 2, int(k % 5 == 0)) for k in range(40)] + [(None, 1, 1), (1, None, None)], "doc_id long, quality int, toxic int")
     grader = ordinal.fit(ordinal.graded_rows(awkward, labels), 3, steps=3)
