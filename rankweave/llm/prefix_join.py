@@ -10,7 +10,8 @@
 4. Verification runs in rounds. All but the last take neighbours of different components only: a group's lead and the nearest that
    passes before it under its rarest shared shingles, members of one group in a row, by size and then in a shuffled order. That
    links a large group of near copies by few pairs. The last takes every pair of classes of different components that
-   passes the filters, in cells of bounded size, so no link is lost, and copies are never expanded into all pairs.
+   passes the filters, in cells of bounded size, so no link is lost, and copies are never expanded into all pairs. Of these the
+   likeliest pair of each two components is verified first, then all pairs of components that are still apart.
 
 ``linked`` gives all links between classes, without the shortcut of round one. Shingles, prefixes and sets go by 64-bit hashes.
 
@@ -47,6 +48,7 @@ FIRST = 3
 NEXT = 4
 ROUNDS = 2
 SLICE_BYTES = 1 << 20
+# Parities of a set at least; a larger set has as many as the next power of two of its members.
 MARK_BITS = 1024
 # Parities that entries carry, so that pairs are filtered before they become rows.
 FOLD_BITS = 512
@@ -112,13 +114,17 @@ def named(value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return words.mix(upto[end] - upto[begin] + (end - begin).astype(np.uint64))
 
 
-def marks(owner: np.ndarray, value: np.ndarray, n: int) -> pa.Array:
-    """Per text ``MARK_BITS`` parities: how many of its shingles fall on a bit, odd or even, as a list of longs."""
-    key, count = np.unique(owner * MARK_BITS + (value & np.uint64(MARK_BITS - 1)).astype(np.int64), return_counts=True)
-    key = key[count & 1 == 1]
-    out = np.zeros(n * MARK_BITS // 64, np.uint64)
-    np.bitwise_or.at(out, key >> 6, np.uint64(1) << (key & 63).astype(np.uint64))
-    return list_of(out, np.arange(n + 1) * (MARK_BITS // 64))
+def marks(owner: np.ndarray, value: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Parities of texts with ``size`` distinct shingles: how many of them fall on a bit, odd or even, as lists of longs.
+
+    They are as many as the shingles, so that they tell large sets apart as well as small ones.
+    """
+    bits = np.maximum(MARK_BITS, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+    cut = np.concatenate(([0], np.cumsum(bits)))
+    key = cut[owner] + (value & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    out = np.zeros(cut[-1] // 64, np.uint64)
+    np.bitwise_xor.at(out, key >> 6, np.uint64(1) << (key & 63).astype(np.uint64))
+    return list_of(out, cut // 64)
 
 
 def list_of(value: np.ndarray, cut: np.ndarray) -> pa.Array:
@@ -144,7 +150,7 @@ def prefixes(texts: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
                 yield pa.record_batch(
                     [
                         part.column("id"), part.column("digest"), pa.array(size), pa.array(own.view(np.int64)),
-                        pa.array(group.view(np.int64)), list_of(value[inside], upto), marks(owner, value, part.num_rows),
+                        pa.array(group.view(np.int64)), list_of(value[inside], upto), marks(owner, value, size),
                     ],
                     ["id", "digest", "size", "name", "grp", "prefix", "mark"],
                 )
@@ -211,14 +217,12 @@ def first_of(entries: DataFrame, n: int = FIRST) -> DataFrame:
     return entries.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= n).drop("_n")
 
 
-def folded(mark: str) -> Column:
-    """``FOLD_BITS`` parities of the shingles, each of two or more bits of a mark."""
-    words_, kept = MARK_BITS // 64, FOLD_BITS // 64
-    parts = [F.slice(mark, at + 1, kept) for at in range(0, words_, kept)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = F.zip_with(out, part, lambda x, y: x.bitwiseXOR(y))
-    return out
+def folded(mark: str, words_: Column | int = FOLD_BITS // 64) -> Column:
+    """A mark as fewer parities, in ``words_`` longs: those of the shingles that fall on any of several bits."""
+    kept = F.lit(words_) if isinstance(words_, int) else words_
+    later = F.sequence(F.lit(1), (F.size(mark) / kept).cast("int") - 1)
+    more = F.transform(F.when(F.size(mark) > kept, later).otherwise(F.array().cast("array<int>")), lambda k: F.slice(mark, k * kept + 1, kept))
+    return F.aggregate(more, F.slice(mark, 1, kept), lambda out, part: F.zip_with(out, part, lambda x, y: x.bitwiseXOR(y)))
 
 
 def folds(batch: pa.RecordBatch) -> np.ndarray:
@@ -355,7 +359,8 @@ def across(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
 
 
 def plausible(pairs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs whose marks differ in no more bits than sets that are similar enough have members apart.
+    """(a, b, apart): pairs whose marks differ in no more bits than sets that are similar enough have members apart; the share of
+    members that are at least apart.
 
     A member that only one set has turns one bit, so the sets differ in at least as many members as bits differ.
     """
@@ -363,20 +368,41 @@ def plausible(pairs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> D
     for end in ("a", "b"):
         own = classes.select(F.col("name").alias(end), F.col("mark").alias(f"mark_{end}"), F.col("size").alias(f"size_{end}"))
         pairs = pairs.join(own, end)
-    bits = F.zip_with("mark_a", "mark_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    apart = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
-    return pairs.where(apart * (part + whole) <= (F.col("size_a") + F.col("size_b")) * (whole - part)).select("a", "b")
+    shorter = F.least(F.size("mark_a"), F.size("mark_b"))
+    bits = F.zip_with(folded("mark_a", shorter), folded("mark_b", shorter), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    both = F.col("size_a") + F.col("size_b")
+    pairs = pairs.withColumn("differ", F.aggregate(bits, F.lit(0), lambda total, n: total + n))
+    return pairs.where(F.col("differ") * (part + whole) <= both * (whole - part)).select("a", "b", (F.col("differ") / both).alias("apart"))
 
 
-def checked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """The pairs of classes whose sets are similar enough. One text of each class that is needed is read again."""
+def checked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, share: tuple[int, int], members: DataFrame | None = None) -> DataFrame:
+    """The pairs of classes whose sets are similar enough; with ``members`` (name, root) only enough of them to connect what they link."""
     pairs = cut_lineage(plausible(pairs, classes, share), "plausible")
+    if members is None:
+        return verified(pairs.select("a", "b"), texts, classes, share)
+    for end in ("a", "b"):
+        pairs = pairs.join(members.select(F.col("name").alias(end), F.col("root").alias(f"root_{end}")), end)
+    pairs = cut_lineage(pairs.withColumns({"low": F.least("root_a", "root_b"), "high": F.greatest("root_a", "root_b")}), "bridges")
+    likely = pairs.groupBy("low", "high").agg(F.min(F.struct("apart", "a", "b")).alias("best"))
+    likely = cut_lineage(likely.select("best.a", "best.b", "low", "high"), "likely")
+    links = cut_lineage(verified(likely.select("a", "b"), texts, classes, share), "links")
+    roots = connected(likely.join(links, ["a", "b"], "left_semi").select(F.col("low").alias("a"), F.col("high").alias("b")))
+    rest = pairs.join(likely, ["a", "b"], "left_anti").select("a", "b", "low", "high")
+    for end in ("low", "high"):
+        rest = rest.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"to_{end}")), end, "left")
+    rest = rest.where(F.coalesce("to_low", "low") != F.coalesce("to_high", "high"))
+    rest = cut_lineage(rest.select("a", "b"), "rest")
+    return links if rest.isEmpty() else links.unionByName(verified(rest, texts, classes, share))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """``pairs``, already written, whose sets are similar enough. One text of each class that is needed is read again."""
     nodes = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
     wanted = classes.join(nodes, "name", "left_semi").select("sample.*")
     rows = texts.select(*sample_of(), "text")
     made = sets(lookup_join(rows, wanted, ["unknown", "of", "digest"], "left_semi"))
+    # both ends read one shuffle of the sets
     held = made.groupBy("name").agg(F.first("hashes").alias("hashes")).withColumnRenamed("name", "of")
-    held = cut_lineage(held, "sets")
     for end in ("a", "b"):
         # a class of many pairs is a skewed partition of them, which its one set is joined to in parts
         pairs = pairs.join(held.select(F.col("of").alias(end), F.col("hashes").alias(f"of_{end}")), end)
@@ -430,7 +456,8 @@ def joined(found: DataFrame, texts: DataFrame, share: tuple[int, int] = SHARE, e
     unlike = bounds.where("low <> high").select(F.col("grp").alias("token"))
     inside = within.join(unlike, "token", "left_semi").select("token", "place", "name", "size", "root", "mark")
     pairs = cut_lineage(across(cut_lineage(outer.unionByName(inside), "met"), share), "pairs")
-    return classes, links.unionByName(cut_lineage(checked(pairs, texts, classes, share), "links"))
+    last = checked(pairs, texts, classes, share, None if every else members)
+    return classes, links.unionByName(cut_lineage(last, "links"))
 
 
 def rooted(classes: DataFrame, links: DataFrame) -> DataFrame:

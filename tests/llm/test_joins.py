@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from rankweave.llm import hard_negatives, manifest, prefix_join, queries
 
@@ -224,6 +225,68 @@ def test_texts_that_cannot_link_make_no_rows(spark, monkeypatch):
     assert sum(given) < 4 * links + 500  # of 19,900 pairs
 
 
+def written_prefixes(spark, rows):
+    """(texts, prefixes, classes with marks) of rows (id, text)."""
+    texts = prefix_join.texts_of(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    found = prefix_join.cut_lineage(prefix_join.prefixes(texts), "named")
+    sample = spark_min(*prefix_join.sample_of())
+    return texts, found, found.where("size > 0").groupBy("name").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("mark").alias("mark"), sample)
+
+
+def spark_min(*columns):
+    return F.min(F.struct(*columns)).alias("sample")
+
+
+def test_parities_tell_large_sets_apart(spark):
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(10**7)}" for _ in range(6_000)]
+    near = base[:5_900] + [f"w{rng.randrange(10**7)}" for _ in range(100)]
+    rows = [(k, " ".join(f"w{rng.randrange(10**7)}" for _ in range(5_500 + 100 * k))) for k in range(5)]
+    rows += [(10, " ".join(base)), (11, " ".join(near)), (12, " ".join(near[:900])), (13, " ".join(near[:1_100]))]
+    _, found, classes = written_prefixes(spark, rows)
+    name = {r["id"]: r["name"] for r in found.collect()}
+    pairs = [tuple(sorted((name[a], name[b]))) for a in name for b in name if a < b]
+    kept = prefix_join.plausible(spark.createDataFrame(pairs, "a long, b long"), classes, (90, 100)).collect()
+    assert {(r["a"], r["b"]) for r in kept} == {tuple(sorted((name[10], name[11])))}
+    same(prefix_join.components(spark.createDataFrame(rows, "doc_id long, text string")).select("id", "size", "component").collect(), components_by_hand(rows, (90, 100)))
+
+
+def test_marks_of_different_length_are_folded(spark):
+    frame = spark.createDataFrame([([1, 2, 4, 8, 16, 32, 64, 128], [3, 3])], "long array<long>, short array<long>")
+    row = frame.select(prefix_join.folded("long", F.size("short")), prefix_join.folded("short", 2), prefix_join.folded("long", 8)).first()
+    assert list(row) == [[1 ^ 4 ^ 16 ^ 64, 2 ^ 8 ^ 32 ^ 128], [3, 3], [1, 2, 4, 8, 16, 32, 64, 128]]
+
+
+def test_one_pair_of_two_components_is_verified_first(spark, monkeypatch):
+    """Sixty near copies of one text in two components, and ten of another text whose links to the first lack a little."""
+    rng = random.Random(13)
+    base, rows = [f"w{k}" for k in range(400)], []
+    for k in range(60):
+        body = list(base)
+        body[rng.randrange(400)] = f"x{k}"
+        rows.append((k, " ".join(body)))
+    other = [f"y{k}" if k % 40 == 5 else w for k, w in enumerate(base)]
+    rows += [(100 + k, " ".join([*other, f"z{k}"])) for k in range(10)]
+    texts, found, classes = written_prefixes(spark, rows)
+    name = {r["id"]: r["name"] for r in found.collect()}
+    root = {i: min(name[j] for j in name if (j >= 100) == (i >= 100) and (j >= 30) == (i >= 30)) for i in name}
+    members = spark.createDataFrame([(name[i], root[i]) for i in name], "name long, root long")
+    pairs = spark.createDataFrame([tuple(sorted((name[a], name[b]))) for a in name for b in name if a < b and root[a] != root[b]], "a long, b long")
+    given, inner = [], prefix_join.verified
+
+    def counted(some, *rest):
+        given.append(some.count())
+        return inner(some, *rest)
+
+    monkeypatch.setattr(prefix_join, "verified", counted)
+    every = {tuple(r) for r in prefix_join.checked(pairs, texts, classes, (90, 100)).collect()}
+    some = {tuple(r) for r in prefix_join.checked(pairs, texts, classes, (90, 100), members).collect()}
+    of = {name[i]: root[i] for i in name}
+    joined = lambda links: {frozenset((of[a], of[b])) for a, b in links}
+    assert some <= every and joined(some) == joined(every) and len(every) >= 900
+    assert given[0] >= 900 and sum(given[1:]) <= 3 + (given[0] - len(every))
+
+
 def test_prefix_join_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert prefix_join.components(empty).count() == 0
