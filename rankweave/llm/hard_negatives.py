@@ -6,6 +6,8 @@ signs. Stored beside the code are the norm of x and its alignment a = <x, c>, so
 bit planes with the code, off by at most the norm e of what rounding lost. Then <q, x> = a s + <q - s c, r>, and by Cauchy and
 Schwarz the last term is at most sqrt(|q|^2 - s^2) sqrt(|x|^2 - a^2). These intervals always hold the score. Rows whose
 interval cannot reach the k-th best so far, or the wanted window of scores, are left out; all others are scored in integers.
+Positives are looked for among an anchor's label only. Anchors are a fixed share of the rows, so the work grows with the
+square of their number; it is spread over tasks, and a task holds ``CELLS`` (anchor, row) cells at once.
 
 Rows are never shuffled for a search: blocks of anchors are broadcast, and a task hands on a few rows per anchor.
 
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankweave.functions.kernels import matrix_of, steps
+from rankweave.functions.kernels import matrix_of
 from rankweave.plans.bounds import broadcast_rows, by_query_block, top_k
 from rankweave.session import cut_lineage
 
@@ -38,6 +40,10 @@ PLANES = 6
 ROUNDS = 3
 SEED = 20
 PAIRS_PER_STEP = 1 << 15
+# (anchor, row) cells compared at once: a few arrays of them stay in a processor's cache.
+CELLS = 1 << 18
+# From this share of cells on all are multiplied as matrices rather than the chosen ones as pairs.
+DENSE = 0.05
 EXACT = 2.0**53
 
 
@@ -86,20 +92,21 @@ class Planes:
         self.sum = level.sum(axis=1).astype(np.float64)
         self.planes = [packed((level >> np.uint64(p)) & np.uint64(1) > 0) for p in range(PLANES)]
 
-    def interval(self, code: np.ndarray, align: np.ndarray, norm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """query x row: bounds that hold every inner product."""
+    def interval(self, code: np.ndarray, align: np.ndarray, norm: np.ndarray, some: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """query x row: bounds that hold every inner product, for ``some`` of the queries."""
         ones = np.bitwise_count(code).sum(axis=1, dtype=np.int64)
-        hits = np.zeros((len(self.low), len(code)))
+        lowest, step, total, lost, length = (x[some, None] for x in (self.low, self.step, self.sum, self.lost, self.norm))
+        hits = np.zeros((len(lowest), len(code)), np.int32)
         for p, plane in enumerate(self.planes):
             for w in range(code.shape[1]):
-                hits += np.bitwise_count(plane[:, w, None] & code[None, :, w]) * float(1 << p)
-        toward = self.low[:, None] * (2.0 * ones - self.width) + self.step[:, None] * (2.0 * hits - self.sum[:, None])
+                hits += np.bitwise_count(plane[some, w, None] & code[None, :, w]).astype(np.int32) << p
+        toward = lowest * (2.0 * ones - self.width) + step * (2.0 * hits - total)
         toward /= np.sqrt(self.width)
-        least = np.maximum(np.abs(toward) - self.lost[:, None], 0.0)
-        aside = np.sqrt(np.maximum(self.norm[:, None] ** 2 - least**2, 0.0))
+        least = np.maximum(np.abs(toward) - lost, 0.0)
+        aside = np.sqrt(np.maximum(length**2 - least**2, 0.0))
         rest = np.sqrt(np.maximum(norm**2 - align**2, 0.0))
-        slack = 1e-7 * self.norm[:, None] * norm + 1e-3  # far above what rounding of doubles can add up to
-        reach = align * self.lost[:, None] + aside * rest + slack
+        slack = 1e-7 * length * norm + 1e-3  # far above what rounding of doubles can add up to
+        reach = align * lost + aside * rest + slack
         middle = align * toward
         return middle - reach, middle + reach
 
@@ -113,6 +120,20 @@ def scores(a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) ->
     return out
 
 
+def chosen_scores(a: np.ndarray, b: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """a x b: inner products of the ``chosen`` cells, NaN in the others."""
+    longest = (np.sqrt((x * x).sum(axis=1)).max(initial=0.0) for x in (a, b))
+    # below 2**53 all sums of whole numbers are exact, in any order
+    if np.prod(list(longest)) < EXACT / 2 and chosen.mean() > DENSE:
+        out = a @ b.T
+        out[~chosen] = np.nan
+        return out
+    out = np.full(chosen.shape, np.nan)
+    row, at = np.nonzero(chosen)
+    out[row, at] = scores(a, b, row, at)
+    return out
+
+
 def within(positive: np.ndarray, negative: np.ndarray) -> np.ndarray:
     """Whether the negative's score lies in the window of the positive's; exact up to 2**53."""
 
@@ -167,14 +188,11 @@ class Anchors:
         self.planes = Planes(self.vectors)
         self.table = table
 
-    def of(self, piece: pa.Table) -> tuple:
-        """(ids, vectors, same label, lower and upper bounds) of a piece of rows; an anchor is no partner of itself."""
-        ids = piece["vec_id"].to_numpy()
-        code = np.frombuffer(b"".join(piece["code"].to_pylist()), np.uint64).reshape(len(ids), -1)
-        low, high = self.planes.interval(code, piece["align"].to_numpy(), piece["norm"].to_numpy())
-        same = (self.label[:, None] == piece["label"].to_numpy()[None, :]) & (self.ids[:, None] != ids[None, :])
-        differ = self.label[:, None] != piece["label"].to_numpy()[None, :]
-        return ids, matrix_of(piece["vector"]), same, differ, low, high
+    def codes(self, batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """(ids, labels, vectors, code words, align, norm) of rows."""
+        ids = batch.column("vec_id").to_numpy()
+        code = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint64).reshape(len(ids), -1)
+        return ids, batch.column("label").to_numpy(), matrix_of(batch.column("vector")), code, batch.column("align").to_numpy(), batch.column("norm").to_numpy()
 
 
 def positives_task(shared, k: int):
@@ -185,11 +203,24 @@ def positives_task(shared, k: int):
         if not len(anchors.ids):
             return
         best = Best(len(anchors.ids), k)
-        for piece in steps(batches, len(anchors.ids)):
-            ids, vectors, same, _, low, high = anchors.of(piece)
-            floor = np.maximum(best.least, kth(np.where(same, low, -np.inf), k))
-            row, at = np.nonzero(same & (high >= floor[:, None]))
-            best.push(row, ids[at], scores(anchors.vectors, vectors, row, at))
+        order = np.argsort(anchors.label, kind="stable")
+        kinds, cut = np.unique(anchors.label[order], return_index=True)
+        owners = dict(zip(kinds.tolist(), np.split(order, cut[1:])))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, label, vectors, code, align, norm = anchors.codes(batch)
+            by_label = np.argsort(label, kind="stable")
+            kinds, cut = np.unique(label[by_label], return_index=True)
+            for kind, rows in zip(kinds.tolist(), np.split(by_label, cut[1:])):
+                mine = owners.get(kind)
+                size = max(64, CELLS // len(mine)) if mine is not None else len(rows)
+                for some in (rows[j : j + size] for j in range(0, len(rows), size) if mine is not None):
+                    low, high = anchors.planes.interval(code[some], align[some], norm[some], mine)
+                    other = anchors.ids[mine, None] != ids[None, some]  # an anchor is no partner of itself
+                    floor = np.maximum(best.least[mine], kth(np.where(other, low, -np.inf), k))
+                    row, at = np.nonzero(other & (high >= floor[:, None]))
+                    best.push(mine[row], ids[some[at]], scores(anchors.vectors, vectors, mine[row], some[at]))
         yield pa.record_batch(
             [pa.array(anchors.ids[best.slot]), pa.array(best.id), whole(best.score)], ["query_id", "positive_id", "positive_score"]
         )
@@ -212,28 +243,32 @@ def negatives_task(shared, k: int):
         owner = np.repeat(np.arange(len(count)), count)
         place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
         best = Best(len(owner), k)
-        lowest, highest = positive * (LOW[0] / LOW[1]), positive * (HIGH[0] / HIGH[1])
+        slack = np.abs(positive) * 1e-9 + 1e-3  # the exact window is checked on what is left
+        lowest, highest = positive * (LOW[0] / LOW[1]) - slack, positive * (HIGH[0] / HIGH[1]) + slack
         slots = [np.flatnonzero(place == turn) for turn in range(int(count.max(initial=0)))]  # a slot of each anchor in turn
-        for piece in steps(batches, len(anchors.ids)):
-            ids, vectors, _, differ, low, high = anchors.of(piece)
-            wanted = np.zeros(differ.shape, bool)
-            reach = []
-            for slot in slots:
-                row = owner[slot]
-                own_low, own_high, apart = low[row], high[row], differ[row]
-                sure = apart & (own_low >= lowest[slot, None]) & (own_high <= highest[slot, None])
-                floor = np.maximum(np.maximum(best.least[slot], lowest[slot]), kth(np.where(sure, own_low, -np.inf), k))
-                some = apart & (own_high >= floor[:, None]) & (own_low <= highest[slot, None])
-                wanted[row] |= some
-                reach.append(some)
-            row, at = np.nonzero(wanted)
-            score = np.full(wanted.shape, np.nan)
-            score[row, at] = scores(anchors.vectors, vectors, row, at)
-            for slot, some in zip(slots, reach):
-                mine, column = np.nonzero(some)
-                value = score[owner[slot[mine]], column]
-                fits = within(positive[slot[mine]], value)
-                best.push(slot[mine[fits]], ids[column[fits]], value[fits])
+        upmost = np.full(len(anchors.ids), -np.inf)
+        np.maximum.at(upmost, owner, highest)
+        size = max(64, CELLS // len(anchors.ids))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, label, vectors, code, align, norm = anchors.codes(batch)
+            for some in (slice(j, j + size) for j in range(0, len(ids), size)):
+                low, high = anchors.planes.interval(code[some], align[some], norm[some])
+                floor = np.maximum(best.least, lowest)
+                least = np.full(len(anchors.ids), np.inf)
+                np.minimum.at(least, owner, floor)
+                reach = (anchors.label[:, None] != label[None, some]) & (high >= least[:, None]) & (low <= upmost[:, None])
+                score = chosen_scores(anchors.vectors, vectors[some], reach)
+                found = []
+                for slot in slots:
+                    value = score[owner[slot]]
+                    mine, column = np.nonzero((value >= floor[slot, None]) & (value <= highest[slot, None]))
+                    value = value[mine, column]
+                    fits = within(positive[slot[mine]], value)
+                    found.append((slot[mine[fits]], ids[some][column[fits]], value[fits]))
+                if found:
+                    best.push(*(np.concatenate(x) for x in zip(*found)))
         yield pa.record_batch(
             [
                 pa.array(anchors.ids[owner[best.slot]]), pa.array(positive_id[best.slot]), whole(positive[best.slot]),

@@ -102,6 +102,60 @@ def test_hard_negatives_query(spark, sf):
     same(got.collect(), mined_by_hand(rows))
 
 
+def test_rows_are_compared_with_anchors_of_their_label(monkeypatch):
+    """Positives: no cell of another label. Negatives: dense cells are multiplied as matrices, not one pair at a time."""
+    rng = np.random.default_rng(4)
+    n, labels = 600, 10
+    vectors = np.floor(rng.normal(size=(n, 16)) * 256 + 40)
+    code, align, norm = hard_negatives.coded(vectors)
+    lists = pa.array(vectors.tolist(), pa.list_(pa.float64()))
+    ids, label = np.arange(n), np.arange(n) % labels
+    columns = {"vec_id": ids, "label": label, "vector": lists, "code": pa.array([x.tobytes() for x in code]), "align": align, "norm": norm}
+    rows = pa.record_batch([pa.array(x) for x in columns.values()], list(columns))
+    every = np.flatnonzero(ids % 7 == 0)
+
+    def shared(**more):
+        table = pa.table({"query_id": ids[every], "label": label[every], "vector": lists.take(pa.array(every)), **more})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        return type("Shared", (), {"value": sink.getvalue().to_pybytes()})
+
+    cells, inner = [], hard_negatives.Planes.interval
+
+    def counted(self, *given):
+        low, high = inner(self, *given)
+        cells.append(low.size)
+        return low, high
+
+    monkeypatch.setattr(hard_negatives.Planes, "interval", counted)
+    out = pa.Table.from_batches(hard_negatives.positives_task(shared(), 5)(iter([rows.slice(0, 250), rows.slice(250)]))).to_pylist()
+    assert sum(cells) == len(every) * n // labels
+    exact = vectors @ vectors.T
+    found = collections.defaultdict(list)
+    for r in out:
+        found[r["query_id"]].append((r["positive_id"], r["positive_score"]))
+    for a in every.tolist():
+        of_label = sorted((-exact[a, i], i) for i in ids.tolist() if i != a and i % labels == a % labels)[:5]
+        assert sorted(found[a]) == sorted((i, -s) for s, i in of_label)
+    pairs, plain = [], hard_negatives.scores
+    monkeypatch.setattr(hard_negatives, "scores", lambda *x: pairs.append(len(x[2])) or plain(*x))
+    offers = pa.array([[{"positive_id": i, "positive_score": int(s)} for i, s in found[a]] for a in every.tolist()])
+    got = list(hard_negatives.negatives_task(shared(positives=offers), 3)(iter([rows])))
+    assert got[0].num_rows and sum(pairs) < len(every) * n // 20
+
+
+def test_chosen_scores_are_those_of_pairs():
+    rng = np.random.default_rng(5)
+    for scale in (2.0**10, 2.0**30):  # whole sums, and sums that a double rounds
+        a, b = (np.floor(rng.normal(size=(m, 24)) * scale) for m in (9, 31))
+        for share in (0.0, 0.01, 0.9):
+            chosen = rng.random((9, 31)) < share
+            got = hard_negatives.chosen_scores(a, b, chosen)
+            row, at = np.nonzero(chosen)
+            assert np.isnan(got[~chosen]).all() and (got[row, at] == hard_negatives.scores(a, b, row, at)).all()
+
+
 # prefix join
 
 
