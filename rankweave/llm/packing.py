@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,9 @@ CACHED_WORDS = 1 << 19
 # Texts encoded in one call, new words put into one of them, and text cut in one step: they bound a worker's memory.
 ENCODED_AT_ONCE = 1 << 13
 WORDS_PER_TEXT = 256
-STEP_BYTES = 2 << 20
+STEP_BYTES = 4 << 20
 PIECES_PER_BLOCK = 5_000
+NONE = pa.array([], pa.binary())
 
 
 @dataclass(frozen=True)
@@ -55,9 +57,9 @@ class WordIds:
 
     The tokenizer starts a new token at a single space between two other characters, so such a text's ids
     are those of its words, each with its space. A text with other white space beside a space, or at its
-    ends, is encoded whole. Words are told apart and put together by Arrow and numpy; Python sees each
-    distinct word of a slice once. New words are encoded many to a text, which is cut at the tokens that
-    begin with a space: each word has one, at its head.
+    ends, is encoded whole. Words are told apart and put together by Arrow; Python sees each distinct word
+    of a slice once and looks up its place in a table of ids. New words are encoded many to a text, which
+    is cut at the tokens that begin with a space: each word has one, at its head.
     """
 
     def __init__(self, path: str):
@@ -70,8 +72,7 @@ class WordIds:
         self.heads = np.zeros(max(vocabulary.values()) + 1, bool)
         # the byte-level alphabet writes a space as this letter
         self.heads[[at for token, at in vocabulary.items() if token.startswith("\u0120")]] = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.forget()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -80,9 +81,9 @@ class WordIds:
             out += [np.array(x.ids, "<u4").tobytes() for x in encoded]
         return out
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
+    def runs(self, words: list[str]) -> pa.Array:
         """Ids of each word behind a space, as :meth:`encode` gives them for the word and its space."""
-        out: list[bytes] = []
+        out: list[pa.Array] = [NONE]
         for at in range(0, len(words), ENCODED_AT_ONCE * 4):
             some = words[at : at + ENCODED_AT_ONCE * 4]
             texts = [" " + " ".join(some[k : k + WORDS_PER_TEXT]) for k in range(0, len(some), WORDS_PER_TEXT)]
@@ -92,30 +93,44 @@ class WordIds:
             ids = np.array(found, "<u4")
             begin = np.flatnonzero(self.heads[ids])
             if len(begin) != len(some):  # a vocabulary with other rules for spaces
-                out += self.encode([" " + w for w in some])
+                out.append(pa.array(self.encode([" " + w for w in some]), pa.binary()))
                 continue
-            data, cuts = ids.tobytes(), (np.append(begin, len(ids)) * 4).tolist()
-            out += [data[a:b] for a, b in zip(cuts, cuts[1:])]
-        return out
+            cuts = (np.append(begin, len(ids)) * 4).astype(np.int32)
+            out.append(pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(cuts), pa.py_buffer(ids)]))
+        return pa.concat_arrays(out)
 
-    def of_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words that follow a space. Words used since the last two generations began are kept."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        return self.runs(words).to_pylist()
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Where ``table`` has the ids of words that follow a space. Words used since the last two generations began are kept."""
         if len(self.known) > CACHED_WORDS:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = []
-        for w in words:
-            if w not in known:
-                if w in older:
-                    known[w] = older[w]
-                else:
-                    new.append(w)
-        known.update(zip(new, self.encode_words(new)))
-        return [known[w] for w in words]
+            self.known, self.table, self.older, self.older_table = {}, NONE, self.known, self.table
+        place = np.fromiter(map(self.known.get, words, repeat(-1)), np.int32, len(words))
+        for source in (self.older, None):
+            new = np.flatnonzero(place < 0)
+            missing = [words[k] for k in new.tolist()]
+            if source is not None:
+                old = np.fromiter(map(source.get, missing, repeat(-1)), np.int32, len(missing))
+                new, missing = new[old >= 0], [missing[k] for k in np.flatnonzero(old >= 0).tolist()]
+                more = self.older_table.take(pa.array(old[old >= 0]))
+            else:
+                more = self.runs(missing)
+            place[new] = np.arange(len(self.table), len(self.table) + len(new))
+            self.known.update(zip(missing, place[new].tolist()))
+            self.table = pa.concat_arrays([self.table, more])
+        return place
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that follow a space."""
+        places = self.places(words)
+        return self.table.take(pa.array(places)).to_pylist()
 
     def forget(self) -> None:
         """Let go of the kept words, which would fill the worker during other stages."""
-        self.known, self.older = {}, {}
+        self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+        self.table = self.older_table = NONE
         pa.default_memory_pool().release_unused()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -128,39 +143,38 @@ class WordIds:
         n = len(texts)
         texts = pc.fill_null(texts, "")
         parts = pc.split_pattern(texts, " ")
-        begin = parts.offsets.to_numpy().astype(np.int64)
+        begin = parts.offsets.to_numpy()
         coded = parts.flatten().dictionary_encode()
-        word = coded.indices.to_numpy().astype(np.int64)
+        word = coded.indices.to_numpy()
         words = coded.dictionary.to_pylist()
         odd = spaced(coded.dictionary, words)
-        owner = np.repeat(np.arange(n), np.diff(begin))
-        whole = np.bincount(owner, odd[word], n) > 0
-        head = np.zeros(len(word), bool)
-        head[begin[:-1]] = True
-        inner = ~head & ~whole[owner]
+        whole = np.zeros(n, bool)
+        whole[np.searchsorted(begin, np.flatnonzero(odd[word]), "right") - 1] = True
+        count = np.diff(begin)
+        inner = np.repeat(~whole, count)
+        inner[begin[:-1]] = False
         # a table of id runs: words behind a space, first words, whole texts; and which run each place of the slice takes
-        plain_head = head & ~whole[owner]
-        used = np.flatnonzero(np.bincount(word[inner], minlength=len(words)))
-        first = np.flatnonzero(np.bincount(word[plain_head], minlength=len(words)))
-        odd_texts = np.flatnonzero(whole)
-        runs = self.of_words([words[k] for k in used]) + self.encode([words[k] for k in first])
-        runs += self.encode(texts.take(pa.array(odd_texts)).to_pylist())
-        run = np.full(len(word), -1, np.int64)
-        place = np.zeros(len(words), np.int64)
-        place[used] = np.arange(len(used))
-        run[inner] = place[word[inner]]
-        run[plain_head] = len(used) + np.searchsorted(first, word[plain_head])
-        run[begin[:-1][odd_texts]] = len(used) + len(first) + np.arange(len(odd_texts))
-        taken = run >= 0
-        run, owner = run[taken], owner[taken]
-        length = np.array([len(x) >> 2 for x in runs], np.int64)
-        start = np.cumsum(length) - length
-        flat = np.frombuffer(b"".join(runs), "<u4")
-        each = length[run]
-        upto = np.cumsum(each)
-        ids = flat[np.arange(each.sum()) + np.repeat(start[run] - (upto - each), each)]
-        cuts = np.concatenate(([0], np.cumsum(np.bincount(owner, each, n)))).astype(np.int64)
-        return ids, cuts
+        head, odd_texts = begin[:-1][~whole], np.flatnonzero(whole)
+        used = np.zeros(len(words), bool)
+        used[word[inner]] = True
+        used = np.flatnonzero(used)
+        first = np.unique(word[head])
+        place = np.zeros(len(words), np.int32)
+        place[used] = self.places([words[k] for k in used.tolist()])
+        others = self.encode([words[k] for k in first.tolist()] + texts.take(pa.array(odd_texts)).to_pylist())
+        run = place[word]
+        run[head] = len(self.table) + np.searchsorted(first, word[head])
+        run[begin[:-1][odd_texts]] = len(self.table) + len(first) + np.arange(len(odd_texts))
+        if len(odd_texts):
+            inner[begin[:-1]] = True
+            run = run[inner]
+        held = pa.concat_arrays([self.table, pa.array(others, pa.binary())]).take(pa.array(run))
+        if not len(held):
+            return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
+        offsets = np.frombuffer(held.buffers()[1], np.int32)[held.offset : held.offset + len(held) + 1]
+        ids = np.frombuffer(held.buffers()[2] or b"", "<u4", int(offsets[-1]) >> 2)
+        cuts = np.concatenate(([0], np.cumsum(np.where(whole, 1, count))))
+        return ids, offsets[cuts].astype(np.int64) >> 2
 
 
 def spaced(array: pa.Array, words: list[str]) -> np.ndarray:

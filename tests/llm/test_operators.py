@@ -465,6 +465,25 @@ def test_new_words_are_encoded_many_to_a_text():
     assert ids.encode_words(plain) == alone
 
 
+def test_words_are_places_in_one_table_of_ids(monkeypatch):
+    """A word is kept as a number; frequent words outlive a change of generations without being encoded again."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "CACHED_WORDS", 60)
+    ids, rng, encoded = packing.WordIds(queries.tokenizer_path()), random.Random(6), []
+    inner = ids.runs
+    ids.runs = lambda found: encoded.extend(found) or inner(found)
+    for turn in range(12):
+        texts = [" ".join(["in", "the", "of"][k % 3 :] + [f"w{turn}x{rng.randrange(40)}" for _ in range(30)]) for k in range(8)] + [None, "", "a\n b"]
+        found, cuts = ids.joined(pa.array(texts, pa.string()))
+        assert [found[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])] == ids.encode([t or "" for t in texts])
+        assert all(isinstance(at, int) for at in ids.known.values()) and len(ids.table) == len(ids.known)
+        assert len(ids.known) + len(ids.older) < 4 * 60
+    assert encoded.count("the") == encoded.count("of") == 1
+    found, cuts = ids.joined(pa.array([], pa.string()))
+    assert len(found) == 0 and cuts.tolist() == [0]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_respects_every_capacity(rule):
     rng = random.Random(4)
