@@ -36,8 +36,25 @@ ENCODED_AT_ONCE = 1 << 13
 WORDS_PER_TEXT = 256
 STEP_BYTES = 4 << 20
 PIECES_PER_BLOCK = 5_000
+# Longer units are not kept.
+KEPT_BYTES = 256
 NONE = pa.array([], pa.binary())
 
+# Words of letters that any version of Unicode has as such.
+LETTERS = "^ [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
+ASCII_LETTER = np.zeros(256, bool)
+ASCII_LETTER[65:91] = ASCII_LETTER[97:123] = True
+# 1 for white space, 2 for punctuation of ASCII, before which units may begin.
+SORT = np.zeros(256, np.uint8)
+SORT[33:127] = 2
+SORT[48:58] = 0
+SORT[ASCII_LETTER] = 0
+SORT[[9, 10, 13, 32]] = 1
+# Last bytes of white space beyond ASCII in three bytes of UTF-8.
+SPACE_ENDS = np.zeros(256, bool)
+SPACE_ENDS[0x80:0x90] = True
+SPACE_ENDS[[0x9F, 0xA8, 0xA9, 0xAF]] = True
+
 
 @dataclass(frozen=True)
 class Capacity:
@@ -55,23 +72,31 @@ class Capacity:
 class WordIds:
     """Token ids of texts as one array of 32-bit ids and its cuts, with the ids of frequent words kept.
 
-    The tokenizer starts a new token at a single space between two other characters, so such a text's ids
-    are those of its words, each with its space. A text with other white space beside a space, or at its
-    ends, is encoded whole. Words are told apart and put together by Arrow; Python sees each distinct word
-    of a slice once and looks up its place in a table of ids. New words are encoded many to a text, which
-    is cut at the tokens that begin with a space: each word has one, at its head.
+    A text is cut where GPT-2's rule for byte-level vocabularies never joins characters (:func:`units`), so its
+    ids are those of its units one after the other. Units are told apart and put together by Arrow; Python
+    sees each distinct unit of a slice once and looks up its place in a table of ids. New words are encoded
+    many to a text, which is cut at the tokens that begin with a space: each word has one, at its head. Texts with
+    added tokens, and all texts of a vocabulary with another rule, are encoded whole.
     """
 
     def __init__(self, path: str):
         # a task has one core; threads of the tokenizer would only take turns on it
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.heads = np.zeros(max(vocabulary.values()) + 1, bool)
         # the byte-level alphabet writes a space as this letter
         self.heads[[at for token, at in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        rule = self.tokenizer.pre_tokenizer
+        self.cut = isinstance(rule, pre_tokenizers.ByteLevel) and rule.use_regex and not rule.add_prefix_space and not self.tokenizer.normalizer
+        # words of letters are cut at spaces alone, without the rule's regular expression; the model is shared
+        self.lettered = Tokenizer(self.tokenizer.model)
+        self.lettered.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split(" ", "merged_with_next"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.forget()
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -81,35 +106,48 @@ class WordIds:
             out += [np.array(x.ids, "<u4").tobytes() for x in encoded]
         return out
 
-    def runs(self, words: list[str]) -> pa.Array:
-        """Ids of each word behind a space, as :meth:`encode` gives them for the word and its space."""
-        out: list[pa.Array] = [NONE]
+    def runs(self, units: list[str]) -> pa.Array:
+        """Ids of each unit, as :meth:`encode` gives them."""
+        letters = pc.match_substring_regex(pa.array(units, pa.string()), LETTERS).to_numpy(zero_copy_only=False)
+        words, rest = np.flatnonzero(letters), np.flatnonzero(~letters)
+        tails = [units[k][1:] for k in rest.tolist()]
+        alone = np.array([units[k][:1] != " " or " " in t for k, t in zip(rest.tolist(), tails)], bool)
+        alone |= spaced(pa.array(tails, pa.string()), tails)
+        order = np.concatenate((words, rest[~alone], rest[alone]))
+        some = [units[k] for k in order.tolist()]
+        first, second = len(words), len(order) - int(alone.sum())
+        out = [NONE, *self.behind_spaces(self.lettered, some[:first]), *self.behind_spaces(self.tokenizer, some[first:second])]
+        out.append(pa.array(self.encode(some[second:]), pa.binary()))
+        return pa.concat_arrays(out).take(pa.array(np.argsort(order)))
+
+    def behind_spaces(self, tokenizer, words: list[str]) -> Iterator[pa.Array]:
+        """Ids of words that begin with their only space, many to a text."""
         for at in range(0, len(words), ENCODED_AT_ONCE * 4):
             some = words[at : at + ENCODED_AT_ONCE * 4]
-            texts = [" " + " ".join(some[k : k + WORDS_PER_TEXT]) for k in range(0, len(some), WORDS_PER_TEXT)]
+            texts = ["".join(some[k : k + WORDS_PER_TEXT]) for k in range(0, len(some), WORDS_PER_TEXT)]
             found: list[int] = []
-            for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
                 found += x.ids
             ids = np.array(found, "<u4")
             begin = np.flatnonzero(self.heads[ids])
             if len(begin) != len(some):  # a vocabulary with other rules for spaces
-                out.append(pa.array(self.encode([" " + w for w in some]), pa.binary()))
+                yield pa.array(self.encode(some), pa.binary())
                 continue
             cuts = (np.append(begin, len(ids)) * 4).astype(np.int32)
-            out.append(pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(cuts), pa.py_buffer(ids)]))
-        return pa.concat_arrays(out)
+            yield pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(cuts), pa.py_buffer(ids)])
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        return self.runs(words).to_pylist()
+        """Ids of words that follow a space."""
+        return self.runs([" " + w for w in words]).to_pylist()
 
-    def places(self, words: list[str]) -> np.ndarray:
-        """Where ``table`` has the ids of words that follow a space. Words used since the last two generations began are kept."""
+    def places(self, units: list[str]) -> np.ndarray:
+        """Where ``table`` has the ids of units. Those used since the last two generations began are kept."""
         if len(self.known) > CACHED_WORDS:
             self.known, self.table, self.older, self.older_table = {}, NONE, self.known, self.table
-        place = np.fromiter(map(self.known.get, words, repeat(-1)), np.int32, len(words))
+        place = np.fromiter(map(self.known.get, units, repeat(-1)), np.int32, len(units))
         for source in (self.older, None):
             new = np.flatnonzero(place < 0)
-            missing = [words[k] for k in new.tolist()]
+            missing = [units[k] for k in new.tolist()]
             if source is not None:
                 old = np.fromiter(map(source.get, missing, repeat(-1)), np.int32, len(missing))
                 new, missing = new[old >= 0], [missing[k] for k in np.flatnonzero(old >= 0).tolist()]
@@ -122,8 +160,8 @@ class WordIds:
         return place
 
     def of_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words that follow a space."""
-        places = self.places(words)
+        """As :meth:`encode_words`, with the words kept."""
+        places = self.places([" " + w for w in words])
         return self.table.take(pa.array(places)).to_pylist()
 
     def forget(self) -> None:
@@ -140,41 +178,56 @@ class WordIds:
 
     def joined(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, cuts): the ids of text k are ``ids[cuts[k]:cuts[k + 1]]``."""
-        n = len(texts)
         texts = pc.fill_null(texts, "")
-        parts = pc.split_pattern(texts, " ")
-        begin = parts.offsets.to_numpy()
-        coded = parts.flatten().dictionary_encode()
-        word = coded.indices.to_numpy()
-        words = coded.dictionary.to_pylist()
-        odd = spaced(coded.dictionary, words)
-        whole = np.zeros(n, bool)
-        whole[np.searchsorted(begin, np.flatnonzero(odd[word]), "right") - 1] = True
-        count = np.diff(begin)
-        inner = np.repeat(~whole, count)
-        inner[begin[:-1]] = False
-        # a table of id runs: words behind a space, first words, whole texts; and which run each place of the slice takes
-        head, odd_texts = begin[:-1][~whole], np.flatnonzero(whole)
-        used = np.zeros(len(words), bool)
-        used[word[inner]] = True
-        used = np.flatnonzero(used)
-        first = np.unique(word[head])
-        place = np.zeros(len(words), np.int32)
-        place[used] = self.places([words[k] for k in used.tolist()])
-        others = self.encode([words[k] for k in first.tolist()] + texts.take(pa.array(odd_texts)).to_pylist())
-        run = place[word]
-        run[head] = len(self.table) + np.searchsorted(first, word[head])
-        run[begin[:-1][odd_texts]] = len(self.table) + len(first) + np.arange(len(odd_texts))
-        if len(odd_texts):
-            inner[begin[:-1]] = True
-            run = run[inner]
-        held = pa.concat_arrays([self.table, pa.array(others, pa.binary())]).take(pa.array(run))
+        whole = np.full(len(texts), not self.cut)
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        found, begin = units(texts, whole)
+        coded = found.dictionary_encode()
+        # long units seldom come again; kept, they would fill the worker
+        long = pc.greater(pc.binary_length(coded.dictionary), KEPT_BYTES).to_numpy(zero_copy_only=False)
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        place = np.zeros(len(distinct), np.int32)
+        place[~long] = self.places(distinct[~long].tolist())
+        others = self.encode(distinct[long].tolist())
+        place[long] = np.arange(len(self.table), len(self.table) + len(others))
+        table = pa.concat_arrays([self.table, pa.array(others, pa.binary())]) if others else self.table
+        held = table.take(pa.array(place[coded.indices.to_numpy()]))
         if not len(held):
-            return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
+            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         offsets = np.frombuffer(held.buffers()[1], np.int32)[held.offset : held.offset + len(held) + 1]
         ids = np.frombuffer(held.buffers()[2] or b"", "<u4", int(offsets[-1]) >> 2)
-        cuts = np.concatenate(([0], np.cumsum(np.where(whole, 1, count))))
-        return ids, offsets[cuts].astype(np.int64) >> 2
+        return ids, offsets[begin].astype(np.int64) >> 2
+
+
+def units(texts: pa.Array, whole: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Texts in parts that GPT-2's rule never joins, and each text's first part (one entry more); those of ``whole`` are left whole.
+
+    The rule's alternatives never go on from other characters to white space, or from a letter to
+    punctuation, and look ahead only behind white space. So a cut is right before ASCII white space that
+    surely follows something else, and before ASCII punctuation that surely follows a letter.
+    """
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    # no buffers of an empty array are sure to be there
+    bounds = np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, kind)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    sort = SORT[data]
+    at = np.flatnonzero(sort[1:]) + 1
+    last = data[at - 1]
+    # of a character of several bytes, the lead is the second or third byte from its end, or it has four and is no white space
+    second, third = data[at - 2], data[at - 3]
+    spacing = (second == 0xC2) & ((last == 0x85) | (last == 0xA0)) | (third >= 0xE1) & (third <= 0xE3) & SPACE_ENDS[last]
+    printed = (last > 32) & (last < 127) | (last > 127) & ~spacing
+    letter = ASCII_LETTER[last] | (second == 0xC3) & (last > 127) & (last != 0x97) & (last != 0xB7)
+    begins = np.zeros(len(data), bool)
+    begins[at[np.where(sort[at] == 1, printed, letter)]] = True
+    for k in np.flatnonzero(whole).tolist():
+        begins[bounds[k] : bounds[k + 1]] = False
+    begins[bounds[:-1][bounds[1:] > bounds[:-1]]] = True
+    starts = np.flatnonzero(begins)
+    cuts = np.append(starts, len(data)).astype(kind)
+    return pa.Array.from_buffers(texts.type, len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(data)]), np.searchsorted(starts, bounds)
 
 
 def spaced(array: pa.Array, words: list[str]) -> np.ndarray:

@@ -465,6 +465,51 @@ def test_new_words_are_encoded_many_to_a_text():
     assert ids.encode_words(plain) == alone
 
 
+def test_words_are_encoded_without_their_punctuation():
+    """Marks, spaces and lines round a word make no new word, and texts with other white space are not encoded whole."""
+    ids, encoded = packing.WordIds(queries.tokenizer_path()), []
+    inner = ids.runs
+    ids.runs = lambda found: encoded.extend(found) or inner(found)
+    names = ["wort" + a + b for a in "abcdefghij" for b in "aéñöz"]
+    texts = ["\n".join(f"x {w} {w}{mark}  y" for w in names) for mark in [".", ",", "!", "%%", ")", "'s", "\u201d"]] + [None]
+    found, cuts = ids.joined(pa.array(texts, pa.string()))
+    assert [found[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])] == ids.encode([t or "" for t in texts])
+    assert all(encoded.count(" " + w) == 1 for w in names)
+    assert len(encoded) <= 2 * len(names) + 20  # once behind a space, once with the curved mark, which may be no punctuation to others
+
+
+def test_units_end_where_no_token_goes_on():
+    """Every character of the lower planes beside each kind of cut; sliced and large arrays; units too long to be kept."""
+    ids = packing.WordIds(queries.tokenizer_path())
+    every = [chr(c) for c in [*range(0x3100), *range(0xD7A0, 0xD800), *range(0xFE00, 0x10100), *range(0x1F600, 0x1F650)]]
+    for at in range(0, len(every), 4096):
+        texts = [t for c in every[at : at + 4096] for t in (f"a{c} b.", f"z{c}\nQ {c}  y", f"q{c}.x{c}'s", f"b {c}", f"<|endoftext|{c}> <|endoftext|>{c}|")]
+        texts += ["a" * 300 + ". b", "世" * 200 + " b"]
+        for kind in (pa.string(), pa.large_string()):
+            found, cuts = ids.joined(pa.array(["gone", *texts], kind).slice(1))
+            assert [found[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])] == ids.encode(texts)
+        assert ids.known and all(len(u.encode()) <= packing.KEPT_BYTES for u in ids.known)
+        ids.forget()
+
+
+@pytest.mark.parametrize("rule", ["prefix", "lines", "none"])
+def test_vocabularies_with_another_rule_are_encoded_whole(tmp_path, rule):
+    from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    if rule == "prefix":
+        tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    elif rule == "lines":  # punctuation takes the line feeds behind it
+        split = pre_tokenizers.Split(Regex(r" ?\w+| ?[^\s\w]+[\r\n]*|\s+(?!\S)|\s+"), "isolated")
+        tokenizer.pre_tokenizer = pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    else:
+        tokenizer.normalizer = normalizers.Replace(" b", "c")
+    tokenizer.save(str(tmp_path / "vocabulary.json"))
+    ids = packing.WordIds(str(tmp_path / "vocabulary.json"))
+    texts = ["", "a b. c", "It's.\n\nb.\nc", " a  b,\n c ", "a. b\n"]
+    assert ids(texts) == ids.encode(texts)
+
+
 def test_words_are_places_in_one_table_of_ids(monkeypatch):
     """A word is kept as a number; frequent words outlive a change of generations without being encoded again."""
     import pyarrow as pa
