@@ -368,6 +368,40 @@ def test_the_sample_is_bounded(spark):
     assert ordinal.graded_rows(docs, labels, sample=5_000).count() == 4_000
 
 
+def test_all_labelled_documents_are_used(spark):
+    docs = spark.range(25_000).selectExpr("id as doc_id", "'text' as text")
+    labels = spark.range(24_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert ordinal.graded_rows(docs, labels).count() == 24_000
+
+
+def words_of_grades(spark, n):
+    rows = [(k, f"good words {k} about a{k % 7}" if k % 3 else f"bad text {k} with b{k % 5}", 2 if k % 3 else k % 2) for k in range(n)]
+    return spark.createDataFrame(rows, "id long, text string, grade int")
+
+
+def test_many_partial_gradients_give_the_same_fit(spark, monkeypatch):
+    frame = words_of_grades(spark, 300).repartition(5)
+    few = ordinal.fit(frame, 3, steps=3)
+    monkeypatch.setattr(ordinal, "TASKS", 2)
+    monkeypatch.setattr(ordinal, "TASK_ROWS", 40)
+    monkeypatch.setattr(ordinal, "SLICE_FEATURES", 50)
+    monkeypatch.setattr(ordinal, "BATCH_ROWS", 7)
+    many = ordinal.fit(frame, 3, steps=3)
+    assert few.weights.any() and np.allclose(few.weights, many.weights, atol=1e-6) and np.allclose(few.thresholds, many.thresholds)
+
+
+def test_limit_of_ranked_rows(spark):
+    """The limit found by ranks is that of all held-out rows in one place."""
+    frame = words_of_grades(spark, 400)
+    grader, limit = ordinal.fit_with_limit(frame, 3, 2, 0.9, 0.0)
+    out = frame.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(ordinal.HELD_OUT)) == 0)
+    rows = ordinal.scored(out, grader, 2, 3).select("doc.grade", "tail").collect()
+    worst, best = (np.array([r["tail"] for r in rows if r["grade"] == g]) for g in (0, 2))
+    assert len(worst) and len(best)
+    assert limit == ordinal.limit_keeping(best, ordinal.GOOD_RECALL, ordinal.limit_for(worst, 0.9, 0.0), 0.0)
+    assert limit > 0
+
+
 def test_partial_gradients_are_bounded(spark, monkeypatch):
     """However small the parts that files are read in, an evaluation sends the driver at most ``TASKS`` vectors."""
     kind, sent = type(spark.range(0)), []
