@@ -57,7 +57,8 @@ def lookup_join(
         "_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in short or large.columns]), F.lit(SALTS)).cast("int")
     )
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    # without the hint Spark takes all copies for as small as the file they are read from, and may send them to the driver
+    return salted.join(repeated.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def rows_of_ids(

@@ -75,6 +75,15 @@ def test_salted_join_equals_plain_join(spark, monkeypatch, how):
     assert sorted(map(tuple, salted.collect())) == plain
 
 
+def test_salted_lookup_is_not_broadcast(spark, monkeypatch):
+    """The copies of a lookup beyond the bound are many times the file they are read from, which Spark goes by."""
+    monkeypatch.setattr(bounds, "BROADCAST_ROWS", 5)
+    small = spark.range(40).selectExpr("id as k", "id * 10 as v")
+    joined = bounds.lookup_join(spark.range(3000).selectExpr("id", "id % 50 as k"), small, ["k"], "left")
+    assert joined.count() == 3000
+    assert "BroadcastHashJoin" not in plan_of(joined) and "SortMergeJoin" in plan_of(joined)
+
+
 def test_salted_join_rejects_other_kinds(spark):
     with pytest.raises(ValueError):
         bounds.lookup_join(spark.range(1), spark.range(1), ["id"], "right")
