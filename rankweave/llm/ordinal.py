@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.llm import words
-from rankweave.plans.bounds import lookup_join
+from rankweave.plans import bounds
 from rankweave.plans.ordered import rank_in_groups
 from rankweave.session import cut_lineage, settings
 
@@ -157,7 +157,11 @@ def graded_rows(
     if sample is not None and sample < total:
         # those with the smallest hashes of their ids
         worst, total = worst.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * sample / total)), sample
-    return lookup_join(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), worst, ["id"], small_rows=total)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    if total <= bounds.BROADCAST_ROWS:
+        return texts.join(F.broadcast(worst), "id")
+    # texts are shuffled once and not sorted: a task holds its share of the labels while they pass by
+    return cut_lineage(texts.join(worst.hint("shuffle_hash"), "id"), "graded")
 
 
 def as_bytes(cuts: np.ndarray, numbers: np.ndarray) -> pa.Array:
@@ -203,12 +207,12 @@ def summed(rows: DataFrame, n: int, sums: Callable) -> np.ndarray:
     these files go at once.
     """
     parts = rows.coalesce(max(TASKS, -(-n // TASK_ROWS))).mapInArrow(sums, "sums binary")
-    bounds = {
+    limits = {
         "spark__sql__execution__arrow__maxRecordsPerBatch": str(BATCH_ROWS),
         "spark__sql__execution__arrow__maxBytesPerBatch": str(BATCH_BYTES),
         "spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true",
     }
-    with settings(rows.sparkSession, **bounds):
+    with settings(rows.sparkSession, **limits):
         (row,) = parts.repartition(1).mapInArrow(added, "sums binary").collect()
     return np.frombuffer(row["sums"], np.float64)
 

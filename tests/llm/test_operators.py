@@ -374,6 +374,16 @@ def test_all_labelled_documents_are_used(spark):
     assert ordinal.graded_rows(docs, labels).count() == 24_000
 
 
+def test_labels_too_many_to_broadcast(spark, monkeypatch):
+    rows = [(k % 300, f"text {k}") for k in range(400)] + [(None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(50, 350)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+    few = sorted(map(tuple, ordinal.graded_rows(docs, labels).collect()))
+    monkeypatch.setattr(ordinal.bounds, "BROADCAST_ROWS", 10)
+    assert sorted(map(tuple, ordinal.graded_rows(docs, labels).collect())) == few
+    assert len(few) == sum(k is not None and k >= 50 for k, _ in rows)
+
+
 def words_of_grades(spark, n):
     rows = [(k, f"good words {k} about a{k % 7}" if k % 3 else f"bad text {k} with b{k % 5}", 2 if k % 3 else k % 2) for k in range(n)]
     return spark.createDataFrame(rows, "id long, text string, grade int")
